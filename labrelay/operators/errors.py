@@ -12,37 +12,32 @@ Plan shape. Filters on the key or on ``_error`` must stay *above* the parse
 projection: Catalyst would otherwise push them below it by substituting the
 column definitions, i.e. inline the whole parse (canonical text, positions,
 time parsing) into the filter and run it twice per row - and the fused code
-would outgrow the JVM's 64 KB method limit. The key column is therefore
-written through a guard that reads ``spark_partition_id()``: a cheap
-non-deterministic no-op, which Catalyst never pushes a filter through.
+would outgrow the JVM's 64 KB method limit. ``plans.batch.shred`` therefore
+fences the projection's outputs (``functions.plan.fenced_select``) before
+the mode is applied; the guard below then only reads fenced columns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+
 ERROR = "_error"
 MODES = ("FAILFAST", "DROPMALFORMED", "PERMISSIVE")
 
 
-def _pinned(key: Column) -> Column:
-    """``key`` unchanged, but non-deterministic for the optimizer (partition ids are >= 0)."""
-    return F.when(F.spark_partition_id() >= 0, key)
-
-
 def apply_mode(df: DataFrame, key: str, mode: str = "FAILFAST") -> DataFrame:
     mode = mode.upper()
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     err = F.col(ERROR)
     if mode == "FAILFAST":
-        guarded = F.when(err.isNotNull(), F.raise_error(err)).otherwise(_pinned(F.col(key)))
+        guarded = F.when(err.isNotNull(), F.raise_error(err)).otherwise(F.col(key))
         return df.withColumn(key, guarded).drop(ERROR)
-    pinned = df.withColumn(key, _pinned(F.col(key)))
     if mode == "DROPMALFORMED":
-        return pinned.filter(err.isNull()).drop(ERROR)
-    return pinned
+        return df.filter(err.isNull()).drop(ERROR)
+    return df
 
 
 def keep_keyed(df: DataFrame, key: str) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.plan import fence
 from ..functions.segments import with_envelope
 from ..functions.text import decode_utf8, is_blank, is_empty
 from .shred import TEXT
@@ -33,7 +34,7 @@ def drop_empty(df: DataFrame, value: str = "value") -> DataFrame:
 def decode(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``text``: the value decoded as UTF-8 with replacement of bad bytes."""
     v = df.schema[value].dataType
-    return df.withColumn(TEXT, decode_utf8(F.col(value), v))
+    return df.withColumn(TEXT, fence(decode_utf8(F.col(value), v)))
 
 
 def drop_blank(df: DataFrame) -> DataFrame:

@@ -62,10 +62,15 @@ def observations(vals: Column) -> Column:
     return F.transform(vals, one)
 
 
+def with_observation_group(df: DataFrame) -> DataFrame:
+    """Envelope'd messages + segment columns + ``_s_obx``: the OBX segments of group 1."""
+    return with_segments(with_positions(df), {"_s_obx": all_segments(observation_group(), "OBX")})
+
+
 def project_results(df: DataFrame) -> DataFrame:
     """Envelope'd messages -> result records + ``_error``."""
     keep = passthrough(df)
-    staged = with_segments(with_positions(df), {"_s_obx": all_segments(observation_group(), "OBX")})
+    staged = with_observation_group(df)
     msh, pid, orc, obr = seg("msh"), seg("pid"), seg("orc"), seg("obr")
     vals = staged.select(
         *keep,

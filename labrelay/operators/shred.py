@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.header import header_segment
-from ..functions.segments import ENV, ENV_COLS, segment_at, segment_pos, well_formed
+from ..functions.segments import ENV, ENV_COLS, quote_re, segment_at, segment_pos, well_formed
 
 TEXT = "text"
 
@@ -30,15 +30,26 @@ def passthrough(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in internal and not c.startswith(("_p_", "_s_", "_v_"))]
 
 
+# Segments that may stand between an order group's ORC and its
+# OBR (timing/quantity) plus site-defined Z segments; anything else there
+# (an OBX, NTE, SPM, another ORC, ...) closes the slot, and the next OBR then
+# opens the following group.
+BETWEEN_ORC_AND_OBR = r"(?:TQ1|TQ2|Z[A-Z0-9]{2})"
+
+
 def with_positions(df: DataFrame) -> DataFrame:
-    """Positions of the first PID, ORC, OBR and of the ORC that follows the first ORC."""
+    """Positions of the first PID, ORC and OBR, and of the first segment after
+    that ORC which may not precede the group's OBR."""
     p_orc = segment_pos("ORC")
+    after_orc = F.substr(ENV.c, p_orc + 1)
+    pattern = F.concat(F.lit("\r(?!" + BETWEEN_ORC_AND_OBR), quote_re(ENV.fs), F.lit(")"))
+    nxt = F.regexp_instr(after_orc, pattern)
     return df.select(
         "*",
         segment_pos("PID").alias("_p_pid"),
         p_orc.alias("_p_orc"),
         segment_pos("OBR").alias("_p_obr"),
-        F.when(p_orc > 0, segment_pos("ORC", start=p_orc + 1)).otherwise(F.lit(0)).alias("_p_orc2"),
+        F.when((p_orc > 0) & (nxt > 0), p_orc + nxt).otherwise(F.lit(0)).alias("_p_after_orc"),
     )
 
 
@@ -46,13 +57,14 @@ def group_flags() -> tuple[Column, Column, Column]:
     """(orc_ok, obr_ok, pid_ok) for the first order group.
 
     * the first ORC belongs to group 1 only if no OBR precedes it;
-    * the first OBR belongs to group 1 unless a second ORC opened a new group
-      before it;
+    * with that ORC, the first OBR belongs to group 1 only if it is the next
+      segment after it (timing and Z segments aside); without it, the first
+      OBR opens group 1 itself;
     * the patient segment counts only ahead of the first order group.
     """
-    p_pid, p_orc, p_obr, p_orc2 = (F.col(c) for c in ("_p_pid", "_p_orc", "_p_obr", "_p_orc2"))
+    p_pid, p_orc, p_obr, p_next = (F.col(c) for c in ("_p_pid", "_p_orc", "_p_obr", "_p_after_orc"))
     orc_ok = (p_orc > 0) & ((p_obr == 0) | (p_orc < p_obr))
-    obr_ok = (p_obr > 0) & (~orc_ok | (p_orc2 == 0) | (p_orc2 > p_obr))
+    obr_ok = (p_obr > 0) & (~orc_ok | (p_next == p_obr))
     pid_ok = (p_pid > 0) & ((p_orc == 0) | (p_pid < p_orc)) & ((p_obr == 0) | (p_pid < p_obr))
     return orc_ok, obr_ok, pid_ok
 

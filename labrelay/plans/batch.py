@@ -7,10 +7,16 @@ a pipeline is the dedupe in ``operators.upsert``.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.fields import value
 from ..functions.jsonfmt import record_json, to_json_text
+from ..functions.plan import fenced_select
+from ..functions.segments import first_segment
+from ..operators.shred import passthrough
 from ..operators.errors import ERROR, apply_mode, keep_keyed
 from ..operators.messages import arrival_columns, prepare
 from .kinds import MessageKind, get_kind
@@ -22,7 +28,10 @@ def shred(raw: DataFrame, kind: str | MessageKind, mode: str = "PERMISSIVE") ->
     In ``PERMISSIVE`` (the default here) the ``_error`` column is kept.
     """
     k = get_kind(kind)
-    return apply_mode(k.project(prepare(raw)), k.key, mode)
+    projected = k.project(prepare(raw))
+    # fenced: no filter (key filter, error filter, inferred explode filters)
+    # is rewritten below the parse projection, so the parse runs once per row
+    return apply_mode(fenced_select(projected, *projected.columns), k.key, mode)
 
 
 def parse_messages(raw: DataFrame, kind: str | MessageKind, mode: str = "FAILFAST") -> DataFrame:
@@ -48,3 +57,47 @@ def table_rows(df: DataFrame, kind: str | MessageKind) -> DataFrame:
     cols = [to_json_text(F.col(c)).alias(c) if c in k.json_columns else F.col(c) for c in k.table_columns]
     extra = [c for c in arrival_columns(df)] + ([ERROR] if ERROR in df.columns else [])
     return df.select(*cols, *extra)
+
+
+_SPEC = re.compile(r"^([A-Z0-9]{3})-(\d+)(?:\.(\d+))?$")
+
+
+def extract_fields(raw: DataFrame, spec: dict[str, str]) -> DataFrame:
+    """Ad-hoc field access over raw messages.
+
+    ``spec`` maps output names to ``"SEG-n"`` or ``"SEG-n.c"`` (e.g.
+    ``{"nupn": "PID-3.1", "sent": "MSH-7"}``); each reads the *first* segment
+    of that name with typed-getter semantics (first repetition, component
+    ``c``, first subcomponent, unescaped, empty -> NULL). No group rules,
+    no kind check: the generic accessor behind the kind projections.
+    """
+    parsed = {}
+    for out, ref in spec.items():
+        m = _SPEC.match(ref)
+        if not m:
+            raise ValueError(f"field reference must look like 'PID-3' or 'PID-3.1', got {ref!r}")
+        parsed[out] = (m.group(1), int(m.group(2)), int(m.group(3) or 1))
+    env = prepare(raw)
+    keep = passthrough(env)
+    names = sorted({seg for seg, _, _ in parsed.values()})
+    staged = env.select("*", *(first_segment(n).alias(f"_s_{n}") for n in names))
+    return staged.select(
+        *keep,
+        *(
+            value(F.col(f"_s_{seg}"), n, c, header=(seg == "MSH")).alias(out)
+            for out, (seg, n, c) in parsed.items()
+        ),
+    )
+
+
+def delimiters(raw: DataFrame) -> DataFrame:
+    """Per message: the five delimiters its header declares."""
+    env = prepare(raw)
+    return env.select(
+        *passthrough(env),
+        F.col("_fs").alias("field_separator"),
+        F.col("_cs").alias("component_separator"),
+        F.col("_rs").alias("repetition_separator"),
+        F.col("_es").alias("escape_character"),
+        F.col("_ss").alias("subcomponent_separator"),
+    )
