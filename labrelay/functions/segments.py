@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 CR = "\r"
 
 # Column names the envelope adds; dropped again by the kind projections.
-ENV_COLS = ("_fs", "_cs", "_rs", "_es", "_ss", "_c", "_tr")
+ENV_COLS = ("_fs", "_cs", "_rs", "_es", "_ss", "_c", "_tr", "_body")
 
 # The five standard escape codes, in the order their marks are
 # assigned. \F\ field sep, \S\ component sep, \T\ subcomponent sep,
@@ -90,7 +90,11 @@ ENV = Env()
 
 
 def delimiter_columns(text: Column) -> list[Column]:
-    """Field separator = char 4; the encoding field (MSH-2) holds the other four."""
+    """Field separator = char 4; the encoding field (MSH-2) holds the other four.
+
+    Also ``_body``: the position where the text after MSH-2 starts (escape
+    sequences can only occur from there on).
+    """
     fs = F.substr(text, F.lit(4), F.lit(1))
     enc = F.split_part(F.substr(text, F.lit(5)), fs, F.lit(1))
     return [
@@ -99,10 +103,11 @@ def delimiter_columns(text: Column) -> list[Column]:
         F.substr(enc, F.lit(2), F.lit(1)).alias("_rs"),
         F.substr(enc, F.lit(3), F.lit(1)).alias("_es"),
         F.substr(enc, F.lit(4), F.lit(1)).alias("_ss"),
+        (F.length(enc) + 5).alias("_body"),
     ]
 
 
-def mark_escapes(text: Column, es: Column) -> Column:
+def mark_escapes(text: Column, es: Column, body: Column) -> Column:
     """Replace every escape sequence ``<es>X<es>`` by the mark of X, left to right.
 
     One regex pass finds the sequences exactly as a left-to-right reader does
@@ -115,14 +120,23 @@ def mark_escapes(text: Column, es: Column) -> Column:
     )
     for code, mark in zip(ESCAPE_CODES, MARKS):
         tagged = F.replace(tagged, F.lit("\u0000" + code + "\u0000"), F.lit(mark))
-    return F.when((es != "") & (call("locate", es, text, F.lit(1)) > 0), tagged).otherwise(text)
+    # fast path: no escape char after the encoding field -> nothing to mark
+    return F.when((es != "") & (call("locate", es, text, body) > 0), tagged).otherwise(text)
+
 
+def _quote_replacement(s: Column) -> Column:
+    """Make a per-row string literal inside a regex replacement ($ and \\ escaped)."""
+    return F.replace(F.replace(s, F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
 
-def canonical(text: Column, fs: Column, es: Column) -> Column:
+
+def canonical(text: Column, fs: Column, es: Column, body: Column) -> Column:
     """CR-framed text, one CR before and one field separator after every segment,
-    escape sequences marked."""
-    norm = F.regexp_replace(mark_escapes(text, es), r"\r\p{javaWhitespace}*", CR)
-    return F.concat(F.lit(CR), F.replace(norm, F.lit(CR), F.concat(fs, F.lit(CR))), fs)
+    escape sequences marked. One regex pass frames the segments: every CR and
+    the whitespace after it become ``fs + CR``."""
+    framed = F.regexp_replace(
+        mark_escapes(text, es, body), F.lit(r"\r\p{javaWhitespace}*"), F.concat(_quote_replacement(fs), F.lit(CR))
+    )
+    return F.concat(F.lit(CR), framed, fs)
 
 
 def with_envelope(df: DataFrame, text: str = "text") -> DataFrame:
@@ -132,7 +146,7 @@ def with_envelope(df: DataFrame, text: str = "text") -> DataFrame:
     fs, cs, rs, es, ss = (F.col(n) for n in ENV_COLS[:5])
     return staged.select(
         "*",
-        canonical(t, fs, es).alias("_c"),
+        canonical(t, fs, es, F.col("_body")).alias("_c"),
         F.concat(*(F.coalesce(F.nullif(d, F.lit("")), F.lit(std)) for d, std in zip((fs, cs, ss, rs, es), "|^&~\\"))).alias(
             "_tr"
         ),
@@ -196,5 +210,5 @@ def well_formed(text: Column, env: Env = ENV) -> Column:
         text.startswith("MSH")
         & (F.length(text) >= 4)
         & ~F.coalesce(F.regexp_like(env.c, bad_segment), F.lit(False))
-        & ~text.rlike(HAS_MARK)
+        & ~F.greatest(*(call("locate", F.lit(m), text, F.lit(1)) > 0 for m in MARKS))
     )

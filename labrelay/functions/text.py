@@ -33,6 +33,9 @@ def is_empty(value: Column) -> Column:
 def is_blank(text: Column) -> Column:
     """True when the text holds only chars <= U+0020 (Java ``trim()`` semantics).
 
-    Spark's ``trim`` only strips spaces, so it cannot be used here.
+    Spark's ``trim`` only strips spaces, so it cannot be used here. Fast path:
+    a text whose first char is above U+0020 (every real message starts with
+    ``MSH``) is not blank - a one-byte compare instead of a regex scan.
     """
-    return ~text.rlike(_NOT_BLANK)
+    first_visible = F.substr(text, F.lit(1), F.lit(1)) > F.lit(" ")
+    return ~(first_visible | text.rlike(_NOT_BLANK))

@@ -23,7 +23,7 @@ from ..operators.route import route
 from ..operators.shred import TEXT
 from ..operators.upsert import latest_per_key, merge_current
 from ..sources import fixtures
-from ..sources.messages import read_messages
+from ..sources.messages import fixture_table, read_messages
 from .batch import delimiters, extract_fields, json_values, parse_messages, shred, table_rows
 from .kinds import ACK, ORDER, RESULT
 
@@ -42,7 +42,7 @@ def query(name: str):
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return fixture_table(spark, sf, name)
 
 
 def orders_raw(spark: SparkSession, sf: str) -> DataFrame:

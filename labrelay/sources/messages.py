@@ -106,10 +106,25 @@ def _with_arrival(df: DataFrame, topic: str) -> DataFrame:
     return out.select(*keep)
 
 
+# The key each source table of the renderers is spread by.
+FIXTURE_KEYS = {"orders": "o_orderkey", "events": "event_id", "lineitem": "l_orderkey"}
+
+
+def fixture_table(spark: SparkSession, table_dir: str, name: str) -> DataFrame:
+    """A source table of the renderers, hash-spread over ``spark.sql.shuffle.partitions``
+    by its key (like the partitions of a topic): small test tables are a single
+    file split, which would otherwise put all rendering and parsing into one task."""
+    df = spark.read.parquet(f"{table_dir}/{name}.parquet")
+    if name not in FIXTURE_KEYS:
+        return df
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), FIXTURE_KEYS[name])
+
+
 def fixture_messages(spark: SparkSession, table_dir: str, kind: str) -> DataFrame:
     """Messages of ``kind`` rendered from the tables in ``table_dir``."""
+
     def t(name: str) -> DataFrame:
-        return spark.read.parquet(f"{table_dir}/{name}.parquet")
+        return fixture_table(spark, table_dir, name)
 
     k = get_kind(kind).name
     if k == "order":

@@ -123,3 +123,8 @@ def test_order_table_drops_message_id_and_patient(spark):
     assert rows.columns[:5] == ["lab_order_id", "sending_facility_id", "receiving_lab_code",
                                 "sending_date_time", "lab_tests_ordered"]
     assert rows.collect()[0].lab_tests_ordered == '[{"code":"1111-1","name":"Test One","type":"Regular"}]'
+
+
+def test_regex_special_field_separator(spark):
+    msg = S.ORDER.replace("|", "$")
+    assert one_json(spark, "order", msg) == S.ORDER_JSON
