@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .segments import ENV, ESCAPE_CODES, HAS_MARK, MARKS, Env, call
+from .segments import ENV, ESCAPE_CODES, MARKS, Env, call
 
 
 def field(seg: Column, n: int, env: Env = ENV, *, header: bool = False) -> Column:
@@ -33,7 +33,7 @@ def reescape(s: Column, env: Env = ENV) -> Column:
     out = s
     for code, mark in zip(ESCAPE_CODES, MARKS):
         out = F.replace(out, F.lit(mark), F.concat(env.es, F.lit(code), env.es))
-    return F.when(F.regexp_like(s, F.lit(HAS_MARK)), out).otherwise(s)
+    return F.when(env.esc, out).otherwise(s)
 
 
 def value(seg: Column, n: int, comp: int = 1, env: Env = ENV, *, header: bool = False) -> Column:
@@ -48,7 +48,8 @@ def encoded_first_repetition(seg: Column, n: int, env: Env = ENV) -> Column:
     trailing empty components/subcomponents dropped (``a^b^^`` -> ``a^b``)."""
     rep1 = F.split_part(field(seg, n, env), env.rs, F.lit(1))
     trailing = F.concat(F.lit("[\\Q"), env.cs, env.ss, F.lit("\\E]+$"))
-    trimmed = F.when(env.cs != "", F.regexp_replace(rep1, trailing, F.lit(""))).otherwise(rep1)
+    ends_empty = (env.cs != "") & (rep1.endswith(env.cs) | ((env.ss != "") & rep1.endswith(env.ss)))
+    trimmed = F.when(ends_empty, F.regexp_replace(rep1, trailing, F.lit(""))).otherwise(rep1)
     return reescape(trimmed, env)
 
 

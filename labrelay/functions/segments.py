@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 CR = "\r"
 
 # Column names the envelope adds; dropped again by the kind projections.
-ENV_COLS = ("_fs", "_cs", "_rs", "_es", "_ss", "_c", "_tr", "_body")
+ENV_COLS = ("_fs", "_cs", "_rs", "_es", "_ss", "_c", "_tr", "_body", "_esc")
 
 # The five standard escape codes, in the order their marks are
 # assigned. \F\ field sep, \S\ component sep, \T\ subcomponent sep,
@@ -85,6 +85,10 @@ class Env:
     def tr(self) -> Column:  # what each mark stands for: fs, cs, ss, rs, es
         return F.col(self.names[6])
 
+    @property
+    def esc(self) -> Column:  # the message holds escape sequences (marks) at all
+        return F.col(self.names[8])
+
 
 ENV = Env()
 
@@ -121,7 +125,12 @@ def mark_escapes(text: Column, es: Column, body: Column) -> Column:
     for code, mark in zip(ESCAPE_CODES, MARKS):
         tagged = F.replace(tagged, F.lit("\u0000" + code + "\u0000"), F.lit(mark))
     # fast path: no escape char after the encoding field -> nothing to mark
-    return F.when((es != "") & (call("locate", es, text, body) > 0), tagged).otherwise(text)
+    return F.when(may_escape(text, es, body), tagged).otherwise(text)
+
+
+def may_escape(text: Column, es: Column, body: Column) -> Column:
+    """The escape char occurs after the encoding field (cheap byte search)."""
+    return (es != "") & (call("locate", es, text, body) > 0)
 
 
 def _quote_replacement(s: Column) -> Column:
@@ -147,6 +156,7 @@ def with_envelope(df: DataFrame, text: str = "text") -> DataFrame:
     return staged.select(
         "*",
         canonical(t, fs, es, F.col("_body")).alias("_c"),
+        may_escape(t, es, F.col("_body")).alias("_esc"),
         F.concat(*(F.coalesce(F.nullif(d, F.lit("")), F.lit(std)) for d, std in zip((fs, cs, ss, rs, es), "|^&~\\"))).alias(
             "_tr"
         ),
