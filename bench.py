@@ -6,9 +6,10 @@ Spark's ``noop`` sink (full evaluation, nothing collected on the driver):
 * ``q_<name>``  - registered queries (render messages from the tables, parse,
   JSON / upsert) exactly as the correctness gate runs them;
 * ``parse_<kind>_json`` / ``parse_<kind>_upsert`` - the production shape:
-  messages already stored as a parquet message table (rendered once into a
-  fresh scratch folder before timing), then decode -> shred -> key filter ->
-  JSON extract, or -> dedupe per key for the current-state table.
+  messages already stored as a parquet message table (rendered once, before
+  timing, into a fresh folder under the session's shared ``spark.checkpoint.dir``),
+  then decode -> shred -> key filter -> JSON extract, or -> dedupe per key for
+  the current-state table.
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -25,7 +26,7 @@ from labrelay import json_values, parse_messages, table_rows  # noqa: E402
 from labrelay.operators.upsert import latest_per_key  # noqa: E402
 from labrelay.plans.catalog import QUERIES  # noqa: E402
 from labrelay.plans.kinds import get_kind  # noqa: E402
-from labrelay.session import local_session  # noqa: E402
+from labrelay.session import ensure_checkpoint_dir, local_session  # noqa: E402
 from labrelay.sources.messages import fixture_messages, read_messages  # noqa: E402
 
 HEADLINE = [
@@ -53,7 +54,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, int(cpus) if cpus.isdigit() else 8)
-    scratch = tempfile.mkdtemp(prefix="labrelay-bench-")
+    scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bench-{uuid.uuid4().hex}"
 
     times: dict[str, float] = {}
     for name in HEADLINE:

@@ -125,7 +125,7 @@ ex_obs AS (
 EX_POS = """
 ex_pos AS (
   SELECT l.*, r.test_code, r.test_name,
-    row_number() OVER (PARTITION BY l.k ORDER BY l.ln, l.pk, l.sk, l.price) - 1 AS pos
+    CAST(row_number() OVER (PARTITION BY l.k ORDER BY l.ln, l.pk, l.sk, l.price) - 1 AS INTEGER) AS pos
   FROM ex_l l JOIN ex_r r ON l.k = r.k
   WHERE l.has_value AND r.k % 11 <> 0
 )"""
@@ -135,6 +135,25 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 
 
+def _json_as_text(sql: str) -> str:
+    """Wrap every ``to_json(...)`` in ``CAST(... AS VARCHAR)``: DuckDB types it
+    JSON, Spark's ``to_json`` gives a plain string."""
+    out, i, token = [], 0, "to_json("
+    while True:
+        j = sql.find(token, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(token) - 1
+        while True:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            if depth == 0:
+                break
+            k += 1
+        out.append(sql[i:j] + "CAST(" + sql[j:k + 1] + " AS VARCHAR)")
+        i = k + 1
+
+
 RESULT_JSON = """to_json(struct_pack(
       lab_order_id := r.lab_order_id, sending_facility_id := r.sending_facility_id,
       receiving_lab_code := r.receiving_lab_code, sending_date_time := r.sending_date_time,
@@ -154,7 +173,7 @@ ORACLE: dict[str, str] = {
     # ------------------------------------------------------------ shredding
     "segment_counts": _with(EX_O, EX_R)
     + "SELECT 'lab-orders' AS topic, k AS \"offset\", n_segments FROM ex_o "
-    "UNION ALL SELECT 'lab-results', k, 6 + n_lines + n_even FROM ex_r",
+    "UNION ALL SELECT 'lab-results', k, CAST(6 + n_lines + n_even AS INTEGER) FROM ex_r",
     "custom_delimiters": _with(EX_A)
     + 'SELECT e AS "offset", field_separator, component_separator, \'~\' AS repetition_separator, '
     "'\\' AS escape_character, '&' AS subcomponent_separator FROM ex_a WHERE present",
@@ -170,7 +189,7 @@ ORACLE: dict[str, str] = {
     "first_order_group": _with(EX_O)
     + 'SELECT k AS "offset", lab_order_id AS orc_2, test_code AS obr_4_1, test_name AS obr_4_2 FROM ex_o',
     "first_observation_group": _with(EX_R)
-    + 'SELECT k AS "offset", CASE WHEN k % 11 = 0 THEN 0 ELSE n_lines END AS n_obx FROM ex_r',
+    + 'SELECT k AS "offset", CAST(CASE WHEN k % 11 = 0 THEN 0 ELSE n_lines END AS INTEGER) AS n_obx FROM ex_r',
     # ---------------------------------------------------------- projections
     "message_ids": _with(EX_O, EX_A, EX_R)
     + "SELECT 'lab-orders' AS topic, k AS \"offset\", message_id FROM ex_o "
@@ -215,7 +234,7 @@ ORACLE: dict[str, str] = {
     "FROM ex_a WHERE present AND ack_message_id IS NOT NULL",
     "result_records": _with(EX_L, EX_R)
     + 'SELECT r.k AS "offset", r.lab_order_id, r.sending_facility_id, r.receiving_lab_code, '
-    "r.sending_date_time, (SELECT count(*) FROM ex_l l WHERE l.k = r.k AND l.has_value) AS n_results, "
+    "r.sending_date_time, CAST((SELECT count(*) FROM ex_l l WHERE l.k = r.k AND l.has_value) AS INTEGER) AS n_results, "
     "r.message_id, r.patient_nupn FROM ex_r r WHERE r.lab_order_id IS NOT NULL",
     "order_table_rows": _with(EX_O)
     + f'SELECT k AS "offset", lab_order_id, sending_facility_id, receiving_lab_code, sending_date_time, '
@@ -276,3 +295,5 @@ ORACLE: dict[str, str] = {
     "ELSE 'Text ''' || sent_12 || ''' could not be parsed as a date-time' END "
     "FROM ex_a WHERE present AND (e % 10 = 9 OR e % 13 = 0)",
 }
+
+ORACLE = {name: _json_as_text(sql) for name, sql in ORACLE.items()}

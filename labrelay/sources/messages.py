@@ -11,9 +11,9 @@ arrival columns ``topic, partition, offset`` (and ``timestamp`` for Kafka).
   Kafka connector on the classpath (not installed here).
 * ``parquet`` - files with at least ``value``; ``partition``/``offset`` if
   present, else ``offset`` is derived from the file and row position.
-* ``text``    - one message per record, split at ``lineSep`` (default LF,
-  so CR-separated segments stay inside one message; for framed files use
-  e.g. ``lineSep='\\x1c'``).
+* ``text``    - one message per record, split at ``lineSep`` (default LF
+  only - Spark's own default also splits at CR - so CR-separated segments
+  stay inside one message; for framed files use e.g. ``lineSep='\\x1c'``).
 * ``fixture`` - messages rendered from the driver's tables (tests, bench);
   ``path`` is the table directory.
 """
@@ -71,6 +71,8 @@ def read_messages(
         if path is None:
             raise ValueError("text source needs a path")
         reader = spark.readStream if streaming else spark.read
+        # Spark's own default splits at CR too, which would cut every message
+        opts.setdefault("lineSep", "\n")
         df = reader.options(**opts).text(path)
         return _with_arrival(df, topic)
     if fmt == "fixture":

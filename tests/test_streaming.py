@@ -67,3 +67,27 @@ def test_bad_message_fails_the_stream(spark, scratch_dir):
         assert "Message is not an ACK message" in str(e)
     else:
         assert q.exception() is not None
+
+
+def test_three_pipelines_in_one_application(spark, scratch_dir):
+    from labrelay.streaming.pipeline import start_all
+
+    specs = []
+    for kind, msg, topic in (("order", S.ORDER, "lab-orders"), ("ack", S.ACK, "lab-orders-ack"),
+                             ("result", S.RESULT, "lab-results")):
+        src = f"{scratch_dir}/{kind}-in"
+        raw_frame(spark, [msg]).selectExpr(f"'{topic}' AS topic", "partition", "offset", "value") \
+            .write.parquet(src)
+        specs.append(PipelineSpec(kind, source_fmt="parquet", source_path=src,
+                                  source_options={"schema": RAW_SCHEMA},
+                                  json_sink=JsonFileSink(f"{scratch_dir}/{kind}-json"),
+                                  table_sink=SnapshotTable(f"{scratch_dir}/{kind}-table", kind)))
+    queries = start_all(spark, specs, checkpoint_location=f"{scratch_dir}/ckpt", trigger=ONCE)
+    for q in queries:
+        q.awaitTermination(120)
+        assert q.exception() is None
+    expected = {"order": S.ORDER_JSON, "ack": S.ACK_JSON, "result": S.RESULT_JSON}
+    for spec in specs:
+        want = expected[spec.kind]
+        assert [r.value for r in spark.read.text(f"{scratch_dir}/{spec.kind}-json").collect()] == [want]
+        assert spec.table_sink.read(spark).count() == 1
