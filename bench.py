@@ -22,8 +22,8 @@ import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from labrelay import json_values, parse_messages, table_rows  # noqa: E402
-from labrelay.operators.upsert import latest_per_key  # noqa: E402
+from labrelay import json_values, parse_messages  # noqa: E402
+from labrelay.plans.batch import current_rows  # noqa: E402
 from labrelay.plans.catalog import QUERIES  # noqa: E402
 from labrelay.plans.kinds import get_kind  # noqa: E402
 from labrelay.session import ensure_checkpoint_dir, local_session  # noqa: E402
@@ -73,7 +73,7 @@ def main() -> None:
 
         def upsert_q():
             raw = read_messages(spark, kind, fmt="parquet", path=path)
-            return latest_per_key(table_rows(parse_messages(raw, k), k), k.key)
+            return current_rows(parse_messages(raw, k), k)
 
         for label, build in (("json", json_q), ("upsert", upsert_q)):
             timed(build())

@@ -6,7 +6,7 @@ written as JSON and as keyed last-write-wins upserts into current-state tables.
 The same functions serve batch DataFrames and Structured Streaming.
 """
 
-from .plans.batch import json_values, parse_messages, records, shred, table_rows
+from .plans.batch import current_rows, json_values, parse_messages, records, shred, table_rows
 from .plans.kinds import ACK, KINDS, ORDER, RESULT, MessageKind, get_kind
 
 __all__ = [
@@ -15,6 +15,7 @@ __all__ = [
     "ORDER",
     "RESULT",
     "MessageKind",
+    "current_rows",
     "get_kind",
     "json_values",
     "parse_messages",

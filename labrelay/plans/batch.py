@@ -19,6 +19,7 @@ from ..functions.segments import first_segment
 from ..operators.shred import passthrough
 from ..operators.errors import ERROR, apply_mode, keep_keyed
 from ..operators.messages import arrival_columns, prepare
+from ..operators.upsert import latest_per_key
 from .kinds import MessageKind, get_kind
 
 
@@ -51,6 +52,17 @@ def json_values(df: DataFrame, kind: str | MessageKind) -> DataFrame:
     return df.select(*arrival_columns(df), record_json(*k.record_columns).alias("value"))
 
 
+def current_rows(df: DataFrame, kind: str | MessageKind) -> DataFrame:
+    """Records (with arrival columns) -> one table row per key, latest arrival wins.
+
+    Dedupes the records first and serializes nested columns after, so rows
+    that lose to a later message are never turned into JSON.
+    """
+    k = get_kind(kind)
+    latest = latest_per_key(df.select(*k.table_columns, *arrival_columns(df)), k.key)
+    return table_rows(latest, k)
+
+
 def table_rows(df: DataFrame, kind: str | MessageKind) -> DataFrame:
     """Records -> current-state table columns; nested columns become JSON text."""
     k = get_kind(kind)

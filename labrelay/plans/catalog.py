@@ -21,10 +21,10 @@ from ..operators.messages import decode, drop_blank, drop_empty, prepare
 from ..operators.results import with_observation_group
 from ..operators.route import route
 from ..operators.shred import TEXT
-from ..operators.upsert import latest_per_key, merge_current
+from ..operators.upsert import merge_current
 from ..sources import fixtures
 from ..sources.messages import fixture_table, read_messages
-from .batch import delimiters, extract_fields, json_values, parse_messages, shred, table_rows
+from .batch import current_rows, delimiters, extract_fields, json_values, parse_messages, shred, table_rows
 from .kinds import ACK, ORDER, RESULT
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -407,8 +407,7 @@ def results_json(spark, sf):
 
 
 def _upserted(raw: DataFrame, kind) -> DataFrame:
-    rows = table_rows(parse_messages(raw, kind), kind)
-    return _flat_table(latest_per_key(rows, kind.key))
+    return _flat_table(current_rows(parse_messages(raw, kind), kind))
 
 
 @query("upsert_orders")

@@ -1,8 +1,9 @@
 """Current-state table sinks: keyed last-write-wins upserts.
 
-Both sinks take the table rows of one micro-batch (``plans.batch.table_rows``,
-arrival columns included), dedupe them per key (``operators.upsert``), and
-apply them so that the later message wins, NULLs included.
+Both sinks take the parsed records of one micro-batch (arrival columns
+included), dedupe them per key (``plans.batch.current_rows``: latest arrival,
+then JSON for nested columns), and apply them so that the later message wins,
+NULLs included.
 
 * ``SnapshotTable`` - versioned parquet snapshots under ``<path>/version=<n>``.
   Batch ``n`` reads the newest complete version below ``n``, merges, and
@@ -27,7 +28,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.upsert import latest_per_key, merge_current
+from ..operators.upsert import merge_current
+from ..plans.batch import current_rows
 from ..plans.kinds import MessageKind, get_kind
 
 VERSION_PREFIX = "version="
@@ -71,10 +73,10 @@ class SnapshotTable:
             raise FileNotFoundError(f"no complete snapshot under {self.path}")
         return df
 
-    def upsert(self, rows: DataFrame, batch_id: int) -> None:
+    def upsert(self, records: DataFrame, batch_id: int) -> None:
         k = get_kind(self.kind)
-        spark = rows.sparkSession
-        batch = latest_per_key(rows, k.key).select(*k.table_columns)
+        spark = records.sparkSession
+        batch = current_rows(records, k)
         base = self.current(spark, below=batch_id)
         merged = batch if base is None else merge_current(base, batch, k.key)
         merged.write.mode("overwrite").parquet(f"{self.path}/{VERSION_PREFIX}{batch_id}")
@@ -116,13 +118,13 @@ class JdbcUpsertTable:
     retries: int = 5
     delay_s: float = 5.0
 
-    def upsert(self, rows: DataFrame, batch_id: int) -> None:
+    def upsert(self, records: DataFrame, batch_id: int) -> None:
         k = get_kind(self.kind)
         target = self.table or k.table
         staging = self.staging or f"{target}_staging"
-        batch = latest_per_key(rows, k.key).select(*k.table_columns)
+        batch = current_rows(records, k)
         batch.write.mode("overwrite").jdbc(self.url, staging, properties=self.properties)
-        self._execute(rows.sparkSession, upsert_sql(k, target, staging))
+        self._execute(records.sparkSession, upsert_sql(k, target, staging))
 
     def _execute(self, spark: SparkSession, sql: str) -> None:
         jvm = spark.sparkContext._jvm

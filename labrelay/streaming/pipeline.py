@@ -29,7 +29,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.batch import json_values, parse_messages, table_rows
+from ..plans.batch import json_values, parse_messages
 from ..plans.kinds import MessageKind, get_kind
 from ..sources.messages import read_messages
 
@@ -44,7 +44,7 @@ class PipelineSpec:
     source_path: str | None = None
     source_options: dict | None = None
     json_sink: object | None = None  # has .write(df, batch_id)
-    table_sink: object | None = None  # has .upsert(df, batch_id)
+    table_sink: object | None = None  # has .upsert(records, batch_id)
     mode: str = "FAILFAST"
 
 
@@ -69,7 +69,7 @@ def micro_batch_writer(spec: PipelineSpec):
             if spec.json_sink is not None:
                 spec.json_sink.write(json_values(batch, kind), batch_id)
             if spec.table_sink is not None:
-                spec.table_sink.upsert(table_rows(batch, kind), batch_id)
+                spec.table_sink.upsert(batch, batch_id)
         finally:
             batch.unpersist()
 

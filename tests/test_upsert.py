@@ -42,13 +42,26 @@ def test_latest_per_key_plan_has_partial_aggregation(spark):
 
 def test_snapshot_table_versions_and_replay(spark, scratch_dir):
     t = SnapshotTable(f"{scratch_dir}/acks", "ack")
-    t.upsert(ack_rows(spark, [S.ACK]), 0)
-    t.upsert(ack_rows(spark, [S.ACK.replace("ack-0001", "ack-0002")]), 1)
-    t.upsert(ack_rows(spark, [S.ACK.replace("ack-0001", "ack-0002")]), 1)  # replay
+
+    def recs(msgs):
+        return parse_messages(raw_frame(spark, msgs), "ack")
+
+    t.upsert(recs([S.ACK]), 0)
+    t.upsert(recs([S.ACK.replace("ack-0001", "ack-0002")]), 1)
+    t.upsert(recs([S.ACK.replace("ack-0001", "ack-0002")]), 1)  # replay
     rows = t.read(spark).collect()
     assert [r.message_id for r in rows] == ["ack-0002"]
 
 
+def test_current_rows_dedupes_before_json(spark):
+    from labrelay.plans.batch import current_rows
+
+    later = S.ORDER.replace("Test One", "Test Two")
+    rows = current_rows(parse_messages(raw_frame(spark, [S.ORDER, later]), "order"), "order").collect()
+    assert len(rows) == 1
+    assert rows[0].lab_tests_ordered == '[{"code":"1111-1","name":"Test Two","type":"Regular"}]'
+
+
 def test_upsert_sql_text():
     sql = upsert_sql("order", "lab_orders", "lab_orders_staging")
     assert sql == (
