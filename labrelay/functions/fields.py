@@ -36,23 +36,44 @@ def reescape(s: Column, env: Env = ENV) -> Column:
     return F.when(env.esc, out).otherwise(s)
 
 
-def value(seg: Column, n: int, comp: int = 1, env: Env = ENV, *, header: bool = False) -> Column:
-    """Typed-getter value of field ``n`` component ``comp``; NULL if empty or absent."""
-    rep1 = F.split_part(field(seg, n, env, header=header), env.rs, F.lit(1))
+def split_fields(seg: Column, env: Env = ENV) -> Column:
+    """Segment -> array of its raw fields, split once (element n = field n, or
+    MSH-(n+1) for the header; element 0 = the name). Java's split takes a fast
+    path for a backslash-quoted non-alphanumeric separator."""
+    quoted = F.when(
+        env.fs.rlike("^[A-Za-z0-9]$"), F.concat(F.lit("\\Q"), env.fs, F.lit("\\E"))
+    ).otherwise(F.concat(F.lit("\\"), env.fs))
+    return F.split(seg, quoted)
+
+
+def field_value(raw_field: Column, comp: int = 1, env: Env = ENV) -> Column:
+    """Typed-getter value of an already extracted raw field: first repetition,
+    component ``comp``, first subcomponent, unescaped; NULL if empty or absent."""
+    rep1 = F.split_part(raw_field, env.rs, F.lit(1))
     sub1 = F.split_part(F.split_part(rep1, env.cs, F.lit(comp)), env.ss, F.lit(1))
     return F.nullif(unescape(sub1, env), F.lit(""))
 
 
-def encoded_first_repetition(seg: Column, n: int, env: Env = ENV) -> Column:
-    """First repetition of field ``n`` re-encoded: components and escapes kept,
+def value(seg: Column, n: int, comp: int = 1, env: Env = ENV, *, header: bool = False) -> Column:
+    """Typed-getter value of field ``n`` component ``comp``; NULL if empty or absent."""
+    return field_value(field(seg, n, env, header=header), comp, env)
+
+
+def encoded_value(raw_field: Column, env: Env = ENV) -> Column:
+    """First repetition of a raw field re-encoded: components and escapes kept,
     trailing empty components/subcomponents dropped (``a^b^^`` -> ``a^b``)."""
-    rep1 = F.split_part(field(seg, n, env), env.rs, F.lit(1))
+    rep1 = F.split_part(raw_field, env.rs, F.lit(1))
     trailing = F.concat(F.lit("[\\Q"), env.cs, env.ss, F.lit("\\E]+$"))
     ends_empty = (env.cs != "") & (rep1.endswith(env.cs) | ((env.ss != "") & rep1.endswith(env.ss)))
     trimmed = F.when(ends_empty, F.regexp_replace(rep1, trailing, F.lit(""))).otherwise(rep1)
     return reescape(trimmed, env)
 
 
+def encoded_first_repetition(seg: Column, n: int, env: Env = ENV) -> Column:
+    """``encoded_value`` of field ``n`` of a segment."""
+    return encoded_value(field(seg, n, env), env)
+
+
 def has_repetition(seg: Column, n: int, env: Env = ENV) -> Column:
     """True when field ``n`` holds at least one repetition (any non-empty raw text)."""
     return F.length(field(seg, n, env)) > 0

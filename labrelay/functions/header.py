@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .fields import field, value
+from .fields import field_value, split_fields
 from .segments import CR, ENV, Env
 
 # Fixed value: only the typed classes of this version are accepted.
@@ -17,18 +17,23 @@ def header_segment(env: Env = ENV) -> Column:
     return F.substring_index(F.substr(env.c, F.lit(2)), CR, 1)
 
 
+def header_fields(env: Env = ENV) -> Column:
+    """The header split into its raw fields once: element n-1 is MSH-n."""
+    return split_fields(header_segment(env), env)
+
+
 def hv(msh: Column, n: int, comp: int = 1, env: Env = ENV) -> Column:
-    """Typed-getter value of MSH-n.comp."""
-    return value(msh, n, comp, env, header=True)
+    """Typed-getter value of MSH-n.comp, from the ``header_fields`` array."""
+    return field_value(F.get(msh, n - 1), comp, env)
 
 
 def message_structure(msh: Column, env: Env = ENV) -> Column:
-    """Message structure named by MSH-9.
+    """Message structure named by MSH-9 (``msh`` = ``header_fields``).
 
     MSH-9.3 when present; a type of ``ACK`` alone is the ACK structure; else
     ``type_event`` (e.g. ``ORU^R01`` -> ``ORU_R01``); NULL when undeterminable.
     """
-    msh9 = F.split_part(field(msh, 9, env, header=True), env.rs, F.lit(1))
+    msh9 = F.split_part(F.coalesce(F.get(msh, 8), F.lit("")), env.rs, F.lit(1))
 
     def comp(i: int) -> Column:
         return F.split_part(msh9, env.cs, F.lit(i))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fields import value
-from ..functions.header import first_error, header_segment, hv, kind_error
+from ..functions.header import first_error, header_fields, hv, kind_error
 from ..functions.segments import first_segment, well_formed
 from ..functions.times import parse_strict
 from .shred import NOT_PIPE_ENCODED, TEXT, passthrough
@@ -23,7 +23,7 @@ def project_acks(df: DataFrame) -> DataFrame:
     keep = passthrough(df)
     staged = df.select(
         "*",
-        header_segment().alias("_s_msh"),
+        header_fields().alias("_s_msh"),
         first_segment("MSA").alias("_s_msa"),
         F.when(well_formed(F.col(TEXT)), F.lit(None).cast("string"))
         .otherwise(F.lit(NOT_PIPE_ENCODED))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fields import encoded_first_repetition, has_repetition, value
+from ..functions.fields import encoded_value, field_value, split_fields, value
 from ..functions.header import first_error, hv, kind_error
 from ..functions.segments import all_segments, cut_at_boundary, slice_from
 from ..functions.times import parse_lenient
@@ -33,17 +33,22 @@ def observation_group() -> Column:
 
 
 def observation_values(obx: Column) -> Column:
-    """OBX segments with a value -> array<struct(value, unit, referenceRange, time text)>."""
+    """OBX segments with a value -> array<struct(value, unit, referenceRange, time text)>.
 
-    def one(x: Column) -> Column:
+    Each OBX is split into its fields once; an OBX counts when OBX-5 holds at
+    least one repetition (any raw text).
+    """
+    fields = F.transform(obx, lambda x: split_fields(x))
+
+    def one(f: Column) -> Column:
         return F.struct(
-            encoded_first_repetition(x, 5).alias("value"),
-            value(x, 6, 1).alias("unit"),
-            value(x, 7, 1).alias("referenceRange"),
-            value(x, 14, 1).alias("time"),
+            encoded_value(F.get(f, 5)).alias("value"),
+            field_value(F.get(f, 6)).alias("unit"),
+            field_value(F.get(f, 7)).alias("referenceRange"),
+            field_value(F.get(f, 14)).alias("time"),
         )
 
-    return F.transform(F.filter(obx, lambda x: has_repetition(x, 5)), one)
+    return F.transform(F.filter(fields, lambda f: F.length(F.get(f, 5)) > 0), one)
 
 
 def observations(vals: Column) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.header import header_segment, kind_error
+from ..functions.header import header_fields, kind_error
 from ..functions.segments import well_formed
 from .messages import prepare
 from .shred import TEXT, passthrough
@@ -19,7 +19,7 @@ from .shred import TEXT, passthrough
 
 def accepted(structure: str) -> Column:
     """True when an envelope'd message is pipe-encoded and names ``structure`` in the accepted version."""
-    return well_formed(F.col(TEXT)) & kind_error(header_segment(), structure).isNull()
+    return well_formed(F.col(TEXT)) & kind_error(header_fields(), structure).isNull()
 
 
 def route(raw: DataFrame, structure: str) -> DataFrame:

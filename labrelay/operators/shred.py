@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.header import header_segment
+from ..functions.header import header_fields
 from ..functions.segments import ENV, ENV_COLS, quote_re, segment_at, segment_pos, well_formed
 
 TEXT = "text"
@@ -70,10 +70,10 @@ def group_flags() -> tuple[Column, Column, Column]:
 
 
 def with_segments(df: DataFrame, extra: dict[str, Column] | None = None) -> DataFrame:
-    """Header, patient, first ORC and OBR of group 1 as strings (NULL when absent)."""
+    """Header fields (array), patient, first ORC and OBR of group 1 as strings (NULL when absent)."""
     orc_ok, obr_ok, pid_ok = group_flags()
     cols = [
-        header_segment().alias("_s_msh"),
+        header_fields().alias("_s_msh"),
         F.when(pid_ok, segment_at(F.col("_p_pid"))).alias("_s_pid"),
         F.when(orc_ok, segment_at(F.col("_p_orc"))).alias("_s_orc"),
         F.when(obr_ok, segment_at(F.col("_p_obr"))).alias("_s_obr"),
