@@ -38,7 +38,6 @@ ESCAPE_CODES = ("F", "S", "T", "R", "E")
 # Unicode noncharacters U+FDD0..U+FDD4 (reserved for internal use, never
 # interchanged) stand for one escape sequence each inside the canonical text.
 MARKS = "".join(chr(0xFDD0 + i) for i in range(len(ESCAPE_CODES)))
-HAS_MARK = "[" + MARKS + "]"
 
 
 def call(name: str, *cols: Column) -> Column:

@@ -30,9 +30,6 @@ from .kinds import ACK, ORDER, RESULT
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-ISO = "yyyy-MM-dd'T'HH:mm:ss"
-
-
 def query(name: str):
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
@@ -63,8 +60,10 @@ def mixed_raw(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def iso(c: str | Column) -> Column:
+    """TIMESTAMP_NTZ -> ISO text, zone-free (``cast`` to string, no session-zone
+    round trip); parsed values carry whole seconds."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.date_format(col, ISO)
+    return F.replace(col.cast("string"), F.lit(" "), F.lit("T"))
 
 
 # ---------------------------------------------------------------- sources (A)

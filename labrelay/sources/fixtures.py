@@ -53,7 +53,12 @@ ORDER_TOPIC = "lab-orders"
 ACK_TOPIC = "lab-orders-ack"
 RESULT_TOPIC = "lab-results"
 
-HL7_TS = "yyyyMMddHHmmss"
+def hl7_ts(ts) -> Column:
+    """TIMESTAMP_NTZ -> ``yyyyMMddHHmmss`` without any time-zone round trip
+    (``date_format`` would pass through the session zone and move wall-clock
+    times that fall into a daylight-saving gap)."""
+    col = F.col(ts) if isinstance(ts, str) else ts
+    return F.translate(F.substr(col.cast("string"), F.lit(1), F.lit(19)), "- :", "")
 
 
 def _s(c) -> Column:
@@ -96,7 +101,7 @@ def render_orders(orders: DataFrame, customer: DataFrame, version: Column | None
         .when(k % 5 == 1, _cat("NS", n, "^^URI"))
         .otherwise(_cat("NS", n, "^F", n, "^URI"))
     )
-    ts = F.when(k % 17 == 0, F.lit("")).otherwise(F.date_format("o_orderdate", HL7_TS))
+    ts = F.when(k % 17 == 0, F.lit("")).otherwise(hl7_ts("o_orderdate"))
     kind = F.when(k % 3 == 0, F.lit("OML^O21")).otherwise(F.lit("OML^O21^OML_O21"))
     msh = _cat("MSH|^~\\&|ClinicApp|", fac, "|LabApp|LAB", ck % 10, "^L^ISO|", ts, "||", kind, "|M", k, "|P|", ver)
     rep2 = F.when(k % 7 == 0, _cat("~X-", k, "^^^^AN")).otherwise(F.lit(""))
@@ -142,7 +147,7 @@ def render_acks(events: DataFrame, version: Column | None = None, sent_length: C
     e, u, et = F.col("event_id"), F.col("user_id"), F.col("event_type")
     ver = version if version is not None else F.lit("2.5")
     fac = F.when(e % 9 == 0, F.lit("^U")).otherwise(_cat("LAB", u % 5, "^U"))
-    ts = F.date_format("ts", HL7_TS)
+    ts = hl7_ts("ts")
     if sent_length is not None:
         ts = F.substr(ts, F.lit(1), sent_length)
     kind = (
@@ -166,7 +171,7 @@ def render_acks(events: DataFrame, version: Column | None = None, sent_length: C
 
 
 def _cut_time(ts: Column, length: Column) -> Column:
-    return F.substr(F.date_format(ts, HL7_TS), F.lit(1), length)
+    return F.substr(hl7_ts(ts), F.lit(1), length)
 
 
 def render_results(lineitem: DataFrame, version: Column | None = None) -> DataFrame:
