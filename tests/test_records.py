@@ -128,3 +128,17 @@ def test_order_table_drops_message_id_and_patient(spark):
 def test_regex_special_field_separator(spark):
     msg = S.ORDER.replace("|", "$")
     assert one_json(spark, "order", msg) == S.ORDER_JSON
+
+
+def test_header_time_by_kind(spark):
+    import pytest
+
+    short = "202403060800"
+    res = json.loads(one_json(spark, "result", S.RESULT.replace("20240306080000", short)))
+    assert res["sending_date_time"] == "2024-03-06T08:00:00"
+    with pytest.raises(Exception, match="could not be parsed"):
+        one_json(spark, "ack", S.ACK.replace("20240305101600", short))
+    empty = {"order": S.ORDER.replace("20240305101530", ""), "ack": S.ACK.replace("20240305101600", ""),
+             "result": S.RESULT.replace("20240306080000", "")}
+    for kind, msg in empty.items():
+        assert json.loads(one_json(spark, kind, msg))["sending_date_time"] is None

@@ -73,3 +73,20 @@ def test_upsert_sql_text():
     )
     ack = upsert_sql("ack", "lab_orders_ack", "s")
     assert "ON CONFLICT (ack_message_id)" in ack and "message_id = EXCLUDED.message_id" in ack
+
+
+def test_hot_key_with_a_third_of_the_rows(spark):
+    from pyspark.sql import functions as F
+
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 1000).cast("string")))
+        .alias("key"),
+        F.lit(0).alias("partition"),
+        F.col("id").alias("offset"),
+        F.col("id").cast("string").alias("payload"),
+    ).repartition(8)
+    out = {r.key: r.payload for r in latest_per_key(df, "key").collect()}
+    assert out["hot"] == str(max(i for i in range(n) if i % 3 == 0))
+    assert len(out) == 1 + len({i % 1000 for i in range(n) if i % 3 != 0})
+    assert out["k1"] == str(max(i for i in range(n) if i % 3 != 0 and i % 1000 == 1))
