@@ -147,18 +147,25 @@ def canonical(text: Column, fs: Column, es: Column, body: Column) -> Column:
     return F.concat(F.lit(CR), framed, fs)
 
 
+# The standard delimiters, used for a mark whose delimiter the
+# header leaves out (order of the marks: field, component, subcomponent,
+# repetition, escape).
+STANDARD_FOR_MARKS = "|^&~\\"
+
+
 def with_envelope(df: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``_fs.._ss``, the canonical text ``_c`` and the mark targets ``_tr``."""
+    """Add the delimiters ``_fs.._ss``, ``_body`` (start of the text after MSH-2),
+    the canonical text ``_c``, ``_esc`` (any escape sequence at all) and the
+    mark targets ``_tr``."""
     t = F.col(text)
     staged = df.select("*", *delimiter_columns(t))
     fs, cs, rs, es, ss = (F.col(n) for n in ENV_COLS[:5])
+    targets = [F.coalesce(F.nullif(d, F.lit("")), F.lit(std)) for d, std in zip((fs, cs, ss, rs, es), STANDARD_FOR_MARKS)]
     return staged.select(
         "*",
         canonical(t, fs, es, F.col("_body")).alias("_c"),
         may_escape(t, es, F.col("_body")).alias("_esc"),
-        F.concat(*(F.coalesce(F.nullif(d, F.lit("")), F.lit(std)) for d, std in zip((fs, cs, ss, rs, es), "|^&~\\"))).alias(
-            "_tr"
-        ),
+        F.concat(*targets).alias("_tr"),
     )
 
 

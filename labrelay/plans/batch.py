@@ -1,8 +1,8 @@
 """Message table -> records -> {JSON rows, table rows}: the per-kind plan.
 
-Every function works on batch and streaming DataFrames alike. Nothing here
-shuffles: the plan is scan -> filter -> project, one stage. The only shuffle of
-a pipeline is the dedupe in ``operators.upsert``.
+Every function works on batch and streaming DataFrames alike. Parsing and
+JSON never shuffle: scan -> filter -> project, one stage. The only shuffle of
+a pipeline is the keyed dedupe behind ``current_rows`` (``operators.upsert``).
 """
 
 from __future__ import annotations
@@ -16,9 +16,9 @@ from ..functions.fields import value
 from ..functions.jsonfmt import record_json, to_json_text
 from ..functions.plan import fenced_select
 from ..functions.segments import first_segment
-from ..operators.shred import passthrough
 from ..operators.errors import ERROR, apply_mode, keep_keyed
 from ..operators.messages import arrival_columns, prepare
+from ..operators.shred import passthrough
 from ..operators.upsert import latest_per_key
 from .kinds import MessageKind, get_kind
 
