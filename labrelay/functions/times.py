@@ -28,7 +28,8 @@ def _from_digits(s14: Column) -> tuple[Column, Column]:
     digits = s14.rlike(r"^[0-9]{14}$")
 
     def part(pos: int, width: int) -> Column:
-        return F.substr(s14, F.lit(pos), F.lit(width)).try_cast("int")
+        # digits only: a plain cast cannot fail (a try_cast on bad text is slow)
+        return F.when(digits, F.substr(s14, F.lit(pos), F.lit(width)).cast("int"))
 
     y, mo, d, h, mi, sec = part(1, 4), part(5, 2), part(7, 2), part(9, 2), part(11, 2), part(13, 2)
     in_range = (
