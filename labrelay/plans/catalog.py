@@ -439,16 +439,27 @@ def upsert_two_batches(spark, sf):
 # --------------------------------------------------------------- errors (H)
 
 
-@query("malformed_report")
-def malformed_report(spark, sf):
-    """PERMISSIVE parse of an ack stream that also carries every order message,
-    acks in version 2.3 (e%10=9) and acks with a 12-char send time (e%13=0)."""
+def _malformed_ack_stream(spark, sf) -> DataFrame:
+    """An ack stream that also carries every order message, acks in version 2.3
+    (e%10=9) and acks with a 12-char send time (e%13=0)."""
     ev, e = _table(spark, sf, "events"), F.col("event_id")
     acks = fixtures.render_acks(
         ev,
         version=F.when(e % 10 == 9, F.lit("2.3")).otherwise(F.lit("2.5")),
         sent_length=F.when(e % 13 == 0, F.lit(12)).otherwise(F.lit(14)),
     )
-    stream = acks.unionByName(orders_raw(spark, sf))
-    df = shred(stream, ACK, mode="PERMISSIVE")
+    return acks.unionByName(orders_raw(spark, sf))
+
+
+@query("dropmalformed_acks")
+def dropmalformed_acks(spark, sf):
+    """DROPMALFORMED parse of the malformed ack stream: good acks with a key remain."""
+    df = parse_messages(_malformed_ack_stream(spark, sf), ACK, mode="DROPMALFORMED")
+    return df.select("topic", "offset", "ack_message_id")
+
+
+@query("malformed_report")
+def malformed_report(spark, sf):
+    """PERMISSIVE parse of the malformed ack stream: one row per bad message and its reason."""
+    df = shred(_malformed_ack_stream(spark, sf), ACK, mode="PERMISSIVE")
     return df.filter(F.col(ERROR).isNotNull()).select("topic", "offset", "message_id", F.col(ERROR).alias("error"))

@@ -287,6 +287,9 @@ ORACLE: dict[str, str] = {
     "WHERE present AND ack_message_id IS NOT NULL "
     "QUALIFY row_number() OVER (PARTITION BY ack_message_id ORDER BY e % 2 DESC, e DESC) = 1",
     # --------------------------------------------------------------- errors
+    "dropmalformed_acks": _with(EX_A)
+    + "SELECT 'lab-orders-ack' AS topic, e AS \"offset\", ack_message_id FROM ex_a "
+    "WHERE present AND e % 10 <> 9 AND e % 13 <> 0 AND ack_message_id IS NOT NULL",
     "malformed_report": _with(EX_O, EX_A)
     + "SELECT 'lab-orders' AS topic, k AS \"offset\", message_id, 'Message is not an ACK message' AS error "
     "FROM ex_o "
