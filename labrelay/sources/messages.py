@@ -119,7 +119,9 @@ def fixture_table(spark: SparkSession, table_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{table_dir}/{name}.parquet")
     if name not in FIXTURE_KEYS:
         return df
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), FIXTURE_KEYS[name])
+    setting = spark.conf.get("spark.sql.shuffle.partitions", "")
+    n = int(setting) if setting.isdigit() else spark.sparkContext.defaultParallelism
+    return df.repartition(n, FIXTURE_KEYS[name])
 
 
 def fixture_messages(spark: SparkSession, table_dir: str, kind: str) -> DataFrame:
