@@ -40,10 +40,7 @@ def split_fields(seg: Column, env: Env = ENV) -> Column:
     """Segment -> array of its raw fields, split once (element n = field n, or
     MSH-(n+1) for the header; element 0 = the name). Java's split takes a fast
     path for a backslash-quoted non-alphanumeric separator."""
-    quoted = F.when(
-        env.fs.rlike("^[A-Za-z0-9]$"), F.concat(F.lit("\\Q"), env.fs, F.lit("\\E"))
-    ).otherwise(F.concat(F.lit("\\"), env.fs))
-    return F.split(seg, quoted)
+    return F.split(seg, env.fsre)
 
 
 def field_value(raw_field: Column, comp: int = 1, env: Env = ENV) -> Column:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 CR = "\r"
 
 # Column names the envelope adds; dropped again by the kind projections.
-ENV_COLS = ("_fs", "_cs", "_rs", "_es", "_ss", "_c", "_tr", "_body", "_esc")
+ENV_COLS = ("_fs", "_cs", "_rs", "_es", "_ss", "_c", "_tr", "_body", "_esc", "_fsre")
 
 # The five standard escape codes, in the order their marks are
 # assigned. \F\ field sep, \S\ component sep, \T\ subcomponent sep,
@@ -88,6 +88,10 @@ class Env:
     def esc(self) -> Column:  # the message holds escape sequences (marks) at all
         return F.col(self.names[8])
 
+    @property
+    def fsre(self) -> Column:  # regex that splits at the field separator
+        return F.col(self.names[9])
+
 
 ENV = Env()
 
@@ -161,11 +165,16 @@ def with_envelope(df: DataFrame, text: str = "text") -> DataFrame:
     staged = df.select("*", *delimiter_columns(t))
     fs, cs, rs, es, ss = (F.col(n) for n in ENV_COLS[:5])
     targets = [F.coalesce(F.nullif(d, F.lit("")), F.lit(std)) for d, std in zip((fs, cs, ss, rs, es), STANDARD_FOR_MARKS)]
+    # backslash-quoting a non-alphanumeric separator lets Java's split skip the regex engine
+    fsre = F.when(fs.rlike("^[A-Za-z0-9]$"), F.concat(F.lit("\\Q"), fs, F.lit("\\E"))).otherwise(
+        F.concat(F.lit("\\"), fs)
+    )
     return staged.select(
         "*",
         canonical(t, fs, es, F.col("_body")).alias("_c"),
         may_escape(t, es, F.col("_body")).alias("_esc"),
         F.concat(*targets).alias("_tr"),
+        fsre.alias("_fsre"),
     )
 
 
