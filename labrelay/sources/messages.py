@@ -7,7 +7,9 @@ arrival columns ``topic, partition, offset`` (and ``timestamp`` for Kafka).
 
 * ``kafka``   - ``spark.read[Stream].format("kafka")``: one topic per kind,
   ``startingOffsets=earliest`` on first start; a restarted stream resumes from
-  its checkpoint (the option only applies to a fresh checkpoint). Needs the
+  its checkpoint (the option only applies to a fresh checkpoint).
+  ``minPartitions`` defaults to the cluster's parallelism so that a topic
+  partition holding most of the messages is read by several tasks. Needs the
   Kafka connector on the classpath (not installed here).
 * ``parquet`` - files with at least ``value``; ``partition``/``offset`` if
   present, else ``offset`` is derived from the file and row position.
@@ -56,6 +58,9 @@ def read_messages(
         reader = spark.readStream if streaming else spark.read
         opts.setdefault("subscribe", topic)
         opts.setdefault("startingOffsets", "earliest")
+        # a hot topic partition is split into several tasks by offset range;
+        # order is carried by the (timestamp, partition, offset) columns
+        opts.setdefault("minPartitions", str(spark.sparkContext.defaultParallelism))
         df = reader.format("kafka").options(**opts).load()
         return df.select("topic", "partition", "offset", "timestamp", "value")
     if fmt == "parquet":
