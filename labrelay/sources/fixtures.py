@@ -7,8 +7,8 @@ partition, offset, value``) and does none of the parsing work. Expected
 values are computed independently from the relational columns (DuckDB
 oracles in ``__spark_entry__.py``), never from the text.
 
-Mapping (k = key of the source row). Separators: CR, CRLF, or CR followed by
-blanks; encoding characters ``^~\\&`` unless stated.
+Mapping (k = key of the source row). Encoding characters ``^~\\&`` unless
+stated; segments end with CR unless stated.
 
 orders x customer -> order messages, topic ``lab-orders``, offset = o_orderkey
   MSH-4   ``NS{nation}`` (k%5=0), ``NS{nation}^^URI`` (k%5=1), else ``NS{nation}^F{nation}^URI``
@@ -18,7 +18,8 @@ orders x customer -> order messages, topic ``lab-orders``, offset = o_orderkey
           PID-8 empty if custkey%9=0, else M/F by custkey%2
   ORC-2   ``O{k div 4}`` (four orders share an id), empty if k%11=0
   OBR-4   absent if k%19=0; ``{status}^{priority}[0xFF if k%29=0][\\F\\{status} if k%3=0]^L``
-  then a decoy OBX, a second OBR and an SPM
+  then a decoy OBX, a second OBR and an SPM; segments end with CRLF (k%4=0)
+  or CR plus two blanks (k%8=1); an extra CR at the end if k%6=0
 
 lineitem grouped by l_orderkey -> result messages, topic ``lab-results``
   MSH-4   ``Lab{k%3}`` (k%6=0) else ``Lab{k%3}^L{k%3}^URI``;  MSH-6 ``{1000 + k%50}``
@@ -39,7 +40,8 @@ events -> ack messages, topic ``lab-orders-ack``, offset = event_id
   MSH-9   ``ACK^O21`` (e%7=0), ``ACK`` (e%7=1), else ``ACK^O21^ACK``;  MSH-10 ``A{e}``
   MSA-1   AA (purchase, signup), AE (click), AR (others);  MSA-2 ``M{user}``, empty for errors
   MSA-3   empty if e%3=0, ``{type}\\S\\{e%10}`` if e%8=0, else the event type
-  field/component separators ``#`` / ``$`` instead of ``|`` / ``^`` if e%10=0
+  field/component separators ``#`` / ``$`` instead of ``|`` / ``^`` if e%10=0;
+  CRLF between the segments if e%4=0; a trailing field separator if e%2=0
 """
 
 from __future__ import annotations
