@@ -12,7 +12,7 @@ arrival columns ``topic, partition, offset`` (and ``timestamp`` for Kafka).
   partition holding most of the messages is read by several tasks. Needs the
   Kafka connector on the classpath (not installed here).
 * ``parquet`` - files with at least ``value``; ``partition``/``offset`` if
-  present, else ``offset`` is derived from the file and row position.
+  present, else arrival is derived from the file and row position.
 * ``text``    - one message per record, split at ``lineSep`` (default LF
   only - Spark's own default also splits at CR - so CR-separated segments
   stay inside one message; for framed files use e.g. ``lineSep='\\x1c'``).
@@ -71,7 +71,7 @@ def read_messages(
             df = spark.readStream.schema(schema).options(**opts).parquet(path)
         else:
             df = spark.read.options(**opts).parquet(path)
-        return _with_arrival(df, topic)
+        return _with_arrival(df, topic, fmt, streaming)
     if fmt == "text":
         if path is None:
             raise ValueError("text source needs a path")
@@ -79,7 +79,7 @@ def read_messages(
         # Spark's own default splits at CR too, which would cut every message
         opts.setdefault("lineSep", "\n")
         df = reader.options(**opts).text(path)
-        return _with_arrival(df, topic)
+        return _with_arrival(df, topic, fmt, streaming)
     if fmt == "fixture":
         if streaming:
             raise ValueError("the fixture source is batch only; write it to parquet to stream it")
@@ -87,13 +87,16 @@ def read_messages(
     raise ValueError(f"fmt must be one of {FORMATS}, got {fmt!r}")
 
 
-def _with_arrival(df: DataFrame, topic: str) -> DataFrame:
+def _with_arrival(df: DataFrame, topic: str, fmt: str, streaming: bool) -> DataFrame:
     """Add ``topic/partition/offset`` when a file source lacks them.
 
-    Without an explicit order the arrival order is (file modification time,
-    file name, row position inside the file); row positions come from
-    ``monotonically_increasing_id`` within one read, which is stable for a
-    given set of files and split size.
+    Arrival order is then (file modification time, file, position in file):
+    ``timestamp`` = the file's modification time, ``partition`` = a hash of the
+    file name, ``offset`` = the row's position in the file - exact for parquet
+    (``_metadata.row_index``) and for batch reads of text; a *streaming* text
+    source has no row position, so there ``offset`` is a hash of the message and
+    two messages for one key in the same file of one micro-batch have no
+    defined order (later files still win).
     """
     cols = df.columns
     out = df
@@ -101,12 +104,18 @@ def _with_arrival(df: DataFrame, topic: str) -> DataFrame:
         out = out.withColumn("topic", F.lit(topic))
     if "offset" not in cols:
         meta = F.col("_metadata")
-        out = out.withColumn("_file_time", meta["file_modification_time"]).withColumn(
-            "_file_name", meta["file_name"]
-        ).withColumn("offset", F.monotonically_increasing_id())
-        out = out.withColumn("timestamp", F.col("_file_time")).withColumn(
-            "partition", F.hash(F.col("_file_name"))
-        ).drop("_file_time", "_file_name")
+        if fmt == "parquet":
+            position = meta["row_index"]
+        elif not streaming:
+            position = F.monotonically_increasing_id()
+        else:
+            position = F.xxhash64("value")
+        out = out.select(
+            "*",
+            meta["file_modification_time"].alias("timestamp"),
+            F.hash(meta["file_name"]).alias("partition"),
+            position.alias("offset"),
+        )
     elif "partition" not in cols:
         out = out.withColumn("partition", F.lit(0))
     keep = [c for c in ("topic", "partition", "offset", "timestamp", "value") if c in out.columns]

@@ -91,3 +91,21 @@ def test_three_pipelines_in_one_application(spark, scratch_dir):
         want = expected[spec.kind]
         assert [r.value for r in spark.read.text(f"{scratch_dir}/{spec.kind}-json").collect()] == [want]
         assert spec.table_sink.read(spark).count() == 1
+
+
+def test_text_file_stream(spark, scratch_dir):
+    import os
+
+    src = f"{scratch_dir}/in"
+    os.makedirs(src)
+    with open(f"{src}/a.txt", "w", newline="") as f:
+        f.write(S.ACK + "\n" + S.SAMPLE_ACK + "\n")
+    table = SnapshotTable(f"{scratch_dir}/table", "ack")
+    spec = PipelineSpec("ack", source_fmt="text", source_path=src, json_sink=JsonFileSink(f"{scratch_dir}/json"),
+                        table_sink=table)
+    q = start_pipeline(spark, spec, checkpoint_location=f"{scratch_dir}/ckpt", trigger=ONCE, query_name="text")
+    q.awaitTermination(120)
+    assert q.exception() is None
+    assert sorted(r.value for r in spark.read.text(f"{scratch_dir}/json").collect()) == sorted(
+        [S.ACK_JSON, S.SAMPLE_ACK_JSON])
+    assert table.read(spark).count() == 2
