@@ -25,7 +25,7 @@ def test_parquet_source_without_offsets(spark, scratch_dir):
     path = os.path.join(scratch_dir, "orders")
     raw_frame(spark, [S.ORDER, S.SAMPLE_ORDER]).select("value").write.parquet(path)
     raw = read_messages(spark, "order", fmt="parquet", path=path)
-    assert raw.select("offset").distinct().count() == 2
+    assert raw.select("partition", "offset").distinct().count() == 2  # arrival = (file, row)
     assert parse_messages(raw, "order").count() == 2
 
 
