@@ -9,6 +9,12 @@ resolver mode, which a Spark format cannot mimic exactly: a day 29-31 past the
 month end is clamped to the last day, and ``24:00:00`` means midnight of the
 next day. The value is therefore assembled from its digits with
 ``make_timestamp_ntz`` behind a range check, all native expressions.
+
+The work is split in two steps, ``time_parts`` (digits -> ints, once) and
+``time_value`` / ``time_error`` (read only those parts). In a projection the
+optimizer fuses them; inside the observation lambdas (interpreted, no reuse
+of common subexpressions) the caller runs them as two passes so each part is
+computed once.
 """
 
 from __future__ import annotations
@@ -22,16 +28,25 @@ from pyspark.sql import functions as F
 # everything else fails in padding or parsing.
 LENIENT_LENGTHS = (8, 10, 12, 14)
 
+_PARTS = (("y", 1, 4), ("mo", 5, 2), ("d", 7, 2), ("h", 9, 2), ("mi", 11, 2), ("sec", 13, 2))
+
 
-def _from_digits(s14: Column) -> tuple[Column, Column]:
-    """(ok, value) for a 14-char candidate ``yyyyMMddHHmmss``."""
-    digits = s14.rlike(r"^[0-9]{14}$")
+def time_parts(s: Column, lenient: bool) -> Column:
+    """struct(present, usable, digits, y, mo, d, h, mi, sec) of a date-time text."""
+    n = F.length(s)
+    usable = n.isin(*LENIENT_LENGTHS) if lenient else (n == 14)
+    candidate = F.rpad(s, 14, "0") if lenient else s
+    return F.struct(
+        (s.isNotNull() & (s != "")).alias("present"),
+        usable.alias("usable"),
+        candidate.rlike(r"^[0-9]{14}$").alias("digits"),
+        # NULL on non-digits (try_cast); checked through ``digits`` below
+        *(F.substr(candidate, F.lit(p), F.lit(w)).try_cast("int").alias(name) for name, p, w in _PARTS),
+    )
 
-    def part(pos: int, width: int) -> Column:
-        # digits only: a plain cast cannot fail (a try_cast on bad text is slow)
-        return F.when(digits, F.substr(s14, F.lit(pos), F.lit(width)).cast("int"))
 
-    y, mo, d, h, mi, sec = part(1, 4), part(5, 2), part(7, 2), part(9, 2), part(11, 2), part(13, 2)
+def _ok(p: Column) -> Column:
+    y, mo, d, h, mi, sec = (p[name] for name, _, _ in _PARTS)
     in_range = (
         (y >= 1)
         & mo.between(1, 12)
@@ -40,35 +55,34 @@ def _from_digits(s14: Column) -> tuple[Column, Column]:
         & sec.between(0, 59)
         & (h.between(0, 23) | ((h == 24) & (mi == 0) & (sec == 0)))
     )
-    ok = F.coalesce(digits & in_range, F.lit(False))
+    return F.coalesce(p["usable"] & p["digits"] & in_range, F.lit(False))
+
+
+def time_value(p: Column) -> Column:
+    """TIMESTAMP_NTZ from ``time_parts``; NULL when absent or invalid."""
+    y, mo, d, h, mi, sec = (p[name] for name, _, _ in _PARTS)
     leap = ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
-    month_end = (
-        F.when(mo == 2, F.when(leap, 29).otherwise(28))
-        .when(mo.isin(4, 6, 9, 11), 30)
-        .otherwise(31)
-    )
-    day = F.least(d, month_end)
-    base = F.make_timestamp_ntz(y, mo, day, h % 24, mi, sec)
-    value = F.when(ok, F.when(h == 24, base + F.expr("INTERVAL 1 DAY")).otherwise(base))
-    return ok, value
-
-
-def _result(s: Column, usable: Column, candidate: Column) -> tuple[Column, Column]:
-    ok, value = _from_digits(candidate)
-    present = s.isNotNull() & (s != "")
-    good = usable & ok
-    err = F.when(
-        present & ~F.coalesce(good, F.lit(False)),
+    month_end = F.when(mo == 2, F.when(leap, 29).otherwise(28)).when(mo.isin(4, 6, 9, 11), 30).otherwise(31)
+    base = F.make_timestamp_ntz(y, mo, F.least(d, month_end), h % 24, mi, sec)
+    value = F.when(h == 24, base + F.expr("INTERVAL 1 DAY")).otherwise(base)
+    return F.when(p["present"] & _ok(p), value)
+
+
+def time_error(p: Column, s: Column) -> Column:
+    """NULL, or the reason a present date-time text cannot be parsed."""
+    return F.when(
+        p["present"] & ~_ok(p),
         F.concat(F.lit("Text '"), s, F.lit("' could not be parsed as a date-time")),
     )
-    return F.when(present & good, value), err
 
 
 def parse_strict(s: Column) -> tuple[Column, Column]:
     """Orders and acks: NULL/empty -> NULL; otherwise exactly ``yyyyMMddHHmmss``."""
-    return _result(s, F.length(s) == 14, s)
+    p = time_parts(s, lenient=False)
+    return time_value(p), time_error(p, s)
 
 
 def parse_lenient(s: Column) -> tuple[Column, Column]:
     """Results: by length (8, 10, 12, 14 parse; anything else is an error)."""
-    return _result(s, F.length(s).isin(*LENIENT_LENGTHS), F.rpad(s, 14, "0"))
+    p = time_parts(s, lenient=True)
+    return time_value(p), time_error(p, s)

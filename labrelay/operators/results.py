@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.fields import encoded_value, field_value, split_fields, value
 from ..functions.header import first_error, hv, kind_error
 from ..functions.segments import all_segments, cut_at_boundary, slice_from
-from ..functions.times import parse_lenient
+from ..functions.times import parse_lenient, time_error, time_parts, time_value
 from .orders import facility_with_fallback
 from .shred import group_flags, passthrough, seg, with_positions, with_segments
 
@@ -52,19 +52,31 @@ def observation_values(obx: Column) -> Column:
 
 
 def observations(vals: Column) -> Column:
-    """Add the parsed observation time and its error to each observation."""
+    """Add the parsed observation time and its error to each observation.
 
-    def one(o: Column) -> Column:
-        t, t_err = parse_lenient(o["time"])
-        return F.struct(
+    Two passes: the time's parts are computed once per observation, then the
+    value and the error read only those parts.
+    """
+    with_parts = F.transform(
+        vals,
+        lambda o: F.struct(
             o["value"].alias("value"),
             o["unit"].alias("unit"),
             o["referenceRange"].alias("referenceRange"),
-            t.alias("observationDateTime"),
-            t_err.alias("err"),
-        )
-
-    return F.transform(vals, one)
+            o["time"].alias("time"),
+            time_parts(o["time"], lenient=True).alias("tp"),
+        ),
+    )
+    return F.transform(
+        with_parts,
+        lambda o: F.struct(
+            o["value"].alias("value"),
+            o["unit"].alias("unit"),
+            o["referenceRange"].alias("referenceRange"),
+            time_value(o["tp"]).alias("observationDateTime"),
+            time_error(o["tp"], o["time"]).alias("err"),
+        ),
+    )
 
 
 def with_observation_group(df: DataFrame) -> DataFrame:
