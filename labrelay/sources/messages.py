@@ -133,7 +133,7 @@ def fixture_table(spark: SparkSession, table_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{table_dir}/{name}.parquet")
     if name not in FIXTURE_KEYS:
         return df
-    setting = spark.conf.get("spark.sql.shuffle.partitions", "")
+    setting = str(spark.conf.get("spark.sql.shuffle.partitions"))  # effective value, default included
     n = int(setting) if setting.isdigit() else spark.sparkContext.defaultParallelism
     return df.repartition(n, FIXTURE_KEYS[name])
 

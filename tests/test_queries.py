@@ -48,3 +48,13 @@ def test_query_matches_oracle(spark, duck, name):
     rel = duck.sql(entry.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
     assert bag(df.columns, rows) == bag(rel.columns, rel.fetchall())
+
+
+def test_entry_in_a_session_with_default_settings(spark):
+    """The driver's session may leave spark.sql.shuffle.partitions unset."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.unset("spark.sql.shuffle.partitions")
+    try:
+        assert entry.entry(spark).count() > 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
