@@ -3,7 +3,8 @@
 ``value(seg, n, c)`` reads "segment-n.c" the way the reference's typed getters
 do: first repetition -> component ``c`` -> first subcomponent -> unescape ->
 empty string becomes NULL. Everything is ``split_part`` (literal delimiter
-taken per row, no regex) and one ``translate`` for the escape marks.
+taken per row, no regex); only a value that holds the escape character goes
+through the left-to-right unescape.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .segments import ENV, ESCAPE_CODES, MARKS, Env, call
+from .segments import ENV, ESCAPE_CODES, STANDARD_DELIMITERS, Env, quote_re
 
 
 def field(seg: Column, n: int, env: Env = ENV, *, header: bool = False) -> Column:
@@ -24,16 +25,32 @@ def field(seg: Column, n: int, env: Env = ENV, *, header: bool = False) -> Colum
 
 
 def unescape(s: Column, env: Env = ENV) -> Column:
-    """Marked escape sequences -> the delimiters they stand for (see ``mark_escapes``)."""
-    return call("translate", s, F.lit(MARKS), env.tr)
+    """Escape sequences ``<es>X<es>`` -> the delimiters they stand for.
 
+    One regex finds the sequences exactly as a left-to-right reader does
+    (``\\E\\F\\`` is one ``\\E\\``, then the text ``F\\``); the text between them
+    and what each stands for are joined again. Any text is safe: nothing is
+    marked inside it. Messages without an escape character skip all of this.
 
-def reescape(s: Column, env: Env = ENV) -> Column:
-    """Marked escape sequences -> their original text (``<es>X<es>``)."""
-    out = s
-    for code, mark in zip(ESCAPE_CODES, MARKS):
-        out = F.replace(out, F.lit(mark), F.concat(env.es, F.lit(code), env.es))
-    return F.when(env.esc, out).otherwise(s)
+    The lambda also keeps the projections that read fields out of one fused
+    whole-stage method, which the JVM would be too large to compile: Spark
+    then generates them as many small methods.
+    """
+    pattern = F.concat(quote_re(env.es), F.lit("[" + "".join(ESCAPE_CODES) + "]"), quote_re(env.es))
+    targets = dict(zip(ESCAPE_CODES, zip((env.fs, env.cs, env.ss, env.rs, env.es), STANDARD_DELIMITERS)))
+
+    def meaning(found: Column) -> Column:
+        code = F.substr(found, F.length(env.es) + 1, F.lit(1))
+        out = F.when(found.isNull(), F.lit(""))
+        for x, (delimiter, standard) in targets.items():
+            out = out.when(code == x, F.coalesce(F.nullif(delimiter, F.lit("")), F.lit(standard)))
+        return out
+
+    joined = F.array_join(
+        F.zip_with(F.split(s, pattern), F.regexp_extract_all(s, pattern, F.lit(0)), lambda text, found: F.concat(text, meaning(found))),
+        "",
+    )
+    return F.when(env.esc & F.contains(s, env.es), joined).otherwise(s)
 
 
 def split_fields(seg: Column, env: Env = ENV) -> Column:
@@ -63,7 +80,7 @@ def encoded_value(raw_field: Column, env: Env = ENV) -> Column:
     trailing = F.concat(F.lit("[\\Q"), env.cs, env.ss, F.lit("\\E]+$"))
     ends_empty = (env.cs != "") & (rep1.endswith(env.cs) | ((env.ss != "") & rep1.endswith(env.ss)))
     trimmed = F.when(ends_empty, F.regexp_replace(rep1, trailing, F.lit(""))).otherwise(rep1)
-    return reescape(trimmed, env)
+    return trimmed
 
 
 def encoded_first_repetition(seg: Column, n: int, env: Env = ENV) -> Column:

@@ -29,15 +29,11 @@ from pyspark.sql import functions as F
 CR = "\r"
 
 # Column names the envelope adds; dropped again by the kind projections.
-ENV_COLS = ("_fs", "_cs", "_rs", "_es", "_ss", "_c", "_tr", "_body", "_esc", "_fsre")
+ENV_COLS = ("_fs", "_cs", "_rs", "_es", "_ss", "_c", "_body", "_esc", "_fsre")
 
-# The five standard escape codes, in the order their marks are
-# assigned. \F\ field sep, \S\ component sep, \T\ subcomponent sep,
-# \R\ repetition sep, \E\ escape char.
+# The five standard escape codes. \F\ field sep, \S\ component
+# sep, \T\ subcomponent sep, \R\ repetition sep, \E\ escape char.
 ESCAPE_CODES = ("F", "S", "T", "R", "E")
-# Unicode noncharacters U+FDD0..U+FDD4 (reserved for internal use, never
-# interchanged) stand for one escape sequence each inside the canonical text.
-MARKS = "".join(chr(0xFDD0 + i) for i in range(len(ESCAPE_CODES)))
 
 
 def call(name: str, *cols: Column) -> Column:
@@ -77,20 +73,16 @@ class Env:
         return F.col(self.names[4])
 
     @property
-    def c(self) -> Column:  # canonical text, escape sequences marked
+    def c(self) -> Column:  # canonical text
         return F.col(self.names[5])
 
     @property
-    def tr(self) -> Column:  # what each mark stands for: fs, cs, ss, rs, es
-        return F.col(self.names[6])
-
-    @property
-    def esc(self) -> Column:  # the message holds escape sequences (marks) at all
-        return F.col(self.names[8])
+    def esc(self) -> Column:  # the message may hold escape sequences
+        return F.col(self.names[7])
 
     @property
     def fsre(self) -> Column:  # regex that splits at the field separator
-        return F.col(self.names[9])
+        return F.col(self.names[8])
 
 
 ENV = Env()
@@ -114,23 +106,6 @@ def delimiter_columns(text: Column) -> list[Column]:
     ]
 
 
-def mark_escapes(text: Column, es: Column, body: Column) -> Column:
-    """Replace every escape sequence ``<es>X<es>`` by the mark of X, left to right.
-
-    One regex pass finds the sequences exactly as a left-to-right reader does
-    (``\\E\\F\\`` is one ``\\E\\`` then literal ``F\\``); the marks are
-    single chars that are no delimiter, so splitting by delimiters afterwards
-    is safe and a field value is unescaped by one ``translate``.
-    """
-    tagged = F.regexp_replace(
-        text, F.concat(quote_re(es), F.lit("([FSTRE])"), quote_re(es)), F.lit("\u0000$1\u0000")
-    )
-    for code, mark in zip(ESCAPE_CODES, MARKS):
-        tagged = F.replace(tagged, F.lit("\u0000" + code + "\u0000"), F.lit(mark))
-    # fast path: no escape char after the encoding field -> nothing to mark
-    return F.when(may_escape(text, es, body), tagged).otherwise(text)
-
-
 def may_escape(text: Column, es: Column, body: Column) -> Column:
     """The escape char occurs after the encoding field (cheap byte search)."""
     return (es != "") & (call("locate", es, text, body) > 0)
@@ -141,39 +116,38 @@ def _quote_replacement(s: Column) -> Column:
     return F.replace(F.replace(s, F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
 
 
-def canonical(text: Column, fs: Column, es: Column, body: Column) -> Column:
-    """CR-framed text, one CR before and one field separator after every segment,
-    escape sequences marked. One regex pass frames the segments: every CR and
-    the whitespace after it become ``fs + CR``."""
-    framed = F.regexp_replace(
-        mark_escapes(text, es, body), F.lit(r"\r\p{javaWhitespace}*"), F.concat(_quote_replacement(fs), F.lit(CR))
-    )
+def canonical(text: Column, fs: Column) -> Column:
+    """CR-framed text, one CR before and one field separator after every segment.
+    One regex pass frames the segments: every CR and the whitespace after it
+    become ``fs + CR``. Nothing else is changed: escape sequences hold no
+    delimiter, so they stay as they are until a field value is read."""
+    framed = F.regexp_replace(text, F.lit(r"\r\p{javaWhitespace}*"), F.concat(_quote_replacement(fs), F.lit(CR)))
     return F.concat(F.lit(CR), framed, fs)
 
 
-# The standard delimiters, used for a mark whose delimiter the
-# header leaves out (order of the marks: field, component, subcomponent,
+# The standard delimiters, for an escape code whose delimiter the
+# header leaves out (order of the codes: field, component, subcomponent,
 # repetition, escape).
-STANDARD_FOR_MARKS = "|^&~\\"
+STANDARD_DELIMITERS = "|^&~\\"
 
 
 def with_envelope(df: DataFrame, text: str = "text") -> DataFrame:
     """Add the delimiters ``_fs.._ss``, ``_body`` (start of the text after MSH-2),
-    the canonical text ``_c``, ``_esc`` (any escape sequence at all) and the
-    mark targets ``_tr``."""
+    the canonical text ``_c`` and ``_esc`` (any escape character in the body)."""
     t = F.col(text)
     staged = df.select("*", *delimiter_columns(t))
-    fs, cs, rs, es, ss = (F.col(n) for n in ENV_COLS[:5])
-    targets = [F.coalesce(F.nullif(d, F.lit("")), F.lit(std)) for d, std in zip((fs, cs, ss, rs, es), STANDARD_FOR_MARKS)]
+    fs, es = F.col("_fs"), F.col("_es")
     # backslash-quoting a non-alphanumeric separator lets Java's split skip the regex engine
-    fsre = F.when(fs.rlike("^[A-Za-z0-9]$"), F.concat(F.lit("\\Q"), fs, F.lit("\\E"))).otherwise(
-        F.concat(F.lit("\\"), fs)
+    # (a text too short for one gets a pattern that never matches)
+    fsre = (
+        F.when(fs == "", F.lit("(?!)"))
+        .when(fs.rlike("^[A-Za-z0-9]$"), F.concat(F.lit("\\Q"), fs, F.lit("\\E")))
+        .otherwise(F.concat(F.lit("\\"), fs))
     )
     return staged.select(
         "*",
-        canonical(t, fs, es, F.col("_body")).alias("_c"),
+        canonical(t, fs).alias("_c"),
         may_escape(t, es, F.col("_body")).alias("_esc"),
-        F.concat(*targets).alias("_tr"),
         fsre.alias("_fsre"),
     )
 
@@ -225,15 +199,10 @@ def all_segments(text_slice: Column, name: str, env: Env = ENV) -> Column:
 
 def well_formed(text: Column, env: Env = ENV) -> Column:
     """Pipe encoding check: starts with MSH, and every segment of 4+ chars has the
-    field separator as its 4th char (else the message is not pipe-encoded).
-
-    A text that already holds one of the internal marks (Unicode noncharacters
-    U+FDD0..U+FDD4) is rejected too rather than misread.
-    """
+    field separator as its 4th char (else the message is not pipe-encoded)."""
     bad_segment = F.concat(F.lit(CR + "[^" + CR + "]{3}(?!"), quote_re(env.fs), F.lit(")[^" + CR + "]"))
     return (
         text.startswith("MSH")
         & (F.length(text) >= 4)
         & ~F.coalesce(F.regexp_like(env.c, bad_segment), F.lit(False))
-        & ~F.greatest(*(call("locate", F.lit(m), text, F.lit(1)) > 0 for m in MARKS))
     )

@@ -76,13 +76,25 @@ def time_error(p: Column, s: Column) -> Column:
     )
 
 
+def parsed_time(s: Column, lenient: bool) -> Column:
+    """struct(value, error) of a date-time text, as one column to be read twice.
+
+    The parts are a lambda's variable: they are computed once, and the projection
+    is generated as small methods instead of one that the JVM would not compile.
+    """
+    one = F.transform(
+        F.array(time_parts(s, lenient)), lambda p: F.struct(time_value(p).alias("value"), time_error(p, s).alias("error"))
+    )
+    return F.get(one, 0)
+
+
 def parse_strict(s: Column) -> tuple[Column, Column]:
     """Orders and acks: NULL/empty -> NULL; otherwise exactly ``yyyyMMddHHmmss``."""
-    p = time_parts(s, lenient=False)
-    return time_value(p), time_error(p, s)
+    p = parsed_time(s, lenient=False)
+    return p["value"], p["error"]
 
 
 def parse_lenient(s: Column) -> tuple[Column, Column]:
     """Results: by length (8, 10, 12, 14 parse; anything else is an error)."""
-    p = time_parts(s, lenient=True)
-    return time_value(p), time_error(p, s)
+    p = parsed_time(s, lenient=True)
+    return p["value"], p["error"]

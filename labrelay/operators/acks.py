@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.fields import value
 from ..functions.header import first_error, header_fields, hv, kind_error
 from ..functions.segments import first_segment, well_formed
-from ..functions.times import parse_strict
+from ..functions.times import parsed_time
 from .shred import NOT_PIPE_ENCODED, TEXT, passthrough
 
 STRUCTURE = "ACK"
@@ -42,7 +42,8 @@ def project_acks(df: DataFrame) -> DataFrame:
         value(msa, 3, 1).alias("acknowledgment_description"),
         kind_error(msh, STRUCTURE).alias("_v_kind_err"),
     )
-    sent, sent_err = parse_strict(F.col("_v_sent"))
+    vals = vals.select("*", parsed_time(F.col("_v_sent"), lenient=False).alias("_v_time"))
+    sent, sent_err = F.col("_v_time.value"), F.col("_v_time.error")
     return vals.select(
         *keep,
         "sending_facility_id",

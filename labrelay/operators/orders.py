@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fields import value
 from ..functions.header import first_error, hv, kind_error
-from ..functions.times import parse_strict
+from ..functions.times import parsed_time
 from .shred import passthrough, seg, with_positions, with_segments
 
 STRUCTURE = "OML_O21"
@@ -41,7 +41,8 @@ def project_orders(df: DataFrame) -> DataFrame:
         value(pid, 8, 1).alias("_v_sex"),
         kind_error(msh, STRUCTURE).alias("_v_kind_err"),
     )
-    sent, sent_err = parse_strict(F.col("_v_sent"))
+    vals = vals.select("*", parsed_time(F.col("_v_sent"), lenient=False).alias("_v_time"))
+    sent, sent_err = F.col("_v_time.value"), F.col("_v_time.error")
     test = F.struct(F.col("_v_code").alias("code"), F.col("_v_name").alias("name"), F.lit(TEST_TYPE).alias("type"))
     patient = F.struct(F.col("_v_nupn").alias("nupn"), F.col("_v_sex").alias("sex"))
     return vals.select(

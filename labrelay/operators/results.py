@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.fields import encoded_value, field_value, split_fields, value
 from ..functions.header import first_error, hv, kind_error
 from ..functions.segments import all_segments, cut_at_boundary, slice_from
-from ..functions.times import parse_lenient, time_error, time_parts, time_value
+from ..functions.times import parsed_time, time_error, time_parts, time_value
 from .orders import facility_with_fallback
 from .shred import group_flags, passthrough, seg, with_positions, with_segments
 
@@ -87,7 +87,7 @@ def with_observation_group(df: DataFrame) -> DataFrame:
 def project_results(df: DataFrame) -> DataFrame:
     """Envelope'd messages -> result records + ``_error``."""
     keep = passthrough(df)
-    staged = with_observation_group(df)
+    staged = with_segments(with_positions(df))
     msh, pid, orc, obr = seg("msh"), seg("pid"), seg("orc"), seg("obr")
     vals = staged.select(
         *keep,
@@ -101,11 +101,15 @@ def project_results(df: DataFrame) -> DataFrame:
         hv(msh, 10, 1).alias("message_id"),
         value(pid, 3, 1).alias("patient_nupn"),
         kind_error(msh, STRUCTURE).alias("_v_kind_err"),
-        observation_values(seg("obx")).alias("_v_obs"),
+        observation_values(all_segments(observation_group(), "OBX")).alias("_v_obs"),
+    )
+    typed = vals.select(
+        "*",
+        observations(F.col("_v_obs")).alias("_s_obs"),
+        parsed_time(F.col("_v_sent"), lenient=True).alias("_v_time"),
     )
-    typed = vals.select("*", observations(F.col("_v_obs")).alias("_s_obs"))
     obs = seg("obs")
-    sent, sent_err = parse_lenient(F.col("_v_sent"))
+    sent, sent_err = F.col("_v_time.value"), F.col("_v_time.error")
     code, name = F.col("_v_code"), F.col("_v_name")
     results = F.transform(
         obs,

@@ -40,17 +40,16 @@ BETWEEN_ORC_AND_OBR = r"(?:TQ1|TQ2|Z[A-Z0-9]{2})"
 def with_positions(df: DataFrame) -> DataFrame:
     """Positions of the first PID, ORC and OBR, and of the first segment after
     that ORC which may not precede the group's OBR."""
-    p_orc = segment_pos("ORC")
-    after_orc = F.substr(ENV.c, p_orc + 1)
-    pattern = F.concat(F.lit("\r(?!" + BETWEEN_ORC_AND_OBR), quote_re(ENV.fs), F.lit(")"))
-    nxt = F.regexp_instr(after_orc, pattern)
-    return df.select(
+    found = df.select(
         "*",
         segment_pos("PID").alias("_p_pid"),
-        p_orc.alias("_p_orc"),
+        segment_pos("ORC").alias("_p_orc"),
         segment_pos("OBR").alias("_p_obr"),
-        F.when((p_orc > 0) & (nxt > 0), p_orc + nxt).otherwise(F.lit(0)).alias("_p_after_orc"),
     )
+    p_orc = F.col("_p_orc")
+    pattern = F.concat(F.lit("\r(?!" + BETWEEN_ORC_AND_OBR), quote_re(ENV.fs), F.lit(")"))
+    nxt = F.nullif(F.regexp_instr(F.substr(ENV.c, p_orc + 1), pattern), F.lit(0))
+    return found.select("*", F.when(p_orc > 0, F.coalesce(p_orc + nxt, F.lit(0))).otherwise(F.lit(0)).alias("_p_after_orc"))
 
 
 def group_flags() -> tuple[Column, Column, Column]:

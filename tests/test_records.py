@@ -18,9 +18,9 @@ def one_json(spark, kind, msg):
 @pytest.mark.parametrize(
     "kind,msg,expected",
     [
-        ("order", S.SAMPLE_ORDER, S.SAMPLE_ORDER_JSON),
-        ("ack", S.SAMPLE_ACK, S.SAMPLE_ACK_JSON),
-        ("result", S.SAMPLE_RESULT, S.SAMPLE_RESULT_JSON),
+        ("order", S.FULL_ORDER, S.FULL_ORDER_JSON),
+        ("ack", S.FULL_ACK, S.FULL_ACK_JSON),
+        ("result", S.FULL_RESULT, S.FULL_RESULT_JSON),
         ("order", S.ORDER, S.ORDER_JSON),
         ("ack", S.ACK, S.ACK_JSON),
         ("result", S.RESULT, S.RESULT_JSON),
@@ -102,6 +102,14 @@ def test_escapes_in_text(spark):
     assert json.loads(one_json(spark, "ack", msg))["acknowledgment_description"] == "A|B ^ & ~ \\ \\F\\"
 
 
+def test_escapes_beside_nul_and_noncharacters(spark):
+    text = "a\x00F\x00b\ufdd0\ufdd4\\F\\c\x00S\x00"
+    msg = S.ACK.replace("|Accepted", "|" + text)
+    assert json.loads(one_json(spark, "ack", msg))["acknowledgment_description"] == text.replace("\\F\\", "|")
+    plain = S.ACK.replace("|Accepted", "|x\ufdd0y\x00F\x00z")  # no escape at all
+    assert json.loads(one_json(spark, "ack", plain))["acknowledgment_description"] == "x\ufdd0y\x00F\x00z"
+
+
 def test_observation_value_reencoded(spark):
     msg = S.RESULT.replace("||free text||", "||a^b^^||").replace("||42|", "||x\\F\\y|")
     vals = [r["value"] for r in json.loads(one_json(spark, "result", msg))["lab_test_results"]]
