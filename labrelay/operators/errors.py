@@ -6,7 +6,8 @@
   by ``count()`` after the filter. An error on a row without a key still
   fails the job, as it does in the reference (it parses before filtering).
 * ``DROPMALFORMED``: malformed rows are removed.
-* ``PERMISSIVE``: rows are kept and the reason is in ``_error``.
+* ``PERMISSIVE``: rows are kept, with or without a key, and the reason is in
+  ``_error``. Sinks take ``clean_rows`` only; ``malformed_rows`` go elsewhere.
 
 Plan shape. Filters on the key or on ``_error`` must stay *above* the parse
 projection: Catalyst would otherwise push them below it by substituting the
@@ -41,5 +42,19 @@ def apply_mode(df: DataFrame, key: str, mode: str = "FAILFAST") -> DataFrame:
 
 
 def keep_keyed(df: DataFrame, key: str) -> DataFrame:
-    """Drop records without a business key."""
-    return df.filter(F.col(key).isNotNull())
+    """Drop records without a business key; malformed rows of a
+    PERMISSIVE parse stay, whether or not a key could be read."""
+    keyed = F.col(key).isNotNull()
+    return df.filter(keyed | F.col(ERROR).isNotNull() if ERROR in df.columns else keyed)
+
+
+def clean_rows(df: DataFrame, key: str) -> DataFrame:
+    """The rows a sink may take: without ``_error``, with a key."""
+    if ERROR not in df.columns:
+        return df
+    return df.filter(F.col(ERROR).isNull() & F.col(key).isNotNull()).drop(ERROR)
+
+
+def malformed_rows(df: DataFrame) -> DataFrame:
+    """The rows with an ``_error``."""
+    return df.filter(F.col(ERROR).isNotNull())

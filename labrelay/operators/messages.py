@@ -16,10 +16,13 @@ from ..functions.segments import with_envelope
 from ..functions.text import decode_utf8, is_blank, is_empty
 from .shred import TEXT
 
-# Fixed value: arrival-order columns, most significant first. With a single
-# topic partition (the reference's set-up) offset alone is a total order; with
-# several partitions broker time breaks ties, then partition, then offset.
-ARRIVAL_COLUMNS = ("timestamp", "partition", "offset")
+# Fixed value: arrival-order columns, most significant first. A Kafka record is
+# ordered by (partition, offset); its timestamp is the producer's clock and
+# orders nothing unless the caller asks for it (``BROKER_TIME_ORDER``).
+# ``file_time`` exists only for file sources without offsets: later files win.
+ARRIVAL_COLUMNS = ("file_time", "partition", "offset")
+#: Optional order for topics whose broker stamps records on arrival.
+BROKER_TIME_ORDER = ("timestamp", "partition", "offset")
 
 
 def arrival_columns(df: DataFrame) -> list[str]:

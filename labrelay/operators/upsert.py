@@ -15,11 +15,10 @@ one set operation per batch:
 * ``merge_current``: the existing state and a new batch, the batch winning;
   the same aggregation with the batch flag as the most significant order.
 
-Arrival order is ``(timestamp, partition, offset)`` when present (see
-``operators.messages.ARRIVAL_COLUMNS``): offset alone is a total order on a
-single-partition topic (the reference's set-up); across partitions the broker
-time decides first. That tie-break is our definition; the reference never
-has more than one partition.
+Arrival order is ``(partition, offset)`` (see ``operators.messages.
+ARRIVAL_COLUMNS``): offset alone is a total order on a single-partition topic,
+and a key lives in one partition if the producer keys its records. Callers
+whose broker stamps records on arrival may pass ``BROKER_TIME_ORDER``.
 """
 
 from __future__ import annotations
@@ -61,7 +60,9 @@ def latest_per_key(
     return out.select(*keys, *(F.col(f"{_ROW}.{c}").alias(c) for c in payload))
 
 
-def merge_current(current: DataFrame, batch: DataFrame, key: str | Sequence[str]) -> DataFrame:
+def merge_current(
+    current: DataFrame, batch: DataFrame, key: str | Sequence[str], order: Sequence[str] | None = None
+) -> DataFrame:
     """New current state = ``current`` upserted with ``batch`` (batch rows win).
 
     ``batch`` may hold several rows per key; its arrival columns order them.
@@ -69,7 +70,7 @@ def merge_current(current: DataFrame, batch: DataFrame, key: str | Sequence[str]
     """
     keys = [key] if isinstance(key, str) else list(key)
     cols = current.columns
-    order_cols = arrival_columns(batch)
+    order_cols = list(order) if order is not None else arrival_columns(batch)
     order_fields = [F.col(c) for c in order_cols] if order_cols else []
     batch_side = batch.select(
         *cols, F.struct(F.lit(1).alias(_BATCH), *(c.alias(n) for c, n in zip(order_fields, order_cols))).alias(_ORDER)

@@ -8,15 +8,16 @@ a pipeline is the keyed dedupe behind ``current_rows`` (``operators.upsert``).
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fields import value
 from ..functions.jsonfmt import record_json, to_json_text
 from ..functions.plan import fenced_select
 from ..functions.segments import first_segment
-from ..operators.errors import ERROR, apply_mode, keep_keyed
+from ..operators.errors import ERROR, apply_mode, clean_rows, keep_keyed, malformed_rows
 from ..operators.messages import arrival_columns, prepare
 from ..operators.shred import passthrough
 from ..operators.upsert import latest_per_key
@@ -35,10 +36,18 @@ def shred(raw: DataFrame, kind: str | MessageKind, mode: str = "PERMISSIVE") ->
     return apply_mode(fenced_select(projected, *projected.columns), k.key, mode)
 
 
-def parse_messages(raw: DataFrame, kind: str | MessageKind, mode: str = "FAILFAST") -> DataFrame:
-    """Raw messages -> keyed records (+ arrival columns, + ``_error`` if PERMISSIVE)."""
+def parse_messages(
+    raw: DataFrame, kind: str | MessageKind, mode: str = "FAILFAST", where: Column | str | None = None
+) -> DataFrame:
+    """Raw messages -> keyed records (+ arrival columns, + ``_error`` if PERMISSIVE,
+    which also keeps malformed rows without a key).
+
+    ``where`` filters the raw table (topic, partition, offset, a date folder, ...)
+    ahead of the parse, so it reaches the scan; filters on the parsed columns do
+    not, since the parse is fenced.
+    """
     k = get_kind(kind)
-    return keep_keyed(shred(raw, k, mode), k.key)
+    return keep_keyed(shred(raw if where is None else raw.filter(where), k, mode), k.key)
 
 
 def records(df: DataFrame, kind: str | MessageKind) -> DataFrame:
@@ -47,19 +56,33 @@ def records(df: DataFrame, kind: str | MessageKind) -> DataFrame:
 
 
 def json_values(df: DataFrame, kind: str | MessageKind) -> DataFrame:
-    """Records -> ``value`` JSON text (+ arrival columns), as written to the JSON topic."""
+    """Records -> ``value`` JSON text (+ arrival columns), as written to the JSON topic.
+    Malformed rows of a PERMISSIVE parse are left out (see ``error_values``)."""
     k = get_kind(kind)
+    df = clean_rows(df, k.key)
     return df.select(*arrival_columns(df), record_json(*k.record_columns).alias("value"))
 
 
-def current_rows(df: DataFrame, kind: str | MessageKind) -> DataFrame:
-    """Records (with arrival columns) -> one table row per key, latest arrival wins.
+def error_values(df: DataFrame, kind: str | MessageKind) -> DataFrame:
+    """Malformed rows of a PERMISSIVE parse -> ``value`` JSON text: what could be read, and ``_error``."""
+    k = get_kind(kind)
+    bad = malformed_rows(df)
+    place = [c for c in ("topic", "partition", "offset") if c in bad.columns]
+    return bad.select(*arrival_columns(bad), record_json(*place, *k.record_columns, ERROR).alias("value"))
+
+
+def current_rows(df: DataFrame, kind: str | MessageKind, order: Sequence[str] | None = None) -> DataFrame:
+    """Records (with arrival columns) -> one table row per key, latest arrival wins
+    (``order``: other columns of ``df`` to decide it, e.g. ``BROKER_TIME_ORDER``).
 
     Dedupes the records first and serializes nested columns after, so rows
-    that lose to a later message are never turned into JSON.
+    that lose to a later message are never turned into JSON. Malformed rows of
+    a PERMISSIVE parse are left out.
     """
     k = get_kind(kind)
-    latest = latest_per_key(df.select(*k.table_columns, *arrival_columns(df)), k.key)
+    df = clean_rows(df, k.key)
+    by = list(order) if order is not None else arrival_columns(df)
+    latest = latest_per_key(df.select(*k.table_columns, *by), k.key, order=by)
     return table_rows(latest, k)
 
 

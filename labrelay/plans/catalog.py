@@ -69,19 +69,24 @@ def iso(c: str | Column) -> Column:
 # ---------------------------------------------------------------- sources (A)
 
 
+def _scanned(raw: DataFrame) -> DataFrame:
+    """Arrival columns, and what needs the whole message: its length and digest."""
+    return raw.select("topic", "partition", "offset", F.octet_length("value").alias("n_bytes"), F.md5("value").alias("digest"))
+
+
 @query("scan_order_messages")
 def scan_order_messages(spark, sf):
-    return orders_raw(spark, sf).select("topic", "partition", "offset")
+    return _scanned(orders_raw(spark, sf))
 
 
 @query("scan_ack_messages")
 def scan_ack_messages(spark, sf):
-    return acks_raw(spark, sf).select("topic", "partition", "offset")
+    return _scanned(acks_raw(spark, sf))
 
 
 @query("scan_result_messages")
 def scan_result_messages(spark, sf):
-    return results_raw(spark, sf).select("topic", "partition", "offset")
+    return _scanned(results_raw(spark, sf))
 
 
 @query("decode_messages")
@@ -131,7 +136,12 @@ def field_access(spark, sf):
 
 @query("unescape_text")
 def unescape_text(spark, sf):
-    return extract_fields(acks_raw(spark, sf), {"msa_3": "MSA-3"}).select("offset", "msa_3")
+    """MSA-3 of the acks, and of acks whose text holds every escape, NULs and noncharacters."""
+    ev, e = _table(spark, sf, "events"), F.col("event_id")
+    odd = F.concat(F.lit("a\\F\\b\u0000F\u0000\\S\\\ufdd0\\T\\\\R\\\\E\\F\\\\X\\"), (e % 100).cast("string"))
+    texts = fixtures.render_acks(ev, text=odd).withColumn("topic", F.lit("odd"))
+    raw = acks_raw(spark, sf).unionByName(texts)
+    return extract_fields(raw, {"msa_3": "MSA-3"}).select("topic", "offset", "msa_3")
 
 
 @query("route_orders")
@@ -426,14 +436,25 @@ def upsert_results(spark, sf):
 
 @query("upsert_two_batches")
 def upsert_two_batches(spark, sf):
-    """Acks arriving in two batches (even offsets, then odd): the later batch wins a key."""
-    rows = table_rows(parse_messages(acks_raw(spark, sf), ACK), ACK)
-    first = rows.filter(F.col("offset") % 2 == 0)
-    second = rows.filter(F.col("offset") % 2 == 1)
-    table = rows.select(*ACK.table_columns)
-    empty = spark.createDataFrame([], table.schema)
-    state = merge_current(merge_current(empty, first, ACK.key), second, ACK.key)
-    return _flat_table(state)
+    """Acks arriving in two batches (even offsets, then odd): the later batch wins a
+    key. One scan and one aggregate: the batch is the first order column."""
+    rows = parse_messages(acks_raw(spark, sf), ACK).withColumn("batch", F.col("offset") % 2)
+    return _flat_table(current_rows(rows, ACK, order=["batch", "partition", "offset"]).select(*ACK.table_columns))
+
+
+@query("upsert_merged_state")
+def upsert_merged_state(spark, sf):
+    """A state table built from the even offsets, merged with the odd ones as the next batch."""
+    state = current_rows(parse_messages(acks_raw(spark, sf), ACK, where="offset % 2 = 0"), ACK)
+    batch = table_rows(parse_messages(acks_raw(spark, sf), ACK, where="offset % 2 = 1"), ACK)
+    return _flat_table(merge_current(state, batch, ACK.key))
+
+
+@query("upsert_broker_time")
+def upsert_broker_time(spark, sf):
+    """Acks whose producer clock runs against the offsets: the offset decides."""
+    backwards = F.timestamp_seconds(F.lit(1_700_000_000) - F.col("offset"))
+    return _upserted(acks_raw(spark, sf).withColumn("timestamp", backwards), ACK)
 
 
 # --------------------------------------------------------------- errors (H)
@@ -458,6 +479,47 @@ def dropmalformed_acks(spark, sf):
     return df.select("topic", "offset", "ack_message_id")
 
 
+@query("permissive_acks")
+def permissive_acks(spark, sf):
+    """PERMISSIVE parse of the malformed ack stream: clean rows with a key, and every
+    malformed row, with or without one."""
+    df = parse_messages(_malformed_ack_stream(spark, sf), ACK, mode="PERMISSIVE")
+    return df.select("topic", "offset", "ack_message_id", F.col(ERROR).alias("error"))
+
+
+# Lengths of header times that malformed_results goes through.
+SENT_LENGTHS = (2, 4, 6, 8, 9, 10, 11, 12, 13, 14, 15, 19)
+
+
+@query("malformed_results")
+def malformed_results(spark, sf):
+    """PERMISSIVE parse of results whose header times have every length of the
+    length table and some of whose observation times have 13 characters."""
+    length = F.element_at(F.array(*map(F.lit, SENT_LENGTHS)), (F.col("k") % len(SENT_LENGTHS) + 1).cast("int"))
+    raw = fixtures.render_results(
+        _table(spark, sf, "lineitem"),
+        sent_text=lambda t: F.substr(F.concat(t, F.lit(".1234")), F.lit(1), length),
+        obs_text=lambda t: F.when(F.col("l_partkey") % 6 == 0, F.substr(t, F.lit(1), F.lit(13))).otherwise(t),
+    )
+    df = shred(raw, RESULT, mode="PERMISSIVE").filter(F.col(ERROR).isNotNull())
+    return df.select("offset", "message_id", F.col(ERROR).alias("error"))
+
+
+@query("clamped_timestamps")
+def clamped_timestamps(spark, sf):
+    """Header times past a month's end (clamped to its last day) and at 24:00 (the next midnight)."""
+    k, year = F.col("k"), lambda t: F.substr(t, F.lit(1), F.lit(4))
+    raw = fixtures.render_results(
+        _table(spark, sf, "lineitem"),
+        sent_text=lambda t: F.when(k % 5 == 0, F.concat(year(t), F.lit("0230101530")))
+        .when(k % 5 == 1, F.concat(year(t), F.lit("0231")))
+        .when(k % 5 == 2, F.concat(year(t), F.lit("04312359")))
+        .when(k % 5 == 3, F.concat(F.substr(t, F.lit(1), F.lit(8)), F.lit("240000")))
+        .otherwise(F.concat(year(t), F.lit("1231240000"))),
+    )
+    return shred(raw, RESULT).select("offset", iso("sending_date_time").alias("sending_date_time"))
+
+
 @query("malformed_report")
 def malformed_report(spark, sf):
     """PERMISSIVE parse of the malformed ack stream: one row per bad message and its reason."""

@@ -18,6 +18,11 @@ from ..operators.orders import project_orders
 from ..operators.results import project_results
 
 
+# Names of the topics, tables, their schema and columns; users'
+# consumers and databases rely on them.
+SCHEMA = "crt"
+
+
 @dataclass(frozen=True)
 class MessageKind:
     name: str
@@ -25,7 +30,7 @@ class MessageKind:
     project: Callable[[DataFrame], DataFrame]
     key: str
     record_columns: tuple[str, ...]
-    table: str
+    table: str  # without its schema, see ``SCHEMA``
     table_columns: tuple[str, ...]
     json_columns: tuple[str, ...] = ()  # nested columns stored as JSON text in the table
     default_topic: str = ""

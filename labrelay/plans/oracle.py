@@ -131,6 +131,76 @@ ex_pos AS (
 )"""
 
 
+# the text of every message, from the columns alone
+TXT_O = r"""
+txt_o AS (
+  SELECT o_orderkey AS k, encode(pre) || bad || encode(post) AS bytes FROM (
+    SELECT o_orderkey,
+      CASE WHEN o_orderkey % 29 = 0 AND o_orderkey % 19 <> 0 THEN '\xFF'::BLOB ELSE ''::BLOB END AS bad,
+      msh || pid || sep || orc || CASE WHEN o_orderkey % 19 = 0 THEN '' ELSE sep || 'OBR|1|O' || oid || '||' || o_orderstatus || '^'
+        || o_orderpriority END AS pre,
+      CASE WHEN o_orderkey % 19 = 0 THEN ''
+           ELSE CASE WHEN o_orderkey % 3 = 0 THEN '\F\' || o_orderstatus ELSE '' END || '^L|Urgent' END
+        || sep || 'OBX|1|ST|VISIT^Visit||3M||||||F' || sep || 'OBR|2|O' || oid || '||DECOY^Decoy^L|Urgent' || sep || 'SPM|1|||B^Blood'
+        || CASE WHEN o_orderkey % 6 = 0 THEN chr(13) ELSE '' END AS post
+    FROM (
+      SELECT o.*, CAST(o_orderkey // 4 AS VARCHAR) AS oid,
+        CASE WHEN o_orderkey % 4 = 0 THEN chr(13) || chr(10) WHEN o_orderkey % 8 = 1 THEN chr(13) || '  ' ELSE chr(13) END AS sep,
+        'MSH|^~\&|ClinicApp|' || 'NS' || c_nationkey || CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN '^^URI'
+            ELSE '^F' || c_nationkey || '^URI' END || '|LabApp|LAB' || (c_custkey % 10) || '^L^ISO|'
+          || CASE WHEN o_orderkey % 17 = 0 THEN '' ELSE strftime(o_orderdate, '%Y%m%d%H%M%S') END || '||'
+          || CASE WHEN o_orderkey % 3 = 0 THEN 'OML^O21' ELSE 'OML^O21^OML_O21' END || '|M' || o_orderkey || '|P|2.5' AS msh,
+        CASE WHEN o_orderkey % 23 = 0 THEN '' ELSE
+          CASE WHEN o_orderkey % 4 = 0 THEN chr(13) || chr(10) WHEN o_orderkey % 8 = 1 THEN chr(13) || '  ' ELSE chr(13) END
+          || 'PID|1||N-' || c_custkey || '^^^^MR' || CASE WHEN o_orderkey % 7 = 0 THEN '~X-' || o_orderkey || '^^^^AN' ELSE '' END
+          || '||Doe^Sam||19700101|' || CASE WHEN c_custkey % 9 = 0 THEN '' WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END END AS pid,
+        'ORC|NW|' || CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE 'O' || CAST(o_orderkey // 4 AS VARCHAR) END AS orc
+      FROM orders o JOIN customer c ON o_custkey = c_custkey))
+)"""
+TXT_A = r"""
+txt_a AS (
+  SELECT e, CASE WHEN e % 31 = 0 THEN NULL WHEN e % 37 = 0 THEN '' WHEN e % 41 = 0 THEN chr(13) || chr(10) || ' ' || chr(9)
+                 WHEN e % 10 = 0 THEN translate(msg, '|^', '#$') ELSE msg END AS text
+  FROM (
+    SELECT event_id AS e,
+      'MSH|^~\&|LabApp|' || CASE WHEN event_id % 9 = 0 THEN '^U' ELSE 'LAB' || (user_id % 5) || '^U' END || '|APP' || (event_id % 4)
+        || '^X|10010001|' || strftime(ts, '%Y%m%d%H%M%S') || '||'
+        || CASE event_id % 7 WHEN 0 THEN 'ACK^O21' WHEN 1 THEN 'ACK' ELSE 'ACK^O21^ACK' END || '|A' || event_id || '|P|2.5'
+        || CASE WHEN event_id % 4 = 0 THEN chr(13) || chr(10) ELSE chr(13) END || 'MSA|'
+        || CASE WHEN event_type IN ('purchase', 'signup') THEN 'AA' WHEN event_type = 'click' THEN 'AE' ELSE 'AR' END || '|'
+        || CASE WHEN event_type = 'error' THEN '' ELSE 'M' || user_id END || '|'
+        || CASE WHEN event_id % 3 = 0 THEN '' WHEN event_id % 8 = 0 THEN event_type || '\S\' || (event_id % 10) ELSE event_type END
+        || CASE WHEN event_id % 2 = 0 THEN '|' ELSE '' END AS msg
+    FROM events)
+)"""
+TXT_R = r"""
+txt_l AS (
+  SELECT l_orderkey AS k, l_linenumber AS ln, l_partkey AS pk, l_suppkey AS sk, l_extendedprice AS price, l_shipdate,
+    'OBX|' || l_linenumber || '|NM|c^decoy||' || CASE WHEN l_returnflag = 'N' THEN '' WHEN l_linenumber % 7 = 0 THEN '~' || q
+        WHEN l_linenumber % 5 = 0 THEN q || '^u^^' WHEN l_linenumber % 3 = 0 THEN q || '\S\x' ELSE q END
+      || '|' || CASE WHEN l_linenumber % 4 = 0 THEN '' ELSE 'copies/mL^x' END || '|0-' || l_linenumber || '||||F|||'
+      || CASE WHEN l_partkey % 10 = 0 THEN '' ELSE left(strftime(obs, '%Y%m%d%H%M%S'), CASE l_linenumber % 4 WHEN 0 THEN 8 WHEN 1 THEN 10
+           WHEN 2 THEN 12 ELSE 14 END) END
+      || CASE WHEN l_linenumber % 2 = 0 THEN chr(13) || 'NTE|1|L|note ' || l_linenumber ELSE '' END AS seg
+  FROM (SELECT *, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS q, l_shipdate + to_hours(l_linenumber)
+          + to_minutes(CAST(l_quantity AS BIGINT)) + to_seconds(l_partkey % 60) AS obs FROM lineitem)
+),
+txt_r AS (
+  SELECT k, concat_ws(chr(13),
+    'MSH|^~\&|LabApp|Lab' || (k % 3) || CASE WHEN k % 6 = 0 THEN '' ELSE '^L' || (k % 3) || '^URI' END || '|ClinicApp|' || (k % 50 + 1000)
+      || '|' || CASE WHEN k % 13 = 0 THEN '' ELSE left(strftime(first_ship + to_hours(k % 24) + to_minutes(k % 60) + to_seconds(k % 59),
+           '%Y%m%d%H%M%S'), CASE k % 4 WHEN 0 THEN 14 WHEN 1 THEN 12 WHEN 2 THEN 10 ELSE 8 END) END
+      || '||' || CASE WHEN k % 5 = 0 THEN 'ORU^R01' ELSE 'ORU^R01^ORU_R01' END || '|R' || k || '|P|2.5',
+    'PID|1||P-' || k || '^^^^MR',
+    CASE WHEN k % 11 = 0 THEN obr || chr(13) || orc ELSE orc || chr(13) || obr END, lines, 'SPM|1',
+    'OBX|99|ST|x^y||after-spm||||||F') AS text
+  FROM (SELECT k, min(l_shipdate) AS first_ship, string_agg(seg, chr(13) ORDER BY ln, pk, sk, price, seg) AS lines,
+          'ORC|SC|O' || CAST(k // 3 AS VARCHAR) || '^SYS' AS orc,
+          'OBR|1|O' || CAST(k // 3 AS VARCHAR) || '||T' || (k % 7) || '^Test ' || (k % 7) || '^LN' AS obr
+        FROM txt_l GROUP BY k)
+)"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 
@@ -163,10 +233,15 @@ ORDER_TESTS = "to_json([struct_pack(code := test_code, name := test_name, type :
 
 ORACLE: dict[str, str] = {
     # -------------------------------------------------------------- sources
-    "scan_order_messages": "SELECT 'lab-orders' AS topic, 0 AS partition, o_orderkey AS \"offset\" FROM orders",
-    "scan_ack_messages": "SELECT 'lab-orders-ack' AS topic, 0 AS partition, event_id AS \"offset\" FROM events",
-    "scan_result_messages": "SELECT DISTINCT 'lab-results' AS topic, 0 AS partition, l_orderkey AS \"offset\" "
-    "FROM lineitem",
+    "scan_order_messages": _with(TXT_O)
+    + "SELECT 'lab-orders' AS topic, 0 AS partition, k AS \"offset\", CAST(octet_length(bytes) AS INTEGER) AS n_bytes, "
+    "md5(bytes) AS digest FROM txt_o",
+    "scan_ack_messages": _with(TXT_A)
+    + "SELECT 'lab-orders-ack' AS topic, 0 AS partition, e AS \"offset\", CAST(strlen(text) AS INTEGER) AS n_bytes, "
+    "md5(text) AS digest FROM txt_a",
+    "scan_result_messages": _with(TXT_R)
+    + "SELECT 'lab-results' AS topic, 0 AS partition, k AS \"offset\", CAST(strlen(text) AS INTEGER) AS n_bytes, "
+    "md5(text) AS digest FROM txt_r",
     "decode_messages": _with(EX_O) + 'SELECT k AS "offset", replacement_chars FROM ex_o',
     "drop_empty_messages": _with(EX_A) + 'SELECT e AS "offset" FROM ex_a WHERE not_empty',
     "drop_blank_messages": _with(EX_A) + 'SELECT e AS "offset" FROM ex_a WHERE present',
@@ -180,7 +255,10 @@ ORACLE: dict[str, str] = {
     "field_access": _with(EX_O)
     + 'SELECT k AS "offset", msh_4_1, msh_4_2, receiving_lab_code AS msh_6_1, patient_nupn AS pid_3_1, '
     "pid_3_5, 'NW' AS orc_1 FROM ex_o",
-    "unescape_text": _with(EX_A) + 'SELECT e AS "offset", acknowledgment_description AS msa_3 FROM ex_a WHERE present',
+    "unescape_text": _with(EX_A)
+    + "SELECT 'lab-orders-ack' AS topic, e AS \"offset\", acknowledgment_description AS msa_3 FROM ex_a WHERE present "
+    "UNION ALL SELECT 'odd', e, 'a' || field_separator || 'b' || chr(0) || 'F' || chr(0) || component_separator || chr(64976) "
+    "|| '&' || '~' || chr(92) || 'F' || chr(92) || chr(92) || 'X' || chr(92) || CAST(e % 100 AS VARCHAR) FROM ex_a WHERE present",
     "route_orders": "SELECT 'lab-orders' AS topic, o_orderkey AS \"offset\" FROM orders WHERE o_orderkey % 10 <> 9",
     "route_acks": _with(EX_A) + "SELECT 'lab-orders-ack' AS topic, e AS \"offset\" FROM ex_a "
     "WHERE present AND e % 10 <> 9",
@@ -286,7 +364,46 @@ ORACLE: dict[str, str] = {
     "acknowledgment_status, acknowledgment_description FROM ex_a "
     "WHERE present AND ack_message_id IS NOT NULL "
     "QUALIFY row_number() OVER (PARTITION BY ack_message_id ORDER BY e % 2 DESC, e DESC) = 1",
+    "upsert_broker_time": _with(EX_A)
+    + "SELECT sending_facility_id, targeted_disa_code, sending_date_time, message_id, ack_message_id, "
+    "acknowledgment_status, acknowledgment_description FROM ex_a "
+    "WHERE present AND ack_message_id IS NOT NULL "
+    "QUALIFY row_number() OVER (PARTITION BY ack_message_id ORDER BY e DESC) = 1",
     # --------------------------------------------------------------- errors
+    "permissive_acks": _with(EX_O, EX_A)
+    + "SELECT 'lab-orders' AS topic, k AS \"offset\", CAST(NULL AS VARCHAR) AS ack_message_id, "
+    "'Message is not an ACK message' AS error FROM ex_o "
+    "UNION ALL SELECT * FROM (SELECT 'lab-orders-ack', e, ack_message_id, "
+    "CASE WHEN e % 10 = 9 THEN 'Message is not an ACK message' "
+    "WHEN e % 13 = 0 THEN 'Text ''' || sent_12 || ''' could not be parsed as a date-time' END AS error "
+    "FROM ex_a WHERE present) x WHERE error IS NOT NULL OR ack_message_id IS NOT NULL",
+    "malformed_results": """
+WITH msgs AS (
+  SELECT k, left(sent || '.1234', [2, 4, 6, 8, 9, 10, 11, 12, 13, 14, 15, 19][1 + CAST(k % 12 AS INTEGER)]) AS sent,
+    k % 12 IN (3, 5, 7, 9) AS sent_ok
+  FROM (SELECT l_orderkey AS k, strftime(min(l_shipdate) + to_hours(l_orderkey % 24) + to_minutes(l_orderkey % 60)
+          + to_seconds(l_orderkey % 59), '%Y%m%d%H%M%S') AS sent FROM lineitem GROUP BY l_orderkey)),
+obs AS (
+  SELECT l_orderkey AS k, left(strftime(l_shipdate + to_hours(l_linenumber) + to_minutes(CAST(l_quantity AS BIGINT))
+      + to_seconds(l_partkey % 60), '%Y%m%d%H%M%S'), 13) AS bad
+  FROM lineitem WHERE l_returnflag <> 'N' AND l_partkey % 6 = 0 AND l_orderkey % 11 <> 0
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) = 1)
+SELECT m.k AS "offset", 'R' || CAST(m.k AS VARCHAR) AS message_id,
+  'Text ''' || CASE WHEN sent_ok THEN bad ELSE sent END || ''' could not be parsed as a date-time' AS error
+FROM msgs m LEFT JOIN obs o ON o.k = m.k WHERE NOT sent_ok OR bad IS NOT NULL
+""",
+    "clamped_timestamps": f"""
+WITH msgs AS (
+  SELECT l_orderkey AS k, min(l_shipdate) + to_hours(l_orderkey % 24) + to_minutes(l_orderkey % 60)
+    + to_seconds(l_orderkey % 59) AS sent FROM lineitem GROUP BY l_orderkey)
+SELECT k AS "offset", strftime(CASE k % 5
+    WHEN 0 THEN CAST(last_day(make_date(year(sent), 2, 1)) AS TIMESTAMP) + to_hours(10) + to_minutes(15) + to_seconds(30)
+    WHEN 1 THEN CAST(last_day(make_date(year(sent), 2, 1)) AS TIMESTAMP)
+    WHEN 2 THEN CAST(make_date(year(sent), 4, 30) AS TIMESTAMP) + to_hours(23) + to_minutes(59)
+    WHEN 3 THEN date_trunc('day', sent) + INTERVAL 1 DAY
+    ELSE CAST(make_date(year(sent) + 1, 1, 1) AS TIMESTAMP) END, {ISO}) AS sending_date_time
+FROM msgs
+""",
     "dropmalformed_acks": _with(EX_A)
     + "SELECT 'lab-orders-ack' AS topic, e AS \"offset\", ack_message_id FROM ex_a "
     "WHERE present AND e % 10 <> 9 AND e % 13 <> 0 AND ack_message_id IS NOT NULL",
@@ -299,4 +416,5 @@ ORACLE: dict[str, str] = {
     "FROM ex_a WHERE present AND (e % 10 = 9 OR e % 13 = 0)",
 }
 
+ORACLE["upsert_merged_state"] = ORACLE["upsert_two_batches"]
 ORACLE = {name: _json_as_text(sql) for name, sql in ORACLE.items()}

@@ -46,6 +46,8 @@ events -> ack messages, topic ``lab-orders-ack``, offset = event_id
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -144,8 +146,11 @@ def _join_present(sep: Column, segments: list[Column]) -> Column:
     return out
 
 
-def render_acks(events: DataFrame, version: Column | None = None, sent_length: Column | None = None) -> DataFrame:
-    """One acknowledgement per event (J2), including null, empty and blank values."""
+def render_acks(
+    events: DataFrame, version: Column | None = None, sent_length: Column | None = None, text: Column | None = None
+) -> DataFrame:
+    """One acknowledgement per event (J2), including null, empty and blank values.
+    ``text`` replaces MSA-3 (raw, with escapes)."""
     e, u, et = F.col("event_id"), F.col("user_id"), F.col("event_type")
     ver = version if version is not None else F.lit("2.5")
     fac = F.when(e % 9 == 0, F.lit("^U")).otherwise(_cat("LAB", u % 5, "^U"))
@@ -158,7 +163,8 @@ def render_acks(events: DataFrame, version: Column | None = None, sent_length: C
     msh = _cat("MSH|^~\\&|LabApp|", fac, "|APP", e % 4, "^X|10010001|", ts, "||", kind, "|A", e, "|P|", ver)
     code = F.when(et.isin("purchase", "signup"), F.lit("AA")).when(et == "click", F.lit("AE")).otherwise(F.lit("AR"))
     ctl = F.when(et == "error", F.lit("")).otherwise(_cat("M", u))
-    text = F.when(e % 3 == 0, F.lit("")).when(e % 8 == 0, _cat(et, "\\S\\", e % 10)).otherwise(_cat(et))
+    if text is None:
+        text = F.when(e % 3 == 0, F.lit("")).when(e % 8 == 0, _cat(et, "\\S\\", e % 10)).otherwise(_cat(et))
     msa = _cat("MSA|", code, "|", ctl, "|", text, F.when(e % 2 == 0, F.lit("|")).otherwise(F.lit("")))
     sep = F.when(e % 4 == 0, F.lit("\r\n")).otherwise(F.lit("\r"))
     msg = F.concat(msh, sep, msa)
@@ -176,8 +182,15 @@ def _cut_time(ts: Column, length: Column) -> Column:
     return F.substr(hl7_ts(ts), F.lit(1), length)
 
 
-def render_results(lineitem: DataFrame, version: Column | None = None) -> DataFrame:
+def render_results(
+    lineitem: DataFrame,
+    version: Column | None = None,
+    sent_text: Callable[[Column], Column] | None = None,
+    obs_text: Callable[[Column], Column] | None = None,
+) -> DataFrame:
     """One result message per order of ``lineitem`` (J3), one OBX per line.
+    ``sent_text`` and ``obs_text`` make the text of MSH-7 and of every OBX-14 from
+    the 14-character time (columns ``k`` and those of ``lineitem`` may be used).
 
     The per-order aggregation holds one order's lines (the message is one
     row by definition); lines are pre-rendered map-side so the shuffle moves
@@ -196,6 +209,8 @@ def render_results(lineitem: DataFrame, version: Column | None = None) -> DataFr
     obs_ts = F.col("l_shipdate") + F.make_dt_interval(F.lit(0), ln, q.cast("int"), (pk % 60).cast("int"))
     obs_len = F.when(ln % 4 == 0, 8).when(ln % 4 == 1, 10).when(ln % 4 == 2, 12).otherwise(14)
     t = F.when(pk % 10 == 0, F.lit("")).otherwise(_cut_time(obs_ts, obs_len))
+    if obs_text is not None:
+        t = obs_text(hl7_ts(obs_ts))
     obx = _cat("OBX|", ln, "|NM|c^decoy||", val, "|", unit, "|0-", ln, "||||F|||", t)
     seg = F.when(ln % 2 == 0, F.concat(obx, F.lit("\rNTE|1|L|note "), _s(ln))).otherwise(obx)
     lines = lineitem.select(
@@ -214,6 +229,8 @@ def render_results(lineitem: DataFrame, version: Column | None = None) -> DataFr
     sent_ts = F.col("first_ship") + F.make_dt_interval(F.lit(0), (k % 24).cast("int"), (k % 60).cast("int"), (k % 59).cast("int"))
     sent_len = F.when(k % 4 == 0, 14).when(k % 4 == 1, 12).when(k % 4 == 2, 10).otherwise(8)
     ts = F.when(k % 13 == 0, F.lit("")).otherwise(_cut_time(sent_ts, sent_len))
+    if sent_text is not None:
+        ts = sent_text(hl7_ts(sent_ts))
     kind = F.when(k % 5 == 0, F.lit("ORU^R01")).otherwise(F.lit("ORU^R01^ORU_R01"))
     msh = _cat("MSH|^~\\&|LabApp|", fac, "|ClinicApp|", k % 50 + 1000, "|", ts, "||", kind, "|R", k, "|P|", ver)
     pid = _cat("PID|1||P-", k, "^^^^MR")

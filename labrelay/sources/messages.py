@@ -1,7 +1,8 @@
 """Raw message sources.
 
 Every source yields the Kafka record shape: ``value`` (binary or string) plus
-arrival columns ``topic, partition, offset`` (and ``timestamp`` for Kafka).
+arrival columns ``topic, partition, offset`` (plus ``timestamp`` for Kafka, which
+orders nothing by default, and ``file_time`` for files without offsets).
 
 ``fmt``:
 
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from ..plans.kinds import get_kind
+from ..plans.kinds import MessageKind, get_kind
 from . import fixtures
 
 RAW_SCHEMA = StructType(
@@ -43,7 +44,7 @@ FORMATS = ("kafka", "parquet", "text", "fixture")
 
 def read_messages(
     spark: SparkSession,
-    kind: str,
+    kind: str | MessageKind,
     fmt: str = "parquet",
     path: str | None = None,
     streaming: bool = False,
@@ -59,7 +60,7 @@ def read_messages(
         opts.setdefault("subscribe", topic)
         opts.setdefault("startingOffsets", "earliest")
         # a hot topic partition is split into several tasks by offset range;
-        # order is carried by the (timestamp, partition, offset) columns
+        # order is carried by the (partition, offset) columns
         opts.setdefault("minPartitions", str(spark.sparkContext.defaultParallelism))
         df = reader.format("kafka").options(**opts).load()
         return df.select("topic", "partition", "offset", "timestamp", "value")
@@ -90,9 +91,9 @@ def read_messages(
 def _with_arrival(df: DataFrame, topic: str, fmt: str, streaming: bool) -> DataFrame:
     """Add ``topic/partition/offset`` when a file source lacks them.
 
-    Arrival order is then (file modification time, file, position in file):
-    ``timestamp`` = the file's modification time, ``partition`` = a hash of the
-    file name, ``offset`` = the row's position in the file - exact for parquet
+    Without an ``offset``, arrival order is (file modification time, file, position
+    in file): ``file_time``, ``partition`` (the table's own, else a hash of the file
+    name) and ``offset``, the row's position in the file - exact for parquet
     (``_metadata.row_index``) and for batch reads of text; a *streaming* text
     source has no row position, so there ``offset`` is a hash of the message and
     two messages for one key in the same file of one micro-batch have no
@@ -110,15 +111,13 @@ def _with_arrival(df: DataFrame, topic: str, fmt: str, streaming: bool) -> DataF
             position = F.monotonically_increasing_id()
         else:
             position = F.xxhash64("value")
-        out = out.select(
-            "*",
-            meta["file_modification_time"].alias("timestamp"),
-            F.hash(meta["file_name"]).alias("partition"),
-            position.alias("offset"),
-        )
+        added = [meta["file_modification_time"].alias("file_time"), position.alias("offset")]
+        if "partition" not in cols:
+            added.append(F.hash(meta["file_name"]).alias("partition"))
+        out = out.drop("file_time").select("*", *added)
     elif "partition" not in cols:
         out = out.withColumn("partition", F.lit(0))
-    keep = [c for c in ("topic", "partition", "offset", "timestamp", "value") if c in out.columns]
+    keep = [c for c in ("topic", "file_time", "partition", "offset", "timestamp", "value") if c in out.columns]
     return out.select(*keep)
 
 
@@ -127,12 +126,16 @@ FIXTURE_KEYS = {"orders": "o_orderkey", "events": "event_id", "lineitem": "l_ord
 
 
 def fixture_table(spark: SparkSession, table_dir: str, name: str) -> DataFrame:
-    """A source table of the renderers, hash-spread over ``spark.sql.shuffle.partitions``
-    by its key (like the partitions of a topic): small test tables are a single
-    file split, which would otherwise put all rendering and parsing into one task."""
+    """A source table of the renderers. A small test table is a single file split,
+    which would put all rendering and parsing into one task: it is hash-spread over
+    ``spark.sql.shuffle.partitions`` by its key (like the partitions of a topic).
+    A table whose scan already has as many splits as cores is not shuffled;
+    lineitem always is, since its key is also the renderer's group key."""
     df = spark.read.parquet(f"{table_dir}/{name}.parquet")
     if name not in FIXTURE_KEYS:
         return df
+    if name != "lineitem" and df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+        return df
     setting = str(spark.conf.get("spark.sql.shuffle.partitions"))  # effective value, default included
     n = int(setting) if setting.isdigit() else spark.sparkContext.defaultParallelism
     return df.repartition(n, FIXTURE_KEYS[name])

@@ -1,10 +1,13 @@
 """Malformed messages: FAILFAST / DROPMALFORMED / PERMISSIVE."""
 
+import json
+
 import pytest
 from conftest import raw_frame
 
 import samples as S
-from labrelay import parse_messages, shred
+from labrelay import current_rows, json_values, parse_messages, shred
+from labrelay.plans.batch import error_values
 from labrelay.operators.route import route
 
 
@@ -54,6 +57,17 @@ def test_dropmalformed_and_permissive(spark):
     assert "'2024'" in rep[2]._error
 
 
+def test_permissive_keeps_bad_rows_apart(spark):
+    bad_time = S.ACK.replace("20240305101600", "2024").replace("ack-0001", "ack-bad")
+    raw = raw_frame(spark, [S.ACK, bad_time, "hello world", S.ACK_LINES[0]])
+    rows = parse_messages(raw, "ack", mode="PERMISSIVE").orderBy("offset")
+    # the malformed text without a key stays, the sound message without a key does not
+    assert [(r.offset, r._error is None) for r in rows.collect()] == [(0, True), (1, False), (2, False)]
+    assert [r.value for r in json_values(rows, "ack").collect()] == [S.ACK_JSON]
+    assert [r.message_id for r in current_rows(rows, "ack").collect()] == ["ack-0001"]
+    assert [json.loads(r.value)["offset"] for r in error_values(rows, "ack").collect()] == [1, 2]
+
+
 def test_route_splits_a_mixed_table(spark):
     raw = raw_frame(spark, [S.ORDER, S.ACK, S.RESULT, S.ACK.replace("|P|2.5", "|P|2.3"), None, " "])
     assert [r.offset for r in route(raw, "ACK").collect()] == [1]

@@ -7,9 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from labrelay.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["orders", "customer", "lineitem", "events"]
+NAMES = sorted(QUERIES)
 
 
 def norm(v):
@@ -38,10 +40,10 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(NAMES) <= set(entry.queries()) & set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     rows = df.collect()
