@@ -11,6 +11,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+#: Names a checkpoint folder that this module chose itself.
+MADE_UP = "labrelay.checkpoint.made_up"
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, scratch: str | None = None) -> SparkSession:
     """Local session with the UI off, AQE on and a scratch checkpoint dir.
@@ -43,5 +46,6 @@ def ensure_checkpoint_dir(spark: SparkSession, scratch: str | None = None) -> st
         return current
     path = scratch or tempfile.mkdtemp(prefix="labrelay-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
+    spark.conf.set(MADE_UP, path)  # pipelines refuse it unless it is passed to them
     spark.sparkContext.setCheckpointDir(path)
     return path

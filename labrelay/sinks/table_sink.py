@@ -5,34 +5,42 @@ included), dedupe them per key (``plans.batch.current_rows``: latest arrival,
 then JSON for nested columns), and apply them so that the later message wins,
 NULLs included.
 
-* ``SnapshotTable`` - versioned parquet snapshots under ``<path>/version=<n>``.
-  Batch ``n`` reads the newest complete version below ``n``, merges, and
-  writes version ``n`` with overwrite: a replayed batch rebuilds the same
-  version, so restarts converge. The previous version is never overwritten
-  while it is read. Each batch rewrites the whole state (fine for tests and
-  moderate tables; for a large state use the JDBC sink, which sends only the
-  deduplicated batch). Old versions beyond ``keep_versions`` are deleted.
-* ``JdbcUpsertTable`` - the deduplicated batch goes to a staging table with
-  Spark's JDBC writer (parallel, batched inserts), then one set-based
-  ``INSERT ... SELECT ... ON CONFLICT (key) DO UPDATE`` applies it. That
-  statement is retried (default 5 tries, 5 s apart, new connection each
-  time) like the reference's per-record writer, then the batch fails.
-  Deduping first matters: one ``ON CONFLICT`` statement may not touch a key
-  twice. Needs the database's JDBC driver on the classpath (none here).
+* ``SnapshotTable`` - versioned parquet snapshots ``<path>/version=<n>-<run>-<batch>``.
+  The table numbers its versions itself: a batch is merged into the newest
+  complete version and becomes the next one. The folder's name says which batch
+  of which run (the life of one checkpoint) it holds, so a replayed batch is
+  recognised and changes nothing, and a run on a new checkpoint, whose batches
+  count from 0 again, builds on what is there. An unfinished version is
+  overwritten by the next try. Each batch rewrites the whole state (fine for
+  tests and moderate tables; for a large state use the JDBC sink, which sends
+  only the deduplicated batch). Versions beyond the newest ``keep_versions`` are
+  deleted; the newest never is. One writer at a time.
+* ``JdbcUpsertTable`` - the deduplicated batch goes to a staging table of this
+  sink's own with Spark's JDBC writer (parallel, batched inserts), then one
+  set-based ``INSERT ... SELECT ... ON CONFLICT (key) DO UPDATE`` applies it.
+  Staging and statement are retried together (default 5 tries, 5 s apart, a new
+  connection each time), then the batch fails. Deduping first matters: one
+  ``ON CONFLICT`` statement may not touch a key twice. ``connections`` bounds the
+  parallel connections of the writer: it merges tasks and drops nothing. Needs
+  the database's JDBC driver on the classpath (none here).
 """
 
 from __future__ import annotations
 
+import re
 import time
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.upsert import merge_current
 from ..plans.batch import current_rows
-from ..plans.kinds import MessageKind, get_kind
+from ..plans.kinds import SCHEMA, MessageKind, get_kind
 
-VERSION_PREFIX = "version="
+VERSION_NAME = re.compile(r"version=(\d+)(?:-(.+)-(\d+))?")
 
 
 def _fs(spark: SparkSession, path: str):
@@ -41,18 +49,19 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def complete_versions(spark: SparkSession, path: str) -> list[int]:
-    """Version numbers under ``path`` whose write finished (``_SUCCESS`` present)."""
+def complete_versions(spark: SparkSession, path: str) -> list[tuple[int, str | None, int | None, str]]:
+    """(number, run, batch, folder name) of the versions under ``path`` whose write
+    finished (``_SUCCESS`` present), oldest first."""
     fs, root = _fs(spark, path)
     if not fs.exists(root):
         return []
     out = []
     for st in fs.listStatus(root):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(VERSION_PREFIX):
-            if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[len(VERSION_PREFIX):]))
-    return sorted(out)
+        m = VERSION_NAME.fullmatch(name)
+        if m and st.isDirectory() and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append((int(m[1]), m[2], int(m[3]) if m[3] else None, name))
+    return sorted(out, key=lambda v: v[0])
 
 
 @dataclass
@@ -60,12 +69,11 @@ class SnapshotTable:
     path: str
     kind: str | MessageKind
     keep_versions: int = 3
+    order: Sequence[str] | None = None  # columns that decide which row is later; default: arrival
 
-    def current(self, spark: SparkSession, below: int | None = None) -> DataFrame | None:
-        versions = [v for v in complete_versions(spark, self.path) if below is None or v < below]
-        if not versions:
-            return None
-        return spark.read.parquet(f"{self.path}/{VERSION_PREFIX}{versions[-1]}")
+    def current(self, spark: SparkSession) -> DataFrame | None:
+        versions = complete_versions(spark, self.path)
+        return spark.read.parquet(f"{self.path}/{versions[-1][3]}") if versions else None
 
     def read(self, spark: SparkSession) -> DataFrame:
         df = self.current(spark)
@@ -73,20 +81,23 @@ class SnapshotTable:
             raise FileNotFoundError(f"no complete snapshot under {self.path}")
         return df
 
-    def upsert(self, records: DataFrame, batch_id: int) -> None:
+    def upsert(self, records: DataFrame, batch_id: int, run_id: str = "batch") -> None:
         k = get_kind(self.kind)
         spark = records.sparkSession
-        batch = current_rows(records, k)
-        base = self.current(spark, below=batch_id)
+        versions = complete_versions(spark, self.path)
+        if any((run, batch) == (run_id, batch_id) for _, run, batch, _ in versions):
+            return  # a replay of a batch that is in the table
+        number = versions[-1][0] + 1 if versions else 0
+        batch = current_rows(records, k, self.order)
+        base = self.current(spark)
         merged = batch if base is None else merge_current(base, batch, k.key)
-        merged.write.mode("overwrite").parquet(f"{self.path}/{VERSION_PREFIX}{batch_id}")
+        merged.write.mode("overwrite").parquet(f"{self.path}/version={number}-{run_id}-{batch_id}")
         self._prune(spark)
 
     def _prune(self, spark: SparkSession) -> None:
         versions = complete_versions(spark, self.path)
-        fs, _ = _fs(spark, self.path)
-        for v in versions[: max(0, len(versions) - self.keep_versions)]:
-            _, p = _fs(spark, f"{self.path}/{VERSION_PREFIX}{v}")
+        for *_, name in versions[: -max(1, self.keep_versions)]:
+            fs, p = _fs(spark, f"{self.path}/{name}")
             fs.delete(p, True)
 
 
@@ -112,42 +123,61 @@ def upsert_sql(kind: str | MessageKind, target: str, staging: str, json_type: st
 class JdbcUpsertTable:
     url: str
     kind: str | MessageKind
-    table: str | None = None
-    staging: str | None = None
+    table: str | None = None  # default: the kind's table in ``schema``
+    schema: str = SCHEMA
     properties: dict[str, str] = field(default_factory=dict)
     retries: int = 5
     delay_s: float = 5.0
+    connections: int = 8
+    order: Sequence[str] | None = None
+    staging_id: str = field(default_factory=lambda: uuid.uuid4().hex[:12])
+
+    @property
+    def target(self) -> str:
+        return self.table or f"{self.schema}.{get_kind(self.kind).table}"
+
+    @property
+    def staging(self) -> str:
+        """The staging table of this sink alone."""
+        return f"{self.target}_staging_{self.staging_id}"
 
-    def upsert(self, records: DataFrame, batch_id: int) -> None:
+    def upsert(self, records: DataFrame, batch_id: int, run_id: str = "batch") -> None:
         k = get_kind(self.kind)
-        target = self.table or k.table
-        staging = self.staging or f"{target}_staging"
-        batch = current_rows(records, k)
-        batch.write.mode("overwrite").jdbc(self.url, staging, properties=self.properties)
-        self._execute(records.sparkSession, upsert_sql(k, target, staging))
+        batch = current_rows(records, k, self.order).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._retried(batch, [upsert_sql(k, self.target, self.staging), f"DROP TABLE {self.staging}"])
+        finally:
+            batch.unpersist()
+
+    def _retried(self, batch: DataFrame, statements: list[str]) -> None:
+        """Staging and statements together, each try on a new connection."""
+        for attempt in range(1, self.retries + 1):
+            try:
+                self._stage(batch)
+                self._execute(batch.sparkSession, statements)
+                return
+            except Exception as e:  # py4j wraps SQLExceptions
+                if attempt == self.retries:
+                    raise RuntimeError(f"upsert failed after {self.retries} attempts") from e
+                time.sleep(self.delay_s)
+
+    def _stage(self, batch: DataFrame) -> None:
+        properties = {**self.properties, "numPartitions": str(self.connections)}
+        batch.write.mode("overwrite").jdbc(self.url, self.staging, properties=properties)
 
-    def _execute(self, spark: SparkSession, sql: str) -> None:
+    def _connect(self, spark: SparkSession):
         jvm = spark.sparkContext._jvm
         props = jvm.java.util.Properties()
         for key, v in self.properties.items():
             props.setProperty(key, v)
-        last = None
-        for attempt in range(1, self.retries + 1):
-            conn = None
-            try:
-                conn = jvm.java.sql.DriverManager.getConnection(self.url, props)
+        return jvm.java.sql.DriverManager.getConnection(self.url, props)
+
+    def _execute(self, spark: SparkSession, statements: list[str]) -> None:
+        conn = self._connect(spark)
+        try:
+            for sql in statements:
                 stmt = conn.createStatement()
                 stmt.executeUpdate(sql)
                 stmt.close()
-                return
-            except Exception as e:  # py4j wraps SQLExceptions
-                last = e
-                if attempt < self.retries:
-                    time.sleep(self.delay_s)
-            finally:
-                if conn is not None:
-                    try:
-                        conn.close()
-                    except Exception:
-                        pass
-        raise RuntimeError(f"upsert failed after {self.retries} attempts") from last
+        finally:
+            conn.close()

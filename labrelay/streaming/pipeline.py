@@ -14,23 +14,34 @@ One query per message kind, of the reference's shape::
   start from the earliest offset only on a fresh checkpoint (G4, G5, G7);
 * the default trigger fires every 10 s like the reference's checkpoint
   interval; tests use ``availableNow`` (G4, G8);
-* replays: the upsert writes are idempotent per batch, the file JSON sink
-  overwrites its batch directory (G6).
+* replays: a run (the life of one checkpoint) has an id that is kept beside its
+  offsets, and sinks get it with the batch number: a batch that is replayed
+  changes nothing, a new run never overwrites an earlier one's output (G6);
+* malformed messages: FAILFAST stops the query. PERMISSIVE sends rows with an
+  ``_error``, keyed or not, to ``error_sink`` and only clean rows to the others;
+  without an error sink it refuses to start (H2);
+* a micro-batch is bounded: ``max_per_trigger`` offsets (Kafka) or files, so the
+  first batch of a long topic is not the whole topic. Nothing is dropped: what
+  is left comes with the next batch. Raise it with the cluster's size.
 
 The checkpoint root comes from the session (``spark.sql.streaming.
-checkpointLocation``, else ``spark.checkpoint.dir``) unless given.
+checkpointLocation``, else ``spark.checkpoint.dir``) unless given; a folder
+that ``labrelay.session`` made up for local runs is refused.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.batch import json_values, parse_messages
+from ..operators.errors import clean_rows
+from ..plans.batch import error_values, json_values, parse_messages
 from ..plans.kinds import MessageKind, get_kind
+from ..session import MADE_UP
 from ..sources.messages import read_messages
 
 # Fixed value: the reference checkpoints every 10 seconds.
@@ -43,9 +54,15 @@ class PipelineSpec:
     source_fmt: str = "kafka"
     source_path: str | None = None
     source_options: dict | None = None
-    json_sink: object | None = None  # has .write(df, batch_id)
-    table_sink: object | None = None  # has .upsert(records, batch_id)
+    json_sink: object | None = None  # has .write(df, batch_id, run_id)
+    table_sink: object | None = None  # has .upsert(records, batch_id, run_id)
     mode: str = "FAILFAST"
+    error_sink: object | None = None  # has .write(df, batch_id, run_id); PERMISSIVE only
+    max_per_trigger: int | None = None  # offsets or files of one batch; None: the default of the source
+
+
+# Offsets (Kafka) and files of one micro-batch.
+MAX_OFFSETS, MAX_FILES = 1_000_000, 1_000
 
 
 def checkpoint_root(spark: SparkSession, given: str | None = None) -> str:
@@ -54,22 +71,37 @@ def checkpoint_root(spark: SparkSession, given: str | None = None) -> str:
         or spark.conf.get("spark.sql.streaming.checkpointLocation", None)
         or spark.conf.get("spark.checkpoint.dir", None)
     )
-    if not root:
-        raise ValueError("set spark.checkpoint.dir (or pass checkpoint_location) to run a pipeline")
+    if not root or (not given and root == spark.conf.get(MADE_UP, None)):
+        raise ValueError("set spark.checkpoint.dir to a shared folder (or pass checkpoint_location) to run a pipeline")
     return root.rstrip("/")
 
 
-def micro_batch_writer(spec: PipelineSpec):
-    """The ``foreachBatch`` function: persist once, write both sinks, release."""
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the run that lives in ``checkpoint``: made on its first start, kept beside its offsets."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/labrelay-run-id")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        out = fs.create(path, False)
+        out.write(bytearray(uuid.uuid4().hex.encode()))
+        out.close()
+    return spark.read.text(path.toString()).first()["value"]
+
+
+def micro_batch_writer(spec: PipelineSpec, run: str):
+    """The ``foreachBatch`` function: persist once, write the sinks, release."""
     kind = get_kind(spec.kind)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            clean = clean_rows(batch, kind.key)
+            if spec.error_sink is not None and spec.mode.upper() == "PERMISSIVE":
+                spec.error_sink.write(error_values(batch, kind), batch_id, run)
             if spec.json_sink is not None:
-                spec.json_sink.write(json_values(batch, kind), batch_id)
+                spec.json_sink.write(json_values(clean, kind), batch_id, run)
             if spec.table_sink is not None:
-                spec.table_sink.upsert(batch, batch_id)
+                spec.table_sink.upsert(clean, batch_id, run)
         finally:
             batch.unpersist()
 
@@ -84,16 +116,21 @@ def start_pipeline(
     query_name: str | None = None,
 ) -> StreamingQuery:
     kind = get_kind(spec.kind)
+    if spec.mode.upper() == "PERMISSIVE" and spec.error_sink is None:
+        raise ValueError("a PERMISSIVE pipeline needs an error_sink for its malformed messages")
     name = query_name or f"lab-{kind.name}-pipeline"
-    raw = read_messages(
-        spark, kind.name, fmt=spec.source_fmt, path=spec.source_path, streaming=True,
-        options=spec.source_options,
-    )
+    checkpoint = f"{checkpoint_root(spark, checkpoint_location)}/{name}"
+    options = dict(spec.source_options or {})
+    if spec.source_fmt == "kafka":
+        options.setdefault("maxOffsetsPerTrigger", str(spec.max_per_trigger or MAX_OFFSETS))
+    else:
+        options.setdefault("maxFilesPerTrigger", str(spec.max_per_trigger or MAX_FILES))
+    raw = read_messages(spark, kind, fmt=spec.source_fmt, path=spec.source_path, streaming=True, options=options)
     records = parse_messages(raw, kind, spec.mode)
     writer = (
         records.writeStream.queryName(name)
-        .foreachBatch(micro_batch_writer(spec))
-        .option("checkpointLocation", f"{checkpoint_root(spark, checkpoint_location)}/{name}")
+        .foreachBatch(micro_batch_writer(spec, run_id(spark, checkpoint)))
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or DEFAULT_TRIGGER))
     )
     return writer.start()

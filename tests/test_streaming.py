@@ -2,12 +2,14 @@
 
 import json
 
+import pytest
 from conftest import raw_frame
 
 import samples as S
 from labrelay import json_values, parse_messages
 from labrelay.sinks.json_sink import JsonFileSink
 from labrelay.sinks.table_sink import SnapshotTable
+from labrelay.session import MADE_UP
 from labrelay.sources.messages import RAW_SCHEMA
 from labrelay.streaming.pipeline import PipelineSpec, start_pipeline
 
@@ -55,6 +57,56 @@ def test_ack_pipeline_stream_equals_batch_and_restarts(spark, scratch_dir):
     assert json.loads(sorted(r.value for r in spark.read.text(json_sink.path).collect())[-1])
 
 
+def test_new_checkpoint_keeps_what_an_earlier_run_wrote(spark, scratch_dir):
+    src = f"{scratch_dir}/in"
+    json_sink, table = JsonFileSink(f"{scratch_dir}/json"), SnapshotTable(f"{scratch_dir}/table", "ack")
+    spec = PipelineSpec("ack", source_fmt="parquet", source_path=src, source_options={"schema": RAW_SCHEMA},
+                        json_sink=json_sink, table_sink=table)
+    write_messages(spark, src, [S.ACK], 0)
+    run_once(spark, spec, f"{scratch_dir}/ckpt1")
+    spec.source_path = f"{scratch_dir}/in2"
+    write_messages(spark, spec.source_path, [S.FULL_ACK], 0)
+    run_once(spark, spec, f"{scratch_dir}/ckpt2")
+    assert sorted(r.value for r in spark.read.text(json_sink.path).collect()) == sorted([S.ACK_JSON, S.FULL_ACK_JSON])
+    assert {r.message_id for r in table.read(spark).collect()} == {"ack-0001", "r-77"}
+
+
+def test_permissive_pipeline_separates_bad_messages(spark, scratch_dir):
+    src = f"{scratch_dir}/in"
+    write_messages(spark, src, [S.ACK, S.ORDER, "hello world"], 0)
+    spec = PipelineSpec("ack", source_fmt="parquet", source_path=src, source_options={"schema": RAW_SCHEMA}, mode="PERMISSIVE",
+                        json_sink=JsonFileSink(f"{scratch_dir}/json"), table_sink=SnapshotTable(f"{scratch_dir}/table", "ack"))
+    with pytest.raises(ValueError, match="error_sink"):
+        start_pipeline(spark, spec, checkpoint_location=f"{scratch_dir}/ckpt", trigger=ONCE)
+    spec.error_sink = JsonFileSink(f"{scratch_dir}/errors")
+    run_once(spark, spec, f"{scratch_dir}/ckpt")
+    assert [r.value for r in spark.read.text(spec.json_sink.path).collect()] == [S.ACK_JSON]
+    assert spec.table_sink.read(spark).count() == 1
+    errors = [json.loads(r.value) for r in spark.read.text(spec.error_sink.path).collect()]
+    assert sorted(e["offset"] for e in errors) == [1, 2] and all(e["_error"] for e in errors)
+
+
+def test_custom_kind_streams(spark, scratch_dir):
+    from test_kinds import HEADERS
+
+    src = f"{scratch_dir}/in"
+    write_messages(spark, src, [S.RESULT], 0)
+    spec = PipelineSpec(HEADERS, source_fmt="parquet", source_path=src, source_options={"schema": RAW_SCHEMA},
+                        json_sink=JsonFileSink(f"{scratch_dir}/json"), table_sink=SnapshotTable(f"{scratch_dir}/table", HEADERS))
+    run_once(spark, spec, f"{scratch_dir}/ckpt")
+    assert [r.message_id for r in spec.table_sink.read(spark).collect()] == ["res-0001"]
+
+
+def test_made_up_checkpoint_folder_is_refused(spark, scratch_dir):
+    spec = PipelineSpec("ack", source_fmt="parquet", source_path=scratch_dir, source_options={"schema": RAW_SCHEMA})
+    spark.conf.set(MADE_UP, spark.conf.get("spark.checkpoint.dir"))
+    try:
+        with pytest.raises(ValueError, match="shared folder"):
+            start_pipeline(spark, spec)
+    finally:
+        spark.conf.unset(MADE_UP)
+
+
 def test_bad_message_fails_the_stream(spark, scratch_dir):
     src = f"{scratch_dir}/in"
     write_messages(spark, src, [S.ORDER], 0)
@@ -99,7 +151,7 @@ def test_text_file_stream(spark, scratch_dir):
     src = f"{scratch_dir}/in"
     os.makedirs(src)
     with open(f"{src}/a.txt", "w", newline="") as f:
-        f.write(S.ACK + "\n" + S.SAMPLE_ACK + "\n")
+        f.write(S.ACK + "\n" + S.FULL_ACK + "\n")
     table = SnapshotTable(f"{scratch_dir}/table", "ack")
     spec = PipelineSpec("ack", source_fmt="text", source_path=src, json_sink=JsonFileSink(f"{scratch_dir}/json"),
                         table_sink=table)
@@ -107,5 +159,5 @@ def test_text_file_stream(spark, scratch_dir):
     q.awaitTermination(120)
     assert q.exception() is None
     assert sorted(r.value for r in spark.read.text(f"{scratch_dir}/json").collect()) == sorted(
-        [S.ACK_JSON, S.SAMPLE_ACK_JSON])
+        [S.ACK_JSON, S.FULL_ACK_JSON])
     assert table.read(spark).count() == 2

@@ -1,11 +1,15 @@
 """Keyed last-write-wins upserts."""
 
+import json
+
+import pytest
 from conftest import raw_frame
 
 import samples as S
-from labrelay import parse_messages, table_rows
+from labrelay import current_rows, json_values, parse_messages, table_rows
+from labrelay.operators.messages import BROKER_TIME_ORDER
 from labrelay.operators.upsert import latest_per_key, merge_current
-from labrelay.sinks.table_sink import SnapshotTable, upsert_sql
+from labrelay.sinks.table_sink import JdbcUpsertTable, SnapshotTable, complete_versions, upsert_sql
 
 
 def ack_rows(spark, messages, start=0):
@@ -53,6 +57,84 @@ def test_snapshot_table_versions_and_replay(spark, scratch_dir):
     assert [r.message_id for r in rows] == ["ack-0002"]
 
 
+def test_snapshot_table_outlives_a_checkpoint(spark, scratch_dir):
+    """A run on a new checkpoint counts batches from 0 again and builds on what is there."""
+    from labrelay.sinks.json_sink import JsonFileSink
+
+    t, sink = SnapshotTable(f"{scratch_dir}/acks", "ack", keep_versions=1), JsonFileSink(f"{scratch_dir}/json")
+
+    def recs(key):
+        return parse_messages(raw_frame(spark, [S.ACK.replace("ord-0001", key)]), "ack")
+
+    def batch(key, n, run):
+        t.upsert(recs(key), n, run)
+        sink.write(json_values(recs(key), "ack"), n, run)
+
+    for n in range(3):
+        batch(f"a{n}", n, "first")
+    batch("b0", 0, "second")
+    batch("b0", 0, "second")  # replay
+    batch("b1", 1, "second")
+    assert {r.ack_message_id for r in t.read(spark).collect()} == {"a0", "a1", "a2", "b0", "b1"}
+    assert [v[:3] for v in complete_versions(spark, t.path)] == [(4, "second", 1)]
+    keys = [json.loads(r.value)["ack_message_id"] for r in spark.read.text(sink.path).collect()]
+    assert sorted(keys) == ["a0", "a1", "a2", "b0", "b1"]
+
+
+def test_offset_decides_against_the_producers_clock(spark):
+    from pyspark.sql import functions as F
+
+    raw = raw_frame(spark, [S.ACK, S.ACK.replace("ack-0001", "ack-0002")])
+    raw = raw.withColumn("timestamp", F.timestamp_seconds(F.lit(100) - F.col("offset")))
+    recs = parse_messages(raw, "ack")
+    assert [r.message_id for r in current_rows(recs, "ack").collect()] == ["ack-0002"]
+    assert [r.message_id for r in current_rows(recs, "ack", order=BROKER_TIME_ORDER).collect()] == ["ack-0001"]
+
+
+class FakeJdbc(JdbcUpsertTable):
+    """Records staging and statements; the first ``failures`` of them fail."""
+
+    def prepare(self, failures):
+        self.calls, self.failures = [], failures
+
+    def call(self, what):
+        self.calls.append(what)
+        if self.failures:
+            self.failures -= 1
+            raise ConnectionError(what)
+
+    def _stage(self, batch):
+        self.call(f"stage {self.staging} {batch.count()}")
+
+    def _connect(self, spark):
+        self.calls.append("connect")
+        return self
+
+    def createStatement(self):
+        return self
+
+    def executeUpdate(self, sql):
+        self.call(sql.split(" ")[0] + " " + sql.split(" ")[2])
+
+    def close(self):
+        self.calls.append("close")
+
+
+def test_jdbc_retries_staging_and_statement_together(spark):
+    recs = parse_messages(raw_frame(spark, [S.ACK]), "ack")
+    sink = FakeJdbc("jdbc:none", "ack", delay_s=0)
+    assert sink.staging.startswith("crt.lab_orders_ack_staging_") and sink.staging != FakeJdbc("jdbc:none", "ack").staging
+    stage, insert = f"stage {sink.staging} 1", "INSERT crt.lab_orders_ack"
+    done = [stage, "connect", insert, "close", f"DROP {sink.staging}", "close", "close"]
+    sink.prepare(1)  # staging fails once
+    sink.upsert(recs, 0)
+    assert sink.calls == [stage, *done]
+    sink.prepare(99)
+    with pytest.raises(RuntimeError, match="after 5 attempts"):
+        sink.upsert(recs, 1)
+    assert sink.calls == [stage] * 5
+
+
 def test_current_rows_dedupes_before_json(spark):
     from labrelay.plans.batch import current_rows
 
