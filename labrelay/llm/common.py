@@ -3,10 +3,11 @@ column names, bounded samples of labelled rows and hashing in numpy."""
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +50,20 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: The folder that this package is imported from.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` whose Python workers find this package where
+    the driver did, also if it is not installed (as in local runs from a checkout)."""
+    env = df.sparkSession.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+    return df.mapInArrow(run, schema)
+
+
 def fresh(columns: list[str], base: str) -> str:
     """``base`` or ``base_``... that clashes with none of ``columns`` (any case)."""
     taken = {c.lower() for c in columns}

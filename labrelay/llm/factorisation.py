@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_fold, fresh, labelled_sample, mix, word_chunks
+from .common import crc_fold, fresh, labelled_sample, map_arrow, mix, word_chunks
 
 #: Most labelled documents that the machine is fitted on.
 MAX_TRAINING = 2_500
@@ -159,7 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int
                 [batch.column(2), pa.array([f[0] for f in found], pa.list_(pa.int32())),
                  pa.array([f[1] for f in found], pa.list_(pa.float32()))], names=["y", "f", "s"])
 
-    got = rows.select(*_inputs(rows), F.col(y).alias("y")).mapInArrow(run, "y int, f array<int>, s array<float>").toArrow()
+    got = map_arrow(rows.select(*_inputs(rows), F.col(y).alias("y")), run, "y int, f array<int>, s array<float>").toArrow()
     found, stats = got.column("f").combine_chunks(), got.column("s").combine_chunks()
     return fit(found.flatten().to_numpy(), pc.list_value_length(found).to_numpy(),
                stats.flatten().to_numpy().reshape(-1, len(STATISTICS)), got.column("y").to_numpy())
@@ -183,7 +183,7 @@ def scored(docs: DataFrame, machine: Machine, keep: list[str], threshold: float
                 [batch.column(i) for i in range(batch.num_columns - 2)]
                 + [pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], names=[*keep, score, predicted])
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING, threshold: float = THRESHOLD) -> DataFrame:

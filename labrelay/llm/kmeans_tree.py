@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import map_arrow, staged
 
 #: Bounds: rows the tree is fitted on, calibration queries, leaves of a tree.
 FIT_ROWS = 20_000
@@ -195,7 +195,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, id_col: str = "vec_
             leaf = tree.descend(_matrix(batch.column(1))) if batch.num_rows else np.zeros(0, np.int32)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(leaf)], names=["id", "v", "leaf"])
 
-    indexed = staged(rows.mapInArrow(index, rows.withColumn("leaf", F.lit(0)).schema), "indexed_vectors")
+    indexed = staged(map_arrow(rows, index, rows.withColumn("leaf", F.lit(0)).schema), "indexed_vectors")
     queries = indexed.where(is_query).groupBy("id").agg(F.min("v").alias("v"))
     n_queries = queries.count()
     if not n_queries:
@@ -213,7 +213,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, id_col: str = "vec_
                     [batch.column(0).take(pa.array(at[s:s + 8192])), batch.column(1).take(pa.array(at[s:s + 8192])),
                      pa.array(leaves[s:s + 8192])], names=["id", "v", "leaf"])
 
-    visited = staged(queries.mapInArrow(visit, indexed.schema), "leaf_visits")
+    visited = staged(map_arrow(queries, visit, indexed.schema), "leaf_visits")
     # One row for each leaf: at most MAX_LEAVES, so these counts may be broadcast.
     blocks = F.broadcast(
         indexed.groupBy("leaf").count()
@@ -259,7 +259,7 @@ def brute_force(indexed: DataFrame, asked: pa.Table, k: int) -> list[tuple[int,
                 at, d = _best(own, x, qid, vector, k)
                 yield pa.RecordBatch.from_pydict({"q": np.full(len(at), i), "id": own[at], "score": d, "leaf": leaf[at]})
 
-    near = indexed.select("id", "v", "leaf").mapInArrow(run, "q long, id long, score double, leaf int")
+    near = map_arrow(indexed.select("id", "v", "leaf"), run, "q long, id long, score double, leaf int")
     rank = F.row_number().over(Window.partitionBy("q").orderBy("score", "id"))
     return [tuple(r) for r in near.withColumn("r", rank).where(F.col("r") <= k).select("q", "id", "score", "leaf").collect()]
 

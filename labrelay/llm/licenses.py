@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import fresh, map_arrow
 
 COVERAGE = 0.8
 #: Share of a matched span's words that must be the template's.
@@ -215,7 +215,7 @@ def scan(docs: DataFrame, keep: list[str], templates: dict[str, str] = TEMPLATES
                 + [pa.array([x[k + 1] for x in found], t) for k, t in
                    enumerate((pa.string(), pa.float64(), pa.int32(), pa.int32()))], names=[*keep, *own])
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
 
 
 def license_report(docs: DataFrame) -> DataFrame:

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_arrow
+
 #: Tags whose content is never text of the page.
 SILENT = frozenset("head title script style noscript template svg math iframe object canvas audio video map".split())
 #: Tags that hold something other than the article.
@@ -172,4 +174,4 @@ def extracted(pages: DataFrame) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, staged, word_chunks
+from .common import fresh, map_arrow, staged, word_chunks
 from .components import components
 
 SEED = 42
@@ -85,7 +85,7 @@ def fingerprints(docs: DataFrame, keep: list[str], width: int = 3, text_col: str
                 [batch.column(i) for i in range(batch.num_columns - 1)] + [pa.array(fps.view(np.int64))],
                 names=[*keep, "fp"])
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
 
 
 def _fold(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:

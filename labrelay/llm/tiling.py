@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, fresh, powers, word_chunks
+from .common import BASE, fresh, map_arrow, powers, word_chunks
 
 MIN_MATCH = 5
 THRESHOLD = 0.8
@@ -242,7 +242,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keep: list[str], min_mat
                                                      ("words", pa.int32())])))],
                     names=[*keep, *own])
 
-        part = rows.mapInArrow(run, schema)
+        part = map_arrow(rows, run, schema)
         out = part if out is None else out.union(part)
     return spark.createDataFrame([], schema) if out is None else out
 
@@ -265,5 +265,5 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_M
                 yield batch.select(list(range(batch.num_columns - 1))).filter(pa.array(clean, pa.bool_()))
 
         asked = out.withColumn(text, F.col("text").cast("string").cast("binary"))
-        out = asked.mapInArrow(run, out.schema)
+        out = map_arrow(asked, run, out.schema)
     return out

@@ -14,14 +14,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, crc_fold, fresh, labelled_sample, mix
+from .common import BASE, crc_fold, fresh, labelled_sample, map_arrow, mix
 
 #: Most labelled documents that the classifier is fitted on.
 MAX_TRAINING = 4_000
-NGRAMS = (4, 5)
+NGRAMS = (5, 6)
 HASH_BITS = 18
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
+#: Parts of the training rows whose scores calibrate the sigmoid.
+PARTS = 3
 #: Log-count ratios below this are taken as 0.
 MIN_RATIO = 1.5
 #: Characters hashed at a time.
@@ -66,12 +68,39 @@ class Model:
         return float(1.0 / (1.0 + np.exp(-np.clip(z, -40, 40))))
 
 
-def fit(buckets: np.ndarray, lengths: np.ndarray, y: np.ndarray, rounds: int = 150, l2: float = 0.02,
-        rate: float = 0.1) -> Model:
+def fit(buckets: np.ndarray, lengths: np.ndarray, y: np.ndarray) -> Model:
+    """The calibrated model: a sigmoid of slope and offset is fitted to the scores
+    that models of all but one of ``PARTS`` parts give to the rows of that part, so
+    ``THRESHOLD`` means the same however few rows there are. ``buckets`` holds the
+    features of all rows one after the other, ``lengths`` how many each has."""
+    model = fit_linear(buckets, lengths, y)
+    y = np.asarray(y, np.float64)
+    part = np.arange(len(y)) % PARTS
+    row = np.repeat(np.arange(len(y)), lengths)
+    if any(len(np.unique(y[part != k])) < 2 for k in range(PARTS)) or len(np.unique(y)) < 2:
+        return model
+    z = np.zeros(len(y))
+    for k in range(PARTS):
+        rest = part != k
+        other = fit_linear(buckets[rest[row]], lengths[rest], y[rest])
+        z += np.bincount(row, weights=other.weights[buckets], minlength=len(y)) * ~rest + other.bias * ~rest
+    weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
+    slope, offset = 1.0, 0.0
+    for _ in range(50):  # Newton steps of a logistic regression on one feature
+        p = 1.0 / (1.0 + np.exp(-np.clip(slope * z + offset, -40, 40)))
+        g, h = (p - y) * weight, p * (1 - p) * weight + 1e-9
+        a, b, c = (h * z * z).sum() + 1e-3, (h * z).sum(), h.sum() + 1e-6
+        ga, gb = (g * z).sum() + 1e-3 * (slope - 1.0), g.sum()
+        det = a * c - b * b
+        slope, offset = max(0.1, slope - (c * ga - b * gb) / det), offset - (a * gb - b * ga) / det
+    return Model(model.weights * slope, model.bias * slope + offset)
+
+
+def fit_linear(buckets: np.ndarray, lengths: np.ndarray, y: np.ndarray, rounds: int = 150, l2: float = 0.5,
+               rate: float = 0.1) -> Model:
     """NB-scaled logistic regression, both classes weighing the same, by full-batch
-    Adam. ``buckets`` holds the features of all rows one after the other,
-    ``lengths`` how many each has. With no rows, or one class only, a constant
-    model: the smoothed share of label 1."""
+    Adam. With no rows, or one class only, a constant model: the smoothed share of
+    label 1."""
     size = 1 << HASH_BITS
     y = np.asarray(y, np.float64)
     share = (y.sum() + 1.0) / (len(y) + 2.0)
@@ -119,7 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
             found = [grams(t.as_py()).astype(np.int32) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["y", "f"])
 
-    got = rows.select("text", F.col(y).alias("y")).mapInArrow(run, "y int, f array<int>").toArrow()
+    got = map_arrow(rows.select("text", F.col(y).alias("y")), run, "y int, f array<int>").toArrow()
     found = got.column("f").combine_chunks()
     return fit(found.flatten().to_numpy(), pc.list_value_length(found).to_numpy(), got.column("y").to_numpy())
 
@@ -140,7 +169,7 @@ def scored(docs: DataFrame, model: Model, keep: list[str], threshold: float = TH
                 [batch.column(i) for i in range(batch.num_columns - 1)]
                 + [pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], names=[*keep, "score", "predicted"])
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch_path, staged
+from .common import map_arrow, scratch_path, staged
 
 #: Field names of an ARC record's header line, by the version in the version block.
 ARC_FIELDS = {
@@ -167,7 +167,7 @@ def arc_records(spark: SparkSession, path: str) -> DataFrame:
                         rows = []
                 yield pa.RecordBatch.from_pylist(rows, _ROW)
 
-    return files.mapInArrow(run, RECORD)
+    return map_arrow(files, run, RECORD)
 
 
 def page_records(pages: DataFrame) -> DataFrame:
@@ -194,7 +194,7 @@ def page_records(pages: DataFrame) -> DataFrame:
                 segment += 1
                 yield pa.RecordBatch.from_pylist([_row(r) for r in parse_arc(b"".join(parts))], _ROW)
 
-    return rows.mapInArrow(run, RECORD)
+    return map_arrow(rows, run, RECORD)
 
 
 # ---------------------------------------------------------------- WARC
@@ -289,7 +289,7 @@ def convert(records: DataFrame, digests: DataFrame | None = None) -> DataFrame:
                 out.append(warc_record(row, None if first is None else record_uuid(first, False, row["first_digest"])))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
-    return found.mapInArrow(run, "value binary")
+    return map_arrow(found, run, "value binary")
 
 
 def write_warc(warc: DataFrame, path: str, records_per_file: int) -> None:
@@ -396,7 +396,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                         rows = []
                 yield pa.RecordBatch.from_pylist(rows, arrow)
 
-    return files.mapInArrow(run, schema)
+    return map_arrow(files, run, schema)
 
 
 def archive_pages(pages: DataFrame, path: str) -> None:

@@ -1,0 +1,100 @@
+import random
+
+import pytest
+
+from labrelay.llm import licenses, secrets
+
+
+@pytest.fixture(scope="module")
+def planted():
+    key, hexa = "AKIA" + "Q7ZD3K5MXW2RTB9N", "4f1c9a3b7d2e8056" * 2
+    return [
+        (1, f"in the {key} text", "s", [key]), (2, f'a token = "{hexa}" b', "s", [hexa]), (3, "password=c1f6c02f845bf3028d and more", "s", ["c1f6c02f845bf3028d"]),
+        (4, f"two {key} of\nthem password=9e5fe76da01daf64ca end", "s", [key, "9e5fe76da01daf64ca"]),
+        (5, "call +1 (708) 555-4315 or 10.20.30.40 or card 4485469220670619", "s", []),
+        (6, "mail abhdt.34@mail9.example.com about https://www.example.com/2020/page-1.html", "s", []),
+        (7, None, "s", []), (8, "", None, []), (9, "nothing here", "s", []), (None, f"x {key} y", "s", [key]),
+        (10, "w " * 100000 + key, "s", [key]), (11, f"é𝄞 {key}", "s", [key]), (11, f"é𝄞 {key}", "s", [key]),
+    ]
+
+
+def test_secret_scan_and_redaction(spark, documents, planted):
+    docs = documents([r[:3] for r in planted])
+    texts = {r[0]: r[1] for r in planted}
+    rows = secrets.scan(docs, ["doc_id"]).collect()
+    assert all(texts[r.doc_id][r.start:r.start + len(r.value)] == r.value for r in rows)
+    got = sorted((str(r.doc_id), r.value) for r in rows if r.is_secret)
+    assert got == sorted((str(i), v) for i, _, _, values in planted for v in values)
+    out = secrets.redacted(docs)
+    assert out.columns == docs.columns
+    want = []
+    for i, text, _, values in planted:
+        for v in values:
+            text = text.replace(v, secrets.REPLACEMENT)
+        want.append((str(i), text, None if text is None else len(text)))
+    assert sorted(map(repr, want)) == sorted(repr((str(r.doc_id), r.text, r.n_chars)) for r in out.collect())
+    assert secrets.redacted(docs.limit(0)).count() == 0 and secrets.scan(docs.limit(0), ["doc_id"]).count() == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Exchange", "Join", "Python", "Arrow"))
+
+
+def test_forest_from_labelled_findings(spark):
+    none = spark.createDataFrame([], "before string, candidate string, after string, label int")
+    assert secrets.train_forest(none) == "0.500000D"
+    assert "IF(" in secrets.train_forest(secrets.seed_findings(spark), trees=2, depth=2)
+
+
+def slow_longest_increasing(values):
+    best = [1] * len(values)
+    for i in range(len(values)):
+        best[i] = 1 + max([best[j] for j in range(i) if values[j] < values[i]], default=0)
+    return max(best, default=0)
+
+
+def test_patience_alignment():
+    rng = random.Random(5)
+    for _ in range(200):
+        values = rng.sample(range(50), rng.randint(0, 20))
+        at = licenses.longest_increasing(values)
+        assert len(at) == slow_longest_increasing(values)
+        assert [values[i] for i in at] == sorted(values[i] for i in at) and at == sorted(at)
+        a = [rng.choice("abcdefgh") for _ in range(rng.randint(0, 15))]
+        b = [rng.choice("abcdefgh") for _ in range(rng.randint(0, 15))]
+        pairs = licenses.patience(a, b)
+        assert all(a[i] == b[j] for i, j in pairs)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:]))
+    assert len(licenses.patience(a, a)) == len(a)
+
+
+@pytest.mark.parametrize("text,found", [
+    ("Licensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0-notice"]), ("Licensed under CC BY 4.0", ["CC-BY-4.0-notice"]),
+    ("x y. Released under the MIT License.\nMore", ["MIT-notice"]), ("LICENSED under the\n# Apache License, version 2.0!", ["Apache-2.0-notice"]),
+    ("This work is licensed under the GNU General Public License, version 3.\nLicensed under CC BY-SA 4.0", ["GPL-3.0-notice", "CC-BY-SA-4.0-notice"]),
+    ("Released under the MIT License. " * 3, ["MIT-notice"] * 3),
+    ("We are licensed to sell and under no version of the law", []), ("", []), ("the of and", []),
+])
+def test_notices(text, found):
+    known = licenses.Licenses()
+    got = list(known.found(text))
+    assert [m[0] for m in got] == found
+    assert all(0 <= a < b <= len(text) and c >= licenses.COVERAGE for _, c, a, b in got)
+
+
+def test_every_template_is_found_with_a_fifth_of_its_words_changed():
+    known, rng = licenses.Licenses(), random.Random(6)
+    for name, words in known.templates.items():
+        assert name in [m[0] for m in known.found("so " + licenses.TEMPLATES[name] + " then")], name
+        telling = set(licenses.TELLING)
+        free = [i for i, w in enumerate(words) if w not in telling and 0 < i < len(words) - 1]
+        changed = list(words)
+        for i in rng.sample(free, min(len(free), len(words) // 5)):
+            changed[i] = "zzz"
+        assert any(m[1] >= 0.8 for m in known.found(" ".join(changed))), name
+
+
+def test_license_rows(spark, documents):
+    docs = documents([(1, "Released under the MIT License.", "s"), (2, None, "s"), (3, "", "s"), (None, "Licensed under CC BY 4.0", "s"),
+                      (4, "w " * 100000 + "Released under the MIT License.", None), (1, "Released under the MIT License.", "s")])
+    got = sorted((str(r.doc_id), r.license, r.start_char) for r in licenses.license_report(docs).collect())
+    assert got == [("1", "MIT-notice", 0), ("1", "MIT-notice", 0), ("4", "MIT-notice", 200000), ("None", "CC-BY-4.0-notice", 0)]
+    assert licenses.license_report(docs.limit(0)).count() == 0
