@@ -214,7 +214,9 @@ def simhash_components(docs: DataFrame, keep: list[str], width: int = 3, budget:
     found = staged(components(fingerprint_links(firsts.select("fp"), budget)), "components")
     of_class = found.join(firsts, found.node == firsts.fp).groupBy("component").agg(F.min("least").alias("group_least"))
     linked = found.join(of_class, "component").select(F.col("node").alias("fp"), "group_least")
-    classes = firsts.join(linked, "fp", "left").select("fp", F.coalesce("group_least", "least").alias("least"))
+    # A table of its own, so that both sides of the next join are plain shuffles: a
+    # fingerprint that a third of all rows share is then split over many tasks.
+    classes = staged(firsts.join(linked, "fp", "left").select("fp", F.coalesce("group_least", "least").alias("least")), "classes")
     group = F.struct(*[F.col(f"least.{c}").alias(c) for c in keep]).alias("group")
     return fps.join(classes, "fp").select(*keep, "fp", group)
 
