@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .common import BASE, crc_fold, fresh, labelled_sample, map_arrow, mix
 
 #: Most labelled documents that the classifier is fitted on.
-MAX_TRAINING = 4_000
+MAX_TRAINING = 3_000
 NGRAMS = (5, 6)
 HASH_BITS = 18
 FOLDS, HELD_OUT = 3, 1
@@ -76,14 +76,17 @@ def fit(buckets: np.ndarray, lengths: np.ndarray, y: np.ndarray) -> Model:
     model = fit_linear(buckets, lengths, y)
     y = np.asarray(y, np.float64)
     part = np.arange(len(y)) % PARTS
-    row = np.repeat(np.arange(len(y)), lengths)
+    filled = lengths > 0
+    starts = (np.cumsum(lengths) - lengths)[filled]
     if any(len(np.unique(y[part != k])) < 2 for k in range(PARTS)) or len(np.unique(y)) < 2:
         return model
     z = np.zeros(len(y))
     for k in range(PARTS):
         rest = part != k
-        other = fit_linear(buckets[rest[row]], lengths[rest], y[rest])
-        z += np.bincount(row, weights=other.weights[buckets], minlength=len(y)) * ~rest + other.bias * ~rest
+        other = fit_linear(buckets[np.repeat(rest, lengths)], lengths[rest], y[rest])
+        z[~rest] += other.bias
+        if len(starts):
+            z[filled & ~rest] += np.add.reduceat(other.weights[buckets], starts)[~rest[filled]]
     weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
     slope, offset = 1.0, 0.0
     for _ in range(50):  # Newton steps of a logistic regression on one feature
