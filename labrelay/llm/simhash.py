@@ -5,6 +5,7 @@
 2. Distinct fingerprints are the keys of a binary trie. Pairs of trie nodes at
    an anchor depth are dealt out as groups: a fingerprint goes to the groups of
    the anchor nodes within the error budget of its own.
+   The keys of a group too large for one task are dealt out by deeper nodes.
 3. In a group the node pairs are walked together from the anchor down: the bits
    in which two nodes differ add up, a pair over the budget is pruned, and the
    compressed tail of a leaf pair is compared at once. Work runs in bounded
@@ -35,6 +36,10 @@ CHUNK = 1 << 18
 PAIRS = 1 << 18
 #: Fingerprints that a trie node at the anchor depth should hold about.
 NODE_ROWS = 50_000
+#: Fingerprints of a group beyond which it is dealt out by deeper nodes, and the
+#: depth at which no group can be large (256 keys a node).
+GROUP_ROWS = 1 << 23
+MAX_DEPTH = 56
 
 
 def fingerprint(data: bytes | None, width: int = 3) -> int:
@@ -171,25 +176,21 @@ def _anchors(depth: int, budget: int) -> list[int]:
     return [sum(1 << b for b in bits) for n in range(1, budget + 1) for bits in combinations(range(depth), n)]
 
 
-def fingerprint_links(fps: DataFrame, budget: int = 2, depth: int | None = None) -> DataFrame:
-    """Links (a, b) that connect the distinct fingerprints of ``fps`` (fp long)
-    at most ``budget`` bits apart: a spanning forest of each group's links.
-
-    The anchor depth follows the number of fingerprints, so a node holds about
-    ``NODE_ROWS`` at any size; nothing is left out at any depth.
-    """
-    if depth is None:
-        depth = max(8, int(np.ceil(np.log2(max(1, fps.count()) / NODE_ROWS))))
+def _dealt(rows: DataFrame, depth: int, budget: int) -> DataFrame:
+    """``rows`` (fp and other columns) once for each anchor node at ``depth``
+    (home) whose group they belong to: their own and part of those within the budget."""
     masks = " ".join(map(str, _anchors(depth, budget)))
     # The pair of nodes p and p^m belongs to the one whose lowest differing bit
     # equals the parity of their common bits; the other's keys are sent there.
     others = F.expr(
         f"transform(filter(cast(split('{masks}', ' ') as array<bigint>), m -> "
         "((node & (m & -m)) = 0) = ((bit_count(node & ~m) & 1) = 1)), m -> node ^ m)") if masks else F.array()
-    dealt = (
-        fps.select("fp", F.shiftrightunsigned("fp", BITS - depth).alias("node"))
-        .select("fp", F.explode(F.concat(F.array("node"), others)).alias("home"))
-    )
+    return (rows.withColumn("node", F.shiftrightunsigned("fp", BITS - depth))
+            .withColumn("home", F.explode(F.concat(F.array("node"), others))).drop("node"))
+
+
+def _walk(depth: int, budget: int):
+    """The function that finds the links of one group of fingerprints."""
 
     def run(group: pa.Table) -> pa.Table:
         home = group.column("home")[0].as_py()
@@ -197,7 +198,38 @@ def fingerprint_links(fps: DataFrame, budget: int = 2, depth: int | None = None)
         a, b = trie_links(keys, home, depth, budget)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return dealt.groupBy("home").applyInArrow(run, "a long, b long")
+    return run
+
+
+def fingerprint_links(fps: DataFrame, budget: int = 2, depth: int | None = None, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Links (a, b) that connect the distinct fingerprints of ``fps`` (fp long)
+    at most ``budget`` bits apart: a spanning forest of each group's links.
+
+    The anchor depth follows the number of fingerprints, so a node holds about
+    ``NODE_ROWS`` at any size. Where fingerprints crowd below one node, those of
+    groups of more than ``group_rows`` are dealt out anew by nodes deeper in the
+    trie: two of them within the budget meet there too. Nothing is left out.
+    """
+    n = fps.count()
+    if depth is None:
+        depth = max(8, int(np.ceil(np.log2(max(1, n) / NODE_ROWS))))
+    rows, out = fps.select("fp"), None
+    while True:
+        dealt = _dealt(rows, depth, budget)
+        if out is not None:  # deep nodes are sparse: only those that hold a key are walked
+            nodes = rows.select(F.shiftrightunsigned("fp", BITS - depth).alias("home")).distinct()
+            dealt = dealt.join(nodes, "home", "left_semi")
+        crowded = None
+        if n > group_rows and depth < MAX_DEPTH:  # a group holds a fingerprint once at most
+            crowded = staged(dealt.groupBy("home").count().where(F.col("count") > group_rows).select("home"), "crowded_groups")
+            crowded = None if crowded.isEmpty() else F.broadcast(crowded)  # one row for group_rows rows at least
+        ready = dealt if crowded is None else dealt.join(crowded, "home", "left_anti")
+        links = ready.groupBy("home").applyInArrow(_walk(depth, budget), "a long, b long")
+        out = links if out is None else out.union(links)
+        if crowded is None:
+            return out
+        rows = staged(dealt.join(crowded, "home", "left_semi").select("fp").distinct(), "crowded_fingerprints")
+        depth = min(MAX_DEPTH, depth + 8)
 
 
 def simhash_components(docs: DataFrame, keep: list[str], width: int = 3, budget: int = 2) -> DataFrame:

@@ -66,6 +66,24 @@ def test_trie_links_connect_what_all_pairs_connect(monkeypatch):
     assert [find(int(k)) for k in keys] == [int(keys[i]) for i in slow]
 
 
+def test_crowded_groups_are_dealt_out_by_deeper_nodes(spark):
+    rng = random.Random(9)
+    keys = {rng.getrandbits(64) for _ in range(40)}
+    home = 0xABCD << 48  # most fingerprints lie below one node of 16 bits
+    while len(keys) < 400:
+        k = home | rng.getrandbits(6) << 40 | rng.getrandbits(4) << 8
+        keys |= {k, k ^ 1 << rng.randrange(64), k ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64)}
+    signed = sorted(int(k) - (1 << 64) if k >> 63 else int(k) for k in keys)
+    fps = spark.createDataFrame([(k,) for k in signed], "fp long")
+    unsigned = [k & (1 << 64) - 1 for k in signed]
+    slow = slow_components(unsigned)
+    want = {k: signed[c] for k, c in zip(signed, slow) if slow.count(c) > 1}
+    for group_rows in (200, 1 << 20):
+        links = simhash.fingerprint_links(fps, group_rows=group_rows)
+        assert ("Union" in links._jdf.queryExecution().logical().toString()) == (group_rows == 200)
+        assert {r.node: r.component for r in components(links).collect()} == want
+
+
 def test_components_of_a_path_a_star_and_a_cycle(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (201, 200), (202, 201), (200, 202)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
