@@ -59,6 +59,12 @@ def _prefix(ids: np.ndarray) -> np.ndarray:
     return out
 
 
+def _spans(lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
+    """The numbers low..high-1 of every span, one span after the other."""
+    sizes = highs - lows
+    return np.arange(sizes.sum()) + np.repeat(lows - (np.cumsum(sizes) - sizes), sizes)
+
+
 def _free_run(marked: np.ndarray) -> np.ndarray:
     """For each position, how many unmarked positions follow from it on."""
     n = len(marked)
@@ -141,6 +147,7 @@ class Items:
             start.append(np.arange(len(h)))
             self.items.append((item_id, ids))
         self.seeds = np.concatenate(seeds) if seeds else np.zeros(0, np.uint64)
+        self.sizes = np.array([len(ids) for _, ids in self.items], np.int64)
         order = np.argsort(self.seeds, kind="stable")
         self.seeds = self.seeds[order]
         self.owner = np.concatenate(owner)[order] if seeds else np.zeros(0, np.int64)
@@ -164,23 +171,26 @@ class Items:
         if not hit.any():
             return
         at, left, right = at[hit], left[hit], right[hit]
+        h = h[hit]
         # Distinct seeds decide the bound; a seed repeated in the document adds nothing to it.
         ranges = np.unique(np.stack([left, right], 1), axis=0)
-        seeds = np.concatenate([np.arange(a, b) for a, b in ranges.tolist()])
-        for k in np.unique(self.owner[seeds]).tolist():
+        seeds = _spans(ranges[:, 0], ranges[:, 1])
+        seeds = seeds[np.argsort(self.owner[seeds], kind="stable")]
+        owners, first, count = np.unique(self.owner[seeds], return_index=True, return_counts=True)
+        enough = count * self.min_match >= threshold * self.sizes[owners]
+        by_hash = np.argsort(h, kind="stable")
+        ordered = h[by_hash]
+        for k, begin, size in zip(owners[enough].tolist(), first[enough].tolist(), count[enough].tolist()):
             item_id, item = self.items[k]
             covered = np.zeros(len(item), bool)
-            own = seeds[self.owner[seeds] == k]
-            for s in self.start[own].tolist():
-                covered[s:s + self.min_match] = True
+            own = seeds[begin:begin + size]
+            covered[self.start[own][:, None] + np.arange(self.min_match)] = True
             if covered.sum() < threshold * len(item):
                 continue
             # Only words below this item's seeds can be in a tile.
-            mine = np.isin(h[hit], self.seeds[own])
-            use = np.zeros(n, bool)
-            for s in at[mine].tolist():
-                use[s:s + self.min_match] = True
-            keep = np.flatnonzero(use)
+            mine = np.unique(self.seeds[own])
+            mine = by_hash[_spans(np.searchsorted(ordered, mine, "left"), np.searchsorted(ordered, mine, "right"))]
+            keep = np.unique(at[mine][:, None] + np.arange(self.min_match))
             gaps = np.flatnonzero(np.diff(keep) > 1) + 1
             doc = np.insert(ids[keep], gaps, 0)
             where = np.insert(keep, gaps, -1)
