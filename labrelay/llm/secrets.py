@@ -28,10 +28,11 @@ from .common import fresh
 KEYWORD = r"(?i:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|credentials?|bearer)"
 ASSIGNED = KEYWORD + r"""["']?[ \t]{0,4}(?::|=|=>)[ \t]{0,4}["']?"""
 PRIVATE_KEY = r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*+-----END [A-Z ]*PRIVATE KEY-----"
-#: A private key, a value assigned to a keyword, or a long run with a digit.
+#: A private key, a value assigned to a keyword, or a long run with a digit (tried
+#: only where a run begins, so that a run without digits is read once).
 CANDIDATE = (
     PRIVATE_KEY + "|" + ASSIGNED + r"""[^\s"'<>]{6,}+"""
-    r"|(?<![A-Za-z0-9])(?=[A-Za-z+/_.@=:-]*+[0-9])[A-Za-z0-9+/_.@=:-]{12,}+"
+    r"|(?:(?<![A-Za-z0-9+/_.@=:-])|(?<=PRIVATE KEY-----))(?=[A-Za-z+/_.@=:-]*+[0-9])[A-Za-z0-9+/_.@=:-]{12,}+"
 )
 #: A text without a match of this holds no candidate.
 ANY = r"[0-9]|" + KEYWORD + "|PRIVATE KEY"
