@@ -28,11 +28,16 @@ from .common import fresh
 KEYWORD = r"(?i:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|credentials?|bearer)"
 ASSIGNED = KEYWORD + r"""["']?[ \t]{0,4}(?::|=|=>)[ \t]{0,4}["']?"""
 PRIVATE_KEY = r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*+-----END [A-Z ]*PRIVATE KEY-----"
+_RUN, _RUN_NO_DIGIT = "[A-Za-z0-9+/_.@=:-]", "[A-Za-z+/_.@=:-]"
+#: No value assigned to a keyword begins here (the first letters of the keywords spare most tries).
+_NO_VALUE = "(?!(?=[a-cpstA-CPST])" + ASSIGNED + r"""[^\s"'<>]{6})"""
 #: A private key, a value assigned to a keyword, or a long run with a digit (tried
-#: only where a run begins, so that a run without digits is read once).
+#: only where a run begins, so that a run without digits is read once). A run ends
+#: before a value assigned in it, as in ``DB_PASSWORD=...``.
 CANDIDATE = (
     PRIVATE_KEY + "|" + ASSIGNED + r"""[^\s"'<>]{6,}+"""
-    r"|(?:(?<![A-Za-z0-9+/_.@=:-])|(?<=PRIVATE KEY-----))(?=[A-Za-z+/_.@=:-]*+[0-9])[A-Za-z0-9+/_.@=:-]{12,}+"
+    rf"|(?:(?<!{_RUN})|(?<=PRIVATE KEY-----))(?={_RUN_NO_DIGIT}*+[0-9])"
+    rf"(?=(?:{_NO_VALUE}{_RUN_NO_DIGIT})*+[0-9])(?:{_NO_VALUE}{_RUN}){{12,}}+"
 )
 #: A text without a match of this holds no candidate.
 ANY = r"[0-9]|" + KEYWORD + "|PRIVATE KEY"
