@@ -7,8 +7,10 @@ and the regions it lies in. Then, for each page:
 1. the text-to-tag ratio of every line, smoothed with a Gaussian along the page;
 2. a threshold between the two clusters of smoothed ratios (two means);
 3. the regions that hold a line above the threshold are content, and all their
-   lines are kept. Markup that names its purpose (``nav``, ``aside``, ``footer``,
-   a class such as ``sidebar`` or ``comments``) is left out before.
+   lines are kept. Several such regions inside one that is not the whole page
+   stand for that one, without its parts that are mostly links. Markup that names
+   its purpose (``nav``, ``aside``, ``footer``, a class such as ``sidebar`` or
+   ``comments``) is left out before.
 """
 
 from __future__ import annotations
@@ -44,46 +46,64 @@ NAMES = re.compile(
     r"advertisement|adsense|adslot|banner|promo|promotion|sponsor|sponsored|cookies?|consent|gdpr|notices?|popup|modal|"
     r"overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|comments?|commentlist|disqus|"
     r"replies|respond|form|search|pagination|pager|widget|skip)(?:$|[\s_-])")
+#: Words of a class or id that only tell of the layout around (``has-sidebar``) or of the article's own head (``entry-header``).
+LAYOUT = re.compile(r"(?:^|(?<=[\s_-]))(?:(?:has|with|without|no)[_-][a-z]+|(?:post|entry|article|story)[_-]header)(?=$|[\s_-])")
 #: Tags that may stand in a head; any other one ends a head that was not closed.
 IN_HEAD = frozenset("title meta link style script base noscript template object".split())
 ARTICLE = frozenset(("article", "main"))
+#: Where a name in camel case is parted.
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+#: Share of a region's characters in links from which it is no part of the content around it.
+LINKS = 0.5
 SIGMA = 1.0
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, region, article) of every line; region numbers grow with the page."""
+    """Collects (text, tags, region, article, characters in links) of every line;
+    region numbers grow with the page, ``parents`` holds the one around each and
+    ``whole`` those that are the whole page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, int]] = []
+        self.lines: list[tuple[str, int, int, int, int]] = []
         self.stack: list[tuple[str, int, bool, int]] = [("", 0, False, 0)]  # tag, region, left out, article
         self.regions, self.tags, self.text = 0, 0, []
+        self.parents, self.whole = [0], {0}
+        self.in_link, self.linked, self.line_out = False, 0, False
 
     def flush(self) -> None:
         if self.text:
             text = " ".join("".join(self.text).split())
             _, region, out, article = self.stack[-1]
-            if text and not out:
-                self.lines.append((text, self.tags, region, article))
+            if text and not out and not self.line_out:
+                self.lines.append((text, self.tags, region, article, self.linked))
             self.text = []
-        self.tags = 0
+        self.tags, self.linked, self.line_out = 0, 0, False
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS or tag in SILENT:
             self.flush()
         elif tag == "br":
             self.text.append(" ")
+        elif tag == "a":
+            self.in_link = True
         self.tags += 1
         if self.stack[-1][0] == "head" and tag not in IN_HEAD:
             self.stack.pop()
+        named = " ".join(v for k, v in attrs if k in ("class", "id") and v)
+        named = LAYOUT.sub("", CAMEL.sub("-", named).lower())
         if tag not in REGIONS or tag in VOID:
+            if tag in BLOCKS and tag not in VOID:  # a paragraph or heading is a line
+                self.line_out = bool(NAMES.search(named))
             return
         if tag in ARTICLE:  # an article is never part of an unclosed menu, header or form
             while self.stack[-1][0] in ("nav", "header", "footer", "form", "menu", "ul", "ol"):
                 self.stack.pop()
         _, _, out, article = self.stack[-1]
         self.regions += 1
-        named = " ".join(v for k, v in attrs if k in ("class", "id") and v).lower()
+        self.parents.append(self.stack[-1][1])
+        if tag in ("html", "body"):
+            self.whole.add(self.regions)
         role = next((v for k, v in attrs if k == "role" and v), "").lower()
         hidden = any(k == "hidden" for k, _ in attrs)
         out = (out or tag in SILENT or tag in OTHER or (tag == "header" and not article) or role in ROLES or hidden
@@ -99,6 +119,8 @@ class Lines(HTMLParser):
     def handle_endtag(self, tag):
         if tag in BLOCKS or tag in SILENT:
             self.flush()
+        elif tag == "a":
+            self.in_link = False
         self.tags += 1
         if tag in REGIONS:
             for i in range(len(self.stack) - 1, 0, -1):
@@ -110,6 +132,8 @@ class Lines(HTMLParser):
 
     def handle_data(self, data):
         self.text.append(data)
+        if self.in_link:
+            self.linked += len(data.strip())
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -135,6 +159,27 @@ def two_means(values: np.ndarray) -> float:
     return float(cut)
 
 
+def widened(lines: list[tuple[str, int, int, int, int]], kept: set[int], parents: list[int], whole: set[int]) -> set[int]:
+    """``kept``, and if a region that is not the whole page holds them all, also the
+    regions in it that hold lines and are not mostly links."""
+
+    holds = [int(r in kept) for r in range(len(parents))]  # a region's number is above those around it
+    for r in range(len(parents) - 1, 0, -1):
+        holds[parents[r]] += holds[r]
+    inmost = max(r for r, n in enumerate(holds) if n == len(kept))
+    if len(kept) < 2 or inmost in whole:
+        return kept
+    inside = [r == inmost for r in range(len(parents))]
+    for r in range(inmost + 1, len(parents)):
+        inside[r] = inside[parents[r]]
+    sizes: dict[int, list[int]] = {}
+    for text, _, region, _, linked in lines:
+        size = sizes.setdefault(region, [0, 0])
+        size[0] += len(text)
+        size[1] += linked
+    return kept | {r for r, (size, linked) in sizes.items() if linked < LINKS * size and inside[r]}
+
+
 def main_text(html: str | None) -> str:
     """The article of a page: its lines in page order, joined by a newline.
 
@@ -155,9 +200,11 @@ def main_text(html: str | None) -> str:
         region = 3
     else:
         region = 2
-    ratios = smoothed(np.array([len(t) / max(1, tags) for t, tags, _, _ in lines], float))
+    ratios = smoothed(np.array([len(t) / max(1, tags) for t, tags, *_ in lines], float))
     cut = two_means(ratios)
     kept = {line[region] for line, ratio in zip(lines, ratios) if ratio >= cut}
+    if region == 2:
+        kept = widened(lines, kept, parser.parents, parser.whole)
     return "\n".join(line[0] for line in lines if line[region] in kept)
 
 

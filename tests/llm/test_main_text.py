@@ -18,11 +18,23 @@ LONG = "A sentence of the article that goes on for quite a while, so that it is
     (f"<article><p>{LONG}</div> on</p></article>", f"{LONG}\non"),
     (f"<article><p>{LONG}</p><p>cut off &am", f"{LONG}\ncut off &am"),
     (f"<head><title>T</title><p>{LONG}", LONG),
+    # layout classes, an article's own head, names in camel case and of single paragraphs
+    (f"<div class='wrap has-sidebar'><article><div class='entry-header'><h1>T</h1></div><p>{LONG}</p><p class=advert>Buy</p>"
+     f"<p>End.</p><div class=userComments><p>{LONG}</p></div></article><div class=sidebar>x</div></div>", f"T\n{LONG}\nEnd."),
+    # paragraphs in regions of their own, inside one that also holds links
+    (f"<body><div id=wrapper><div><a href=1>Home</a> <a href=2>About us</a></div><div><h1>T</h1><p>{LONG * 2}</p></div>"
+     f"<div><p>Short.</p></div><div><p>{LONG * 2}</p></div></div></body>", f"T\n{LONG * 2}\nShort.\n{LONG * 2}"),
 ])
 def test_main_text(html, text):
     assert main_text(html) == text
 
 
+def test_very_deep_pages():
+    depth = 30_000
+    html = "<body>" + "".join(f"<div><p>{LONG}</p>" for _ in range(depth)) + "</div>" * depth + "</body>"
+    assert main_text(html) == "\n".join([LONG] * depth)
+
+
 def test_every_page_gives_a_row(spark):
     rows = [(1, "u", f"<article><p>{LONG}</p></article>"), (2, None, None), (None, "u", ""), (1, "u", f"<article><p>{LONG}</p></article>"),
             (3, "u", "<article><p>" + "word " * 100000 + "</p></article>")]
