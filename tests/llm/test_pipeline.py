@@ -2,7 +2,7 @@ import corpus_pipeline
 from labrelay.llm import factorisation, mixing, simhash, tiling
 from labrelay.llm.common import staged
 from .test_simhash import slow_components, slow_fingerprint
-from test_tiling import slow_tiles
+from .test_tiling import slow_tiles
 
 
 def test_stages_equal_brute_force(spark):
