@@ -8,14 +8,16 @@ and the regions it lies in. Then, for each page:
 2. a threshold between the two clusters of smoothed ratios (two means);
 3. the regions that hold a line above the threshold are content, and all their
    lines are kept. Several such regions inside one that is not the whole page
-   stand for that one, without its parts that are mostly links. Markup that names
-   its purpose (``nav``, ``aside``, ``footer``, a class such as ``sidebar`` or
-   ``comments``) is left out before.
+   stand for that one, without its parts that are mostly links. Lists, tables,
+   quotes and figures belong to the region around them, unless they are mostly
+   links. Markup that names its purpose (``nav``, ``aside``, ``footer``, a class
+   such as ``sidebar`` or ``comments``) is left out before.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -37,6 +39,9 @@ BLOCKS = frozenset(
 #: Blocks that are regions: they go on the stack and must be closed.
 REGIONS = frozenset("article aside body center details dialog div fieldset footer form header html main menu nav section "
                     "table tbody td th tr ul ol dl blockquote figure".split()) | SILENT | OTHER
+#: Regions that belong to the one around them, and the parts of a table.
+NESTED = frozenset("ul ol dl blockquote figure table".split())
+CELLS, PARTS = frozenset(("td", "th")), frozenset("tbody tr td th".split())
 #: Elements without content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
@@ -60,15 +65,15 @@ SIGMA = 1.0
 
 class Lines(HTMLParser):
     """Collects (text, tags, region, article, characters in links) of every line;
-    region numbers grow with the page, ``parents`` holds the one around each and
-    ``whole`` those that are the whole page."""
+    region numbers grow with the page, ``parents`` holds the one around each,
+    ``kinds`` their tags and ``whole`` those that are the whole page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, int, int]] = []
         self.stack: list[tuple[str, int, bool, int]] = [("", 0, False, 0)]  # tag, region, left out, article
         self.regions, self.tags, self.text = 0, 0, []
-        self.parents, self.whole = [0], {0}
+        self.parents, self.kinds, self.whole = [0], [""], {0}
         self.in_link, self.linked, self.line_out = False, 0, False
 
     def flush(self) -> None:
@@ -102,6 +107,7 @@ class Lines(HTMLParser):
         _, _, out, article = self.stack[-1]
         self.regions += 1
         self.parents.append(self.stack[-1][1])
+        self.kinds.append(tag)
         if tag in ("html", "body"):
             self.whole.add(self.regions)
         role = next((v for k, v in attrs if k == "role" and v), "").lower()
@@ -159,25 +165,55 @@ def two_means(values: np.ndarray) -> float:
     return float(cut)
 
 
-def widened(lines: list[tuple[str, int, int, int, int]], kept: set[int], parents: list[int], whole: set[int]) -> set[int]:
-    """``kept``, and if a region that is not the whole page holds them all, also the
-    regions in it that hold lines and are not mostly links."""
+def layout_tables(kinds: list[str], tables: list[int], counts: list[int]) -> set[int]:
+    """Tables that lay out a page: of one row, or with a cell of several lines. 0 is
+    that of cells outside a table."""
+    rows = Counter(t for t, kind, n in zip(tables, kinds, counts) if kind == "tr" and n)
+    return ({0} | {r for r, kind in enumerate(kinds) if kind == "table" and rows[r] < 2}
+            | {t for t, kind, n in zip(tables, kinds, counts) if kind in CELLS and n > 1})
 
-    holds = [int(r in kept) for r in range(len(parents))]  # a region's number is above those around it
-    for r in range(len(parents) - 1, 0, -1):
+
+def widened(lines: list[tuple[str, int, int, int, int]], above: set[int], parents: list[int], kinds: list[str],
+            whole: set[int]) -> set[int]:
+    """The regions that stay, from those that hold a line above the threshold.
+
+    Lists, tables, quotes and figures that are not mostly links count for the
+    region around them, and stay with it. If a region that is not the whole page
+    holds all that count, the regions in it that are not mostly links stay too.
+    Cells of a table that lays out the page count for themselves.
+    """
+    n = len(parents)  # a region's number is above those around it
+    sizes, linked, counts = [0] * n, [0] * n, [0] * n
+    for text, _, region, _, in_links in lines:
+        sizes[region] += len(text)
+        linked[region] += in_links
+        counts[region] += 1
+    own_links = [0 < size and in_links >= LINKS * size for size, in_links in zip(sizes, linked)]
+    for r in range(n - 1, 0, -1):
+        for total in (sizes, linked, counts):
+            total[parents[r]] += total[r]
+    links = [0 < size and in_links >= LINKS * size for size, in_links in zip(sizes, linked)]
+    tables = [0] * n
+    for r in range(1, n):
+        tables[r] = r if kinds[r] == "table" else tables[parents[r]]
+    layout = layout_tables(kinds, tables, counts)
+    home = list(range(n))
+    for r in range(1, n):
+        if kinds[r] in NESTED and not links[r] and r not in layout or kinds[r] in PARTS and tables[r] not in layout:
+            home[r] = home[parents[r]]
+    kept = {home[r] for r in above}
+    holds = [int(r in kept) for r in range(n)]
+    for r in range(n - 1, 0, -1):
         holds[parents[r]] += holds[r]
-    inmost = max(r for r, n in enumerate(holds) if n == len(kept))
-    if len(kept) < 2 or inmost in whole:
-        return kept
-    inside = [r == inmost for r in range(len(parents))]
-    for r in range(inmost + 1, len(parents)):
-        inside[r] = inside[parents[r]]
-    sizes: dict[int, list[int]] = {}
-    for text, _, region, _, linked in lines:
-        size = sizes.setdefault(region, [0, 0])
-        size[0] += len(text)
-        size[1] += linked
-    return kept | {r for r, (size, linked) in sizes.items() if linked < LINKS * size and inside[r]}
+    inmost = max(r for r, k in enumerate(holds) if k == len(kept))
+    inside = [r in kept or (r == inmost and r not in whole) for r in range(n)]
+    for r in range(1, n):
+        if not inside[r] and inside[parents[r]]:
+            if kinds[r] in NESTED or (kinds[r] in CELLS and tables[r] in layout):
+                inside[r] = not links[r]
+            else:
+                inside[r] = kinds[r] in PARTS or parents[r] not in whole
+    return kept | {r for r in range(n) if inside[r] and (kinds[r] in NESTED or kinds[r] in PARTS or not own_links[r])}
 
 
 def main_text(html: str | None) -> str:
@@ -204,7 +240,7 @@ def main_text(html: str | None) -> str:
     cut = two_means(ratios)
     kept = {line[region] for line, ratio in zip(lines, ratios) if ratio >= cut}
     if region == 2:
-        kept = widened(lines, kept, parser.parents, parser.whole)
+        kept = widened(lines, kept, parser.parents, parser.kinds, parser.whole)
     return "\n".join(line[0] for line in lines if line[region] in kept)
 
 

@@ -29,6 +29,35 @@ def test_main_text(html, text):
     assert main_text(html) == text
 
 
+P = f"<p>{LONG * 3}</p>"
+ITEMS = [f"A short list item {k}." for k in range(5)]
+NESTED = [
+    ("<ul>" + "".join(f"<li>{i}</li>" for i in ITEMS) + "</ul>", ITEMS),
+    ("<ol><li>One<ul><li>Two</li></ul></li></ol>", ["One", "Two"]),
+    ("<table><tr><th>Name</th><th>Size</th></tr><tr><td><a href=1>Linked</a></td><td>12</td></tr></table>", ["Name", "Size", "Linked", "12"]),
+    ("<table><tbody><tr><td><p>One</p><p>Two</p></td><td>x</td></tr><tr><td>y</td></tr></tbody></table>", ["One", "Two", "x", "y"]),
+    ("<blockquote><p>Quoted.</p></blockquote>", ["Quoted."]),
+    ("<figure><img src=x><figcaption>A figure.</figcaption></figure>", ["A figure."]),
+    ("<ul><li><a href=1>Home</a></li><li><a href=2>About us</a></li></ul>", []),  # mostly links
+]
+
+
+@pytest.mark.parametrize("block,inner", NESTED)
+@pytest.mark.parametrize("page", ["<body><div id=content>{}</div><div><a href=1>x</a> <a href=2>y</a></div></body>", "<body>{}</body>", "{}"])
+def test_lists_tables_quotes_and_figures_stay_with_the_region_around_them(page, block, inner):
+    assert main_text(page.format(P + P + block + P)) == "\n".join([LONG * 3, LONG * 3, *inner, LONG * 3])
+
+
+def test_a_long_quote_stands_for_the_region_around_it():
+    html = f"<body><div><a href=1>x</a></div><div><p>Short.</p><blockquote>{LONG * 3}</blockquote><p>End.</p></div><div><a href=2>y</a></div>"
+    assert main_text(html) == f"Short.\n{LONG * 3}\nEnd."
+
+
+def test_cells_of_a_page_laid_out_by_a_table_count_for_themselves():
+    html = f"<body><table><tr><td><a href=1>Home</a> <a href=2>News</a></td><td>{P}<p>Short.</p>{P}</td><td>Ad</td></tr></table></body>"
+    assert main_text(html) == f"{LONG * 3}\nShort.\n{LONG * 3}"
+
+
 def test_very_deep_pages():
     depth = 30_000
     html = "<body>" + "".join(f"<div><p>{LONG}</p>" for _ in range(depth)) + "</div>" * depth + "</body>"
