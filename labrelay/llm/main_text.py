@@ -53,6 +53,14 @@ NAMES = re.compile(
     r"replies|respond|form|search|pagination|pager|widget|skip)(?:$|[\s_-])")
 #: Words of a class or id that only tell of the layout around (``has-sidebar``) or of the article's own head (``entry-header``).
 LAYOUT = re.compile(r"(?:^|(?<=[\s_-]))(?:(?:has|with|without|no)[_-][a-z]+|(?:post|entry|article|story)[_-]header)(?=$|[\s_-])")
+#: In the names of headings, and inside an article, this tells of the article's own head.
+HEAD = re.compile(r"(?:^|(?<=[\s_-]))header(?=$|[\s_-])")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Words of an id that only say that something is a box, and those that name comments whatever their title.
+BOX = frozenset("section area box container wrapper wrap block list posts bar buttons".split())
+COMMENTS = frozenset("comment comments commentlist disqus replies respond".split())
+CONTROLS = frozenset("input button select textarea".split())
+WORD = re.compile(r"[^\W_]+")
 #: Tags that may stand in a head; any other one ends a head that was not closed.
 IN_HEAD = frozenset("title meta link style script base noscript template object".split())
 ARTICLE = frozenset(("article", "main"))
@@ -75,6 +83,9 @@ class Lines(HTMLParser):
         self.regions, self.tags, self.text = 0, 0, []
         self.parents, self.kinds, self.whole = [0], [""], {0}
         self.in_link, self.linked, self.line_out = False, 0, False
+        # Regions inside an article that only their id names: id, title; those without a line so far; controls of the page.
+        self.suspects: dict[int, tuple[str, str]] = {}
+        self.heading, self.untitled, self.controls = False, [], []
 
     def flush(self) -> None:
         if self.text:
@@ -82,8 +93,11 @@ class Lines(HTMLParser):
             _, region, out, article = self.stack[-1]
             if text and not out and not self.line_out:
                 self.lines.append((text, self.tags, region, article, self.linked))
+                for r in self.untitled:
+                    self.suspects[r] = (self.suspects[r][0], text if self.heading else "")
+                self.untitled = []
             self.text = []
-        self.tags, self.linked, self.line_out = 0, 0, False
+        self.tags, self.linked, self.line_out, self.heading = 0, 0, False, False
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS or tag in SILENT:
@@ -95,11 +109,15 @@ class Lines(HTMLParser):
         self.tags += 1
         if self.stack[-1][0] == "head" and tag not in IN_HEAD:
             self.stack.pop()
-        named = " ".join(v for k, v in attrs if k in ("class", "id") and v)
-        named = LAYOUT.sub("", CAMEL.sub("-", named).lower())
+        if tag in CONTROLS:
+            self.controls.append(self.stack[-1][1])
+        kind, ident = (LAYOUT.sub("", CAMEL.sub("-", " ".join(v for k, v in attrs if k == key and v)).lower()) for key in ("class", "id"))
+        self.heading = tag in HEADINGS or (self.heading and tag not in BLOCKS)
+        if self.heading or self.stack[-1][3]:
+            kind, ident = HEAD.sub("", kind), HEAD.sub("", ident)
         if tag not in REGIONS or tag in VOID:
-            if tag in BLOCKS and tag not in VOID:  # a paragraph or heading is a line
-                self.line_out = bool(NAMES.search(named))
+            if tag in BLOCKS and tag not in VOID:  # a paragraph or heading is a line; ids are often made from headings
+                self.line_out = bool(NAMES.search(kind if self.heading or self.stack[-1][3] else f"{kind} {ident}"))
             return
         if tag in ARTICLE:  # an article is never part of an unclosed menu, header or form
             while self.stack[-1][0] in ("nav", "header", "footer", "form", "menu", "ul", "ol"):
@@ -112,9 +130,14 @@ class Lines(HTMLParser):
             self.whole.add(self.regions)
         role = next((v for k, v in attrs if k == "role" and v), "").lower()
         hidden = any(k == "hidden" for k, _ in attrs)
+        plain = tag not in ("html", "body") and tag not in ARTICLE
         out = (out or tag in SILENT or tag in OTHER or (tag == "header" and not article) or role in ROLES or hidden
-               or (tag not in ("html", "body") and tag not in ARTICLE and bool(NAMES.search(named)))
-               or (tag == "article" and bool(re.search(r"(?:^|[\s_-])(?:comments?|repl(?:y|ies)|related|sidebar|ads?)(?:$|[\s_-])", named))))
+               or (plain and bool(NAMES.search(kind if article else f"{kind} {ident}")))
+               or (tag == "article" and bool(re.search(r"(?:^|[\s_-])(?:comments?|repl(?:y|ies)|related|sidebar|ads?)(?:$|[\s_-])", kind)
+                                             or re.fullmatch(r"(?:comments?|repl(?:y|ies)|related|sidebar|ads?)(?:[_-]?\d+)?", ident))))
+        if plain and article and not out and NAMES.search(ident):
+            self.suspects[self.regions] = (ident, "")
+            self.untitled.append(self.regions)
         if tag in ARTICLE and not out:
             article = article or self.regions
         self.stack.append((tag, self.regions, out, article))
@@ -136,6 +159,35 @@ class Lines(HTMLParser):
                 if self.stack[i][0] in ARTICLE and tag not in ("html", "body"):
                     break  # a stray end tag does not end the article around it
 
+    def left_out(self) -> set[int]:
+        """Regions inside an article that are left out by their id, with those in them: the
+        id is nothing but names and not made from the title, or they are mostly links or form controls."""
+        if not self.suspects:
+            return set()
+        n = len(self.parents)
+        sizes, linked, counts, controls = [0] * n, [0] * n, [0] * n, [0] * n
+        for text, _, region, _, in_links in self.lines:
+            sizes[region] += len(text)
+            linked[region] += in_links
+            counts[region] += 1
+        for region in self.controls:
+            controls[region] += 1
+        for r in range(n - 1, 0, -1):
+            for total in (sizes, linked, counts, controls):
+                total[self.parents[r]] += total[r]
+        out: set[int] = set()
+        for r in range(1, n):
+            if self.parents[r] in out:
+                out.add(r)
+            elif r in self.suspects:
+                ident, title = self.suspects[r]
+                words = [w for w in WORD.findall(ident) if not w.isdigit()]
+                named = (all(w in BOX or NAMES.search(w) for w in words)
+                         and (not COMMENTS.isdisjoint(words) or words != [w for w in WORD.findall(title.lower()) if not w.isdigit()]))
+                if named or linked[r] >= LINKS * sizes[r] or controls[r] >= counts[r]:
+                    out.add(r)
+        return out
+
     def handle_data(self, data):
         self.text.append(data)
         if self.in_link:
@@ -228,7 +280,8 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.close()
     parser.flush()
-    lines = parser.lines
+    out = parser.left_out()
+    lines = [line for line in parser.lines if line[2] not in out] if out else parser.lines
     if not lines:
         return ""
     if any(line[3] for line in lines):  # markup that says where the article is

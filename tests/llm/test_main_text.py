@@ -29,6 +29,29 @@ def test_main_text(html, text):
     assert main_text(html) == text
 
 
+@pytest.mark.parametrize("block,text", [
+    (f"<section id=related-work><h2 id=related>Related work</h2><p>{LONG}</p></section>", f"Related work\n{LONG}\n"),
+    (f"<section id=search><h2>Search</h2><p>{LONG}</p></section>", f"Search\n{LONG}\n"),
+    (f"<div id=socialHistory><div id=notices-and-forms><p>{LONG}</p></div></div>", f"{LONG}\n"),
+    ("<h2 id=search>Search</h2>", "Search\n"), ("<h2 id=comments-in-code>On comments</h2>", "On comments\n"),
+    ("<h2 id=social-history><a href=#s>Social</a> history</h2>", "Social history\n"), ("<h1 class=page-header>Title</h1>", "Title\n"),
+    ("<p id=share-of-voters>Shares.</p>", "Shares.\n"),
+    # still left out: links, form controls, ids that are nothing but names, classes, roles
+    ("<div id=related-reading><a href=1>One more</a> <a href=2>Another</a></div>", ""),
+    ("<div id=search-the-site><label>Find</label> <input name=q></div>", ""),
+    (f"<section id=comments><h2>Comments</h2><div><p>{LONG}</p></div></section>", ""), (f"<div id=comment-12><p>{LONG}</p></div>", ""),
+    (f"<div id=sidebar><p>{LONG}</p></div>", ""), (f"<div id=talk class=user-comments><p>{LONG}</p></div>", ""),
+    (f"<div id=related-work role=complementary><p>{LONG}</p></div>", ""), ("<p class=advert>Buy</p>", ""),
+])
+def test_ids_inside_an_article(block, text):
+    assert main_text(f"<body><article><p>{LONG}</p>{block}<p>{LONG}</p></article></body>") == f"{LONG}\n{text}{LONG}"
+
+
+def test_ids_of_headings_and_articles():
+    assert main_text(f"<body><div><h2 id=search>Search</h2><p>{LONG * 2}</p></div></body>") == f"Search\n{LONG * 2}"
+    assert main_text(f"<main><article id=comments-in-code><p>{LONG}</p></article><article id=comment-3><p>x</p></article></main>") == LONG
+
+
 P = f"<p>{LONG * 3}</p>"
 ITEMS = [f"A short list item {k}." for k in range(5)]
 NESTED = [
