@@ -7,6 +7,7 @@
 * How many leaves to visit is calibrated: for a bounded set of calibration
   queries the true neighbours are found by brute force over all rows, and the
   visits are widened until ``target_recall`` of them lie in the visited leaves.
+  A query whose leaves hold too few rows goes on until they hold ``k`` others.
 * Leaf and query visits meet in a cogroup on (leaf, block of rows, block of
   queries). Blocks have a bounded size, so a leaf that holds a third of all rows
   or is visited by every query is many groups.
@@ -196,16 +197,31 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, id_col: str = "vec_
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(leaf)], names=["id", "v", "leaf"])
 
     indexed = staged(map_arrow(rows, index, rows.withColumn("leaf", F.lit(0)).schema), "indexed_vectors")
-    queries = indexed.where(is_query).groupBy("id").agg(F.min("v").alias("v"))
+    queries = indexed.where(is_query).groupBy("id").agg(F.min("v").alias("v"), F.count("*").alias("own"))
     n_queries = queries.count()
     if not n_queries:
         return spark.createDataFrame([], schema)
     visits = calibrated_visits(indexed, _sampled(queries, CALIBRATION_QUERIES, n_queries, 2), tree, k, target_recall)
+    counts = indexed.groupBy("leaf").count()  # one row for each leaf: at most MAX_LEAVES
+    sizes = [0] * tree.leaves
+    for leaf, size in counts.collect():
+        sizes[leaf] = size
+
+    def leaves_to_visit(q: np.ndarray, least: int) -> list[int]:
+        """The calibrated number of leaves, and more until they hold ``least`` rows."""
+        order, held = [], 0
+        for leaf in tree.best_bin_first(q):
+            if len(order) >= visits and held >= least:
+                break
+            order.append(leaf)
+            held += sizes[leaf]
+        return order
 
     def visit(batches):
         for batch in batches:
             q = _matrix(batch.column(1))
-            order = [[leaf for _, leaf in zip(range(visits), tree.best_bin_first(x))] for x in q]
+            # Rows under the query's own id are no candidates.
+            order = [leaves_to_visit(x, k + own) for x, own in zip(q, batch.column(2).to_pylist())]
             at = np.repeat(np.arange(len(q)), [len(x) for x in order])
             leaves = np.array([leaf for x in order for leaf in x], np.int32)
             for s in range(0, len(at), 8192):
@@ -214,9 +230,9 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, id_col: str = "vec_
                      pa.array(leaves[s:s + 8192])], names=["id", "v", "leaf"])
 
     visited = staged(map_arrow(queries, visit, indexed.schema), "leaf_visits")
-    # One row for each leaf: at most MAX_LEAVES, so these counts may be broadcast.
+    # As few rows as leaves, so these counts may be broadcast.
     blocks = F.broadcast(
-        indexed.groupBy("leaf").count()
+        counts
         .join(visited.groupBy("leaf").agg(F.count("*").alias("queries")), "leaf")
         .select("leaf", F.ceil(F.col("count") / BLOCK_ROWS).cast("int").alias("row_blocks"),
                 F.ceil(F.col("queries") / BLOCK_QUERIES).cast("int").alias("query_blocks"))

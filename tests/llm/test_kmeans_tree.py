@@ -61,3 +61,16 @@ def test_rows_that_take_no_part_ties_and_small_tables(spark):
     assert got == {0: [(100, 0.0), (100, 0.0), (1, 1.0), (2, 1.0), (3, 1.0)], 100: [(0, 0.0), (1, 1.0), (2, 1.0), (3, 1.0)]}
     assert K.nearest_neighbours(df.limit(0), F.col("id") % 100 == 0).count() == 0
     assert K.nearest_neighbours(df, F.col("id") == 77).count() == 0
+
+
+def test_queries_in_tiny_leaves_find_k_rows(spark, monkeypatch):
+    monkeypatch.setattr(K, "LEAF_ROWS", 600)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(12, 8))[rng.integers(12, size=6000)] * 20 + rng.normal(size=(6000, 8)) * 0.05
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    far = [(20 * 6000 + 20 * i, (np.eye(8)[i] * 3000).tolist()) for i in range(5)]
+    often = [(10**6, (-np.eye(8)[0] * 3000 + 1e-3 * i).tolist()) for i in range(30)]  # rows of one id are no candidates of it
+    df = spark.createDataFrame(rows + far + often, "vec_id long, embedding array<double>")
+    got = found(K.nearest_neighbours(df, F.col("id") % 10 == 0))
+    assert len(got) == 600 + 5 + 1 and {len(n) for n in got.values()} == {10}
+    assert all(i != q for q, near in got.items() for i, _ in near)
