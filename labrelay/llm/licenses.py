@@ -35,6 +35,9 @@ TEMPLATES = {
         "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
         "permissions and limitations under the License."),
     "MIT-notice": "Released under the MIT License",
+    "BSD-notice": "Released under the BSD License",
+    "GPL-notice": "Released under the GPL License",
+    "Apache-notice": "Released under the Apache License",
     "MIT": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
         "files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, "
@@ -68,7 +71,14 @@ TEMPLATES = {
     "CC0-1.0-sentence": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
 }
 #: Words that tell licenses of one family apart: a match must have the same ones.
-TELLING = frozenset("nc nd sa sharealike noncommercial noderivatives agpl lgpl lesser affero".split())
+VARIANTS = frozenset("nc nd sa sharealike noncommercial noderivatives agpl lgpl lesser affero".split())
+#: Words that name a license: of those in a template, each must be matched where it first stands.
+NAMING = frozenset("mit bsd gpl apache gnu general mozilla mpl cc creative commons attribution".split())
+#: Words that tell licenses and their versions apart.
+TELLING = VARIANTS | NAMING | frozenset("0 2 3 4".split())
+#: A version in a license's name, and one that follows a word of a text.
+VERSION = re.compile(r"\d+\.\d+")
+NUMBER = re.compile(r"\W{0,8}(?:v(?:er(?:sion)?)?\W{0,3})?(\d+(?:\.\d+)*)", re.IGNORECASE)
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -141,12 +151,20 @@ def patience(a: list[str], b: list[str], a0: int = 0, b0: int = 0) -> list[tuple
 
 
 class Licenses:
-    """Templates with the words that are watched for each."""
+    """Templates with the words that are watched for each, where their naming words
+    first stand, and where the version is that their name tells."""
 
     def __init__(self, templates: dict[str, str] = TEMPLATES, coverage: float = COVERAGE):
         self.coverage = coverage
         self.templates = {name: WORD.findall(text.lower()) for name, text in templates.items()}
         everywhere = Counter(w for words in self.templates.values() for w in set(words))
+        self.names = {name: {words.index(w) for w in NAMING & set(words)} for name, words in self.templates.items()}
+        self.version: dict[str, tuple[str, range]] = {}
+        for name, words in self.templates.items():
+            own, first = VERSION.search(name), next((i for i, w in enumerate(words) if w.isdigit()), None)
+            if own and first is not None:
+                end = next((i for i in range(first, len(words)) if not words[i].isdigit()), len(words))
+                self.version[name] = (own.group(), range(first, end))
         self.watch: dict[str, list[tuple[str, int]]] = {}
         for name, words in self.templates.items():
             n = len(words)
@@ -156,9 +174,21 @@ class Licenses:
             for i in rare[:need]:
                 self.watch.setdefault(words[i], []).append((name, i))
 
+    def version_at(self, name: str, text: str, spans: list[tuple[int, int]], at: dict[int, int]) -> tuple[str, int] | None:
+        """The version that a text has in the place of the template's, as major.minor, and its
+        end in characters; ``at`` has the text's word of each matched word of the template."""
+        first = self.version[name][1][0]
+        starts = [spans[at[i]][1] for i in (first - 1, first - 2) if i in at] + [spans[at[i]][0] for i in (first,) if i in at]
+        for start in starts:
+            number = NUMBER.match(text, start)
+            if number:
+                return number.group(1) + ("" if "." in number.group(1) else ".0"), number.end()
+        return None
+
     def found(self, text: str) -> Iterator[tuple[str, float, int, int]]:
         """(license, coverage, start, end) in characters of each notice in a text, in
-        order of their start; of notices that overlap, the one that matches most words."""
+        order of their start; of notices that overlap, the one that matches most words.
+        A notice of another version gets that version's name, its number counting as matched."""
         low_text = text.lower()
         if not any(w in low_text for w in self.watch):
             return
@@ -178,13 +208,25 @@ class Licenses:
                 low = max(0, start - slack, done + 1)
                 window = words[low:start + n + slack]
                 pairs = patience(template, window)
-                if len(pairs) < self.coverage * n:
+                own, numbers = self.version.get(name, ("", range(0)))
+                others = [p for p in pairs if p[0] not in numbers]
+                if len(others) + len(numbers) < self.coverage * n:
+                    continue
+                at = {i: low + j for i, j in pairs}
+                if not self.names[name] <= at.keys():
                     continue
-                first, last = low + pairs[0][1], low + pairs[-1][1]
-                inside = set(words[first:last + 1]) & TELLING
-                if len(pairs) < DENSITY * (last - first + 1) or inside != set(template) & TELLING:
+                first, last, size, called = low + pairs[0][1], low + pairs[-1][1], len(pairs), name
+                if numbers:
+                    version = self.version_at(name, text, spans, at)
+                    if version is None:
+                        continue
+                    if version[0] != own:
+                        size, called = len(others) + len(numbers), name.replace(own, version[0], 1)
+                        last = max(low + others[-1][1], bisect_left(spans, (version[1], 0)) - 1)
+                inside = set(words[first:last + 1]) & VARIANTS
+                if size < self.coverage * n or size < DENSITY * (last - first + 1) or inside != set(template) & VARIANTS:
                     continue
-                matches.append((len(pairs), -len(pairs) / n, first, last, name))
+                matches.append((size, -size / n, first, last, called))
                 done = last
         taken: list[tuple[int, int]] = []
         out = []

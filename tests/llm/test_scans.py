@@ -108,6 +108,28 @@ def test_every_template_is_found_with_a_fifth_of_its_words_changed():
         assert any(m[1] >= 0.8 for m in known.found(" ".join(changed))), name
 
 
+GPL_2 = licenses.TEMPLATES["GPL-3.0-or-later-header"].replace("version 3", "version 2")
+
+
+@pytest.mark.parametrize("text,found", [
+    ("Released under the BSD License.", ["BSD-notice"]), ("Released under the GPL License", ["GPL-notice"]),
+    ("Released under the Apache License", ["Apache-notice"]), ("Released under the Zlib License", []), ("Licensed under the MIT License", ["MIT-notice"]),
+    ("Licensed under CC BY 3.0", ["CC-BY-3.0-notice"]), ("Licensed under CC BY 2.5.", ["CC-BY-2.5-notice"]),
+    ("Licensed under CC BY-NC-SA 3.0", ["CC-BY-NC-SA-3.0-notice"]),
+    ("This work is licensed under a Creative Commons Attribution 2.5 International License", ["CC-BY-2.5-sentence"]),
+    ("Licensed under the Apache License, Version 1.1", ["Apache-1.1-notice"]), ("Licensed under the Apache License, Version 2", ["Apache-2.0-notice"]),
+    ("This work is licensed under the GNU General Public License, version 2", ["GPL-2.0-notice"]),
+    ("This work is licensed under the GNU General Public License, v2.0", ["GPL-2.0-notice"]),
+    ("This work is licensed under the GNU Free Documentation License, version 1.3", []),
+    (GPL_2, ["GPL-2.0-or-later-header"]), (licenses.TEMPLATES["MPL-2.0-header"].replace("v. 2.0", "version 1.1"), ["MPL-1.1-header"]),
+    (licenses.TEMPLATES["Apache-2.0-header"].replace("Version 2.0", "Version 3.0"), ["Apache-3.0-header"]),
+])
+def test_other_licenses_and_versions_go_by_their_own_name(text, found):
+    got = list(licenses.Licenses().found(f"so {text} then"))
+    assert [m[0] for m in got] == found
+    assert all(text.rstrip("./").endswith(f"so {text} then"[a:b]) for _, _, a, b in got)
+
+
 def test_license_rows(spark, documents):
     docs = documents([(1, "Released under the MIT License.", "s"), (2, None, "s"), (3, "", "s"), (None, "Licensed under CC BY 4.0", "s"),
                       (4, "w " * 100000 + "Released under the MIT License.", None), (1, "Released under the MIT License.", "s")])
