@@ -78,10 +78,12 @@ def crc_fold(id_col: Column, folds: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int,
-                    max_rows: int, seed: int = 7) -> tuple[DataFrame, str]:
+                    max_rows: int, seed: int = 7, by_label: bool = False) -> tuple[DataFrame, str]:
     """All columns of ``docs`` and the label, and the label's column name, of at most about ``max_rows`` labelled
     documents outside the held-out fold, picked by a hash of the id.
 
+    ``by_label`` gives each of the labels 0 and 1 half of ``max_rows``, and what the
+    other leaves of its half, so that a rare label is not thinned out with the rest.
     Rows with a null id, label or text are left out; of several labels of one
     document the largest counts. The picked ids (bounded by ``max_rows``) are
     broadcast, so the documents are filtered while they are scanned.
@@ -92,10 +94,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
         .where(crc_fold(F.col("doc_id"), folds) != held_out)
         .groupBy("doc_id").agg(F.max(label).cast("int").alias(y))
     )
-    n = picked.count()
+    one = F.col(y) > 0
+    n, ones = picked.agg(F.count("*"), F.count(F.when(one, 1))).first()
     if n > max_rows:
         parts = 1_000_000
-        picked = picked.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(parts)) < int(parts * max_rows / n))
+        share = lambda rows, size: F.lit(int(parts * rows / max(1, size)))
+        limit = share(max_rows, n)
+        if by_label:
+            of_ones = min(ones, max(max_rows // 2, max_rows - (n - ones)))
+            limit = F.when(one, share(of_ones, ones)).otherwise(share(max_rows - of_ones, n - ones))
+        picked = picked.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(parts)) < limit)
     return docs.where(F.col("text").isNotNull()).join(F.broadcast(picked), "doc_id"), y
 
 

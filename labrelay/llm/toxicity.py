@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from .common import BASE, crc_fold, fresh, labelled_sample, map_arrow, mix
 
-#: Most labelled documents that the classifier is fitted on.
-MAX_TRAINING = 3_000
+#: Most labelled documents that the classifier is fitted on: half for each label, and what the other leaves of its half.
+MAX_TRAINING = 4_000
 NGRAMS = (5, 6)
 HASH_BITS = 18
 FOLDS, HELD_OUT = 3, 1
@@ -143,7 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
           max_rows: int = MAX_TRAINING) -> Model:
     """Fits on about ``max_rows`` labelled documents outside the held-out fold: texts
     become sparse features on the executors, which the driver collects."""
-    rows, y = labelled_sample(docs.select("doc_id", "text"), labels, label, folds, held_out, max_rows)
+    rows, y = labelled_sample(docs.select("doc_id", "text"), labels, label, folds, held_out, max_rows, by_label=True)
 
     def run(batches):
         grams = Grams()

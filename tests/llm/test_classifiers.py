@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import pytest
 
@@ -57,3 +59,17 @@ def test_grams_are_distinct_and_whole_texts_count(monkeypatch):
     assert grams(text).tolist() == whole and len(set(whole)) == len(whole)
     assert grams(None).tolist() == grams("").tolist() == []
     assert set(grams("the end of").tolist()) < set(grams("x the end of the text").tolist())
+
+
+@pytest.mark.parametrize("rare", [0, 1])
+def test_a_rare_label_is_not_thinned_out(spark, documents, monkeypatch, rare):
+    got = []
+    monkeypatch.setattr(toxicity, "fit", lambda buckets, lengths, y: got.append(y))
+    ids = [i for i in range(3000) if zlib.crc32(str(i).encode()) % toxicity.FOLDS != toxicity.HELD_OUT]
+    labels = spark.createDataFrame([(i, rare if k < 8 else 1 - rare) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    docs = documents([(i, "some words", "s") for i in ids])
+    toxicity.train(docs, labels, max_rows=200)
+    assert (got[0] == rare).sum() == 8 and 140 < len(got[0]) < 250
+    both = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    toxicity.train(docs, both, max_rows=200)
+    assert all(60 < (got[1] == y).sum() < 150 for y in (0, 1))
