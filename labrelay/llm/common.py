@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Odd multiplier of every polynomial hash here.
@@ -77,6 +77,30 @@ def crc_fold(id_col: Column, folds: int) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % F.lit(folds)
 
 
+def bounded_sample(rows: DataFrame, label: str, bounds: dict, seed: int = 7) -> tuple[DataFrame, str]:
+    """All columns of ``rows`` (doc_id, text, the label and others), and the name of a new
+    long column, of a sample that holds no more rows of each label than its bound.
+
+    ``bounds``: label -> (its number of rows, its bound); rows of other labels are left
+    out. A hash of id and text picks the rows and is the new column, so neither the order
+    of the rows nor their partitions matter. Rows that agree in id, text and label count
+    once.
+    """
+    order, place = fresh(rows.columns, "order"), fresh([*rows.columns, "order"], "place")
+    parts = 1_000_000
+    hashed = rows.withColumn(order, F.xxhash64("doc_id", "text", F.lit(seed)))
+    share = F.lit(0)
+    for value, (n, bound) in bounds.items():
+        share = F.when(F.col(label) == F.lit(value), F.lit(-(-parts * bound // max(1, n)))).otherwise(share)
+    thinned = hashed.where(F.pmod(F.xxhash64(order), F.lit(parts)) < share).dropDuplicates([label, order])
+    # About as many rows as the bounds say are left: few enough for a window of each label.
+    ranked = thinned.withColumn(place, F.row_number().over(Window.partitionBy(label).orderBy(order)))
+    bound = F.lit(0)
+    for value, (_, most) in bounds.items():
+        bound = F.when(F.col(label) == F.lit(value), F.lit(most)).otherwise(bound)
+    return ranked.where(F.col(place) <= bound).drop(place), order
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int,
                     max_rows: int, seed: int = 7, by_label: bool = False) -> tuple[DataFrame, str]:
     """All columns of ``docs`` and the label, and the label's column name, of at most about ``max_rows`` labelled

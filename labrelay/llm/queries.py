@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import factorisation, kmeans_tree, licenses, main_text, mixing, secrets, simhash, tiling, toxicity, warc
+from . import (factorisation, kmeans_tree, languages, licenses, main_text, mixing, secrets, simhash, spelling, tiling, tokens,
+               toxicity, warc)
 from .common import table
 
 
@@ -58,9 +59,24 @@ def op10_quality(spark, sf):
     return factorisation.quality_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op11_language_id(spark, sf):
+    """Language of every document."""
+    return languages.language_report(table(spark, sf, "documents"))
+
+
+def op12_cross_tokenizer_alignment(spark, sf):
+    """Token groups that two tokenizers share, for every document."""
+    return tokens.aligned(table(spark, sf, "documents"), ["doc_id"]).withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+def op13_spelling_variants(spark, sf):
+    """Every frequent word of the documents, a 199th of whose runs lose a code point, with its form and root."""
+    return spelling.document_variants(table(spark, sf, "documents"), 199)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_nearest_neighbours, op2_secret_scan, op3_simhash, op4_decontamination, op5_html_extraction, op6_mixing, op7_warc,
-    op8_license_scan, op9_toxicity, op10_quality)}
+    op8_license_scan, op9_toxicity, op10_quality, op11_language_id, op12_cross_tokenizer_alignment, op13_spelling_variants)}
 
 ORACLE = {
     "op6_mixing": mixing.MIXING_SQL,
