@@ -6,8 +6,12 @@
   by ``count()`` after the filter. An error on a row without a key still
   fails the job, as it does in the reference (it parses before filtering).
 * ``DROPMALFORMED``: malformed rows are removed.
-* ``PERMISSIVE``: rows are kept, with or without a key, and the reason is in
-  ``_error``. Sinks take ``clean_rows`` only; ``malformed_rows`` go elsewhere.
+* ``PERMISSIVE``: rows are kept, with or without a key, the reason is in
+  ``_error`` and the message's bytes in ``_raw`` (null for sound messages). Sinks take
+  ``clean_rows`` only; ``malformed_rows`` go elsewhere (``operators.quarantine``).
+
+The text a FAILFAST parse raises ends with the message's place (topic, partition,
+offset, as far as they are known): a stopped stream can be mended there.
 
 Plan shape. Filters on the key or on ``_error`` must stay *above* the parse
 projection: Catalyst would otherwise push them below it by substituting the
@@ -24,7 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-ERROR = "_error"
+ERROR, RAW = "_error", "_raw"
+#: Where a message stands in its source.
+PLACE = ("topic", "partition", "offset")
 MODES = ("FAILFAST", "DROPMALFORMED", "PERMISSIVE")
 
 
@@ -34,11 +40,13 @@ def apply_mode(df: DataFrame, key: str, mode: str = "FAILFAST") -> DataFrame:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     err = F.col(ERROR)
     if mode == "FAILFAST":
-        guarded = F.when(err.isNotNull(), F.raise_error(err)).otherwise(F.col(key))
-        return df.withColumn(key, guarded).drop(ERROR)
+        place = [F.concat(F.lit(f"{c} "), F.col(c).cast("string")) for c in PLACE if c in df.columns]
+        reason = F.concat(err, F.lit(" ("), F.concat_ws(", ", *place), F.lit(")")) if place else err
+        guarded = F.when(err.isNotNull(), F.raise_error(reason)).otherwise(F.col(key))
+        return df.withColumn(key, guarded).drop(ERROR, RAW)
     if mode == "DROPMALFORMED":
-        return df.filter(err.isNull()).drop(ERROR)
-    return df
+        return df.filter(err.isNull()).drop(ERROR, RAW)
+    return df.withColumn(RAW, F.when(err.isNotNull(), F.col(RAW))) if RAW in df.columns else df
 
 
 def keep_keyed(df: DataFrame, key: str) -> DataFrame:
@@ -52,7 +60,7 @@ def clean_rows(df: DataFrame, key: str) -> DataFrame:
     """The rows a sink may take: without ``_error``, with a key."""
     if ERROR not in df.columns:
         return df
-    return df.filter(F.col(ERROR).isNull() & F.col(key).isNotNull()).drop(ERROR)
+    return df.filter(F.col(ERROR).isNull() & F.col(key).isNotNull()).drop(ERROR, RAW)
 
 
 def malformed_rows(df: DataFrame) -> DataFrame:

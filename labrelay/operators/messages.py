@@ -14,13 +14,16 @@ from pyspark.sql import functions as F
 from ..functions.plan import fence
 from ..functions.segments import with_envelope
 from ..functions.text import decode_utf8, is_blank, is_empty
+from .counts import BatchCounts, all_rows, observed
+from .errors import RAW
 from .shred import TEXT
 
 # Fixed value: arrival-order columns, most significant first. A Kafka record is
 # ordered by (partition, offset); its timestamp is the producer's clock and
 # orders nothing unless the caller asks for it (``BROKER_TIME_ORDER``).
-# ``file_time`` exists only for file sources without offsets: later files win.
-ARRIVAL_COLUMNS = ("file_time", "partition", "offset")
+# ``file_time`` exists only for file sources without offsets: later files win;
+# ``file_block``, where the row's piece of its file begins, only for text files.
+ARRIVAL_COLUMNS = ("file_time", "partition", "file_block", "offset")
 #: Optional order for topics whose broker stamps records on arrival.
 BROKER_TIME_ORDER = ("timestamp", "partition", "offset")
 
@@ -45,8 +48,13 @@ def drop_blank(df: DataFrame) -> DataFrame:
     return df.filter(~is_blank(F.col(TEXT)))
 
 
-def prepare(df: DataFrame, value: str = "value") -> DataFrame:
-    """drop empty -> decode -> drop blank -> envelope; raw payload columns dropped."""
+def prepare(df: DataFrame, value: str = "value", keep_raw: bool = False, counts: BatchCounts | None = None) -> DataFrame:
+    """drop empty -> decode -> drop blank -> envelope; raw payload columns dropped
+    (``keep_raw``: the value's bytes stay as ``_raw``)."""
     payload = [c for c in (value, "key") if c in df.columns]
-    text = drop_blank(decode(drop_empty(df, value), value)).drop(*payload)
-    return with_envelope(text, TEXT)
+    df = observed(df, counts, read=all_rows(), empty=F.count_if(is_empty(F.col(value))))
+    text = decode(drop_empty(df, value), value)
+    text = drop_blank(observed(text, counts, blank=F.count_if(is_blank(F.col(TEXT)))))
+    if keep_raw:
+        text = text.withColumn(RAW, F.col(value).cast("binary"))
+    return with_envelope(text.drop(*payload), TEXT)

@@ -17,37 +17,43 @@ from ..functions.fields import value
 from ..functions.jsonfmt import record_json, to_json_text
 from ..functions.plan import fenced_select
 from ..functions.segments import first_segment
-from ..operators.errors import ERROR, apply_mode, clean_rows, keep_keyed, malformed_rows
+from ..operators.counts import BatchCounts, observed
+from ..operators.errors import ERROR, PLACE, apply_mode, clean_rows, keep_keyed, malformed_rows
 from ..operators.messages import arrival_columns, prepare
 from ..operators.shred import passthrough
 from ..operators.upsert import latest_per_key
 from .kinds import MessageKind, get_kind
 
 
-def shred(raw: DataFrame, kind: str | MessageKind, mode: str = "PERMISSIVE") -> DataFrame:
+def shred(raw: DataFrame, kind: str | MessageKind, mode: str = "PERMISSIVE", counts: BatchCounts | None = None) -> DataFrame:
     """Raw messages -> one record per non-blank message, before the key filter.
 
-    In ``PERMISSIVE`` (the default here) the ``_error`` column is kept.
+    In ``PERMISSIVE`` (the default here) the ``_error`` column is kept, and the bytes
+    of malformed messages in ``_raw``. ``counts`` counts the rows on their way.
     """
     k = get_kind(kind)
-    projected = k.project(prepare(raw))
+    projected = k.project(prepare(raw, keep_raw=mode.upper() == "PERMISSIVE", counts=counts))
     # fenced: no filter (key filter, error filter, inferred explode filters)
     # is rewritten below the parse projection, so the parse runs once per row
-    return apply_mode(fenced_select(projected, *projected.columns), k.key, mode)
+    parsed = fenced_select(projected, *projected.columns)
+    sound, keyed = F.col(ERROR).isNull(), F.col(k.key).isNotNull()
+    parsed = observed(parsed, counts, malformed=F.count_if(~sound), keyless=F.count_if(sound & ~keyed), records=F.count_if(sound & keyed))
+    return apply_mode(parsed, k.key, mode)
 
 
 def parse_messages(
-    raw: DataFrame, kind: str | MessageKind, mode: str = "FAILFAST", where: Column | str | None = None
+    raw: DataFrame, kind: str | MessageKind, mode: str = "FAILFAST", where: Column | str | None = None,
+    counts: BatchCounts | None = None,
 ) -> DataFrame:
-    """Raw messages -> keyed records (+ arrival columns, + ``_error`` if PERMISSIVE,
-    which also keeps malformed rows without a key).
+    """Raw messages -> keyed records (+ arrival columns, + ``_error`` and ``_raw`` if
+    PERMISSIVE, which also keeps malformed rows without a key).
 
     ``where`` filters the raw table (topic, partition, offset, a date folder, ...)
     ahead of the parse, so it reaches the scan; filters on the parsed columns do
     not, since the parse is fenced.
     """
     k = get_kind(kind)
-    return keep_keyed(shred(raw if where is None else raw.filter(where), k, mode), k.key)
+    return keep_keyed(shred(raw if where is None else raw.filter(where), k, mode, counts), k.key)
 
 
 def records(df: DataFrame, kind: str | MessageKind) -> DataFrame:
@@ -67,7 +73,7 @@ def error_values(df: DataFrame, kind: str | MessageKind) -> DataFrame:
     """Malformed rows of a PERMISSIVE parse -> ``value`` JSON text: what could be read, and ``_error``."""
     k = get_kind(kind)
     bad = malformed_rows(df)
-    place = [c for c in ("topic", "partition", "offset") if c in bad.columns]
+    place = [c for c in PLACE if c in bad.columns]
     return bad.select(*arrival_columns(bad), record_json(*place, *k.record_columns, ERROR).alias("value"))
 
 

@@ -9,6 +9,7 @@ oracles in ``plans.oracle``, which are computed from the relational columns.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,10 +19,13 @@ from ..functions.jsonfmt import to_json_text
 from ..functions.segments import segments
 from ..operators.errors import ERROR
 from ..operators.messages import decode, drop_blank, drop_empty, prepare
+from ..operators.quarantine import quarantine_rows, quarantined_messages
 from ..operators.results import with_observation_group
 from ..operators.route import route
 from ..operators.shred import TEXT
 from ..operators.upsert import merge_current
+from ..session import ensure_checkpoint_dir
+from ..sinks.bucket_table import BucketTable
 from ..sources import fixtures
 from ..sources.messages import fixture_table, read_messages
 from .batch import current_rows, delimiters, extract_fields, json_values, parse_messages, shred, table_rows
@@ -525,3 +529,25 @@ def malformed_report(spark, sf):
     """PERMISSIVE parse of the malformed ack stream: one row per bad message and its reason."""
     df = shred(_malformed_ack_stream(spark, sf), ACK, mode="PERMISSIVE")
     return df.filter(F.col(ERROR).isNotNull()).select("topic", "offset", "message_id", F.col(ERROR).alias("error"))
+
+
+@query("quarantine_replay")
+def quarantine_replay(spark, sf):
+    """Malformed messages of the ack stream out with their bytes, repaired (version 2.5, the
+    missing seconds added), and parsed again; those that are no acks stay out."""
+    bad = quarantine_rows(parse_messages(_malformed_ack_stream(spark, sf), ACK, mode="PERMISSIVE"), ACK)
+    version = F.replace(F.decode("value", "UTF-8"), F.lit("|P|2.3"), F.lit("|P|2.5"))
+    repaired = F.regexp_replace(version, r"^(MSH(?:[|#][^|#]*){5}[|#])([0-9]{12})(?=[|#])", "$1$200")
+    again = parse_messages(quarantined_messages(bad, ACK, repaired), ACK, mode="PERMISSIVE")
+    sound = F.col(ERROR).isNull()
+    return again.select("topic", "offset", "ack_message_id", F.when(sound, iso("sending_date_time")).alias("sending_date_time"), F.col(ERROR).alias("error"))
+
+
+@query("upsert_bucketed_state")
+def upsert_bucketed_state(spark, sf):
+    """Acks written to a bucketed state table in the shared folder in three batches, the second
+    replayed after the third, and read back."""
+    state = BucketTable(f"{ensure_checkpoint_dir(spark)}/upsert-bucketed-state-{uuid.uuid4().hex}", ACK, buckets=16, keep_commits=1)
+    for batch in (0, 1, 2, 1):
+        state.upsert(parse_messages(acks_raw(spark, sf), ACK, where=f"offset % 3 = {batch}"), batch)
+    return _flat_table(state.read(spark))

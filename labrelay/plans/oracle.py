@@ -416,5 +416,14 @@ FROM msgs
     "FROM ex_a WHERE present AND (e % 10 = 9 OR e % 13 = 0)",
 }
 
+ORACLE["quarantine_replay"] = (
+    _with(EX_O, EX_A)
+    + "SELECT 'lab-orders' AS topic, k AS \"offset\", CAST(NULL AS VARCHAR) AS ack_message_id, "
+    "CAST(NULL AS VARCHAR) AS sending_date_time, 'Message is not an ACK message' AS error FROM ex_o "
+    "UNION ALL SELECT 'lab-orders-ack', e, ack_message_id, "
+    f"CASE WHEN e % 13 = 0 THEN strftime(strptime(sent_12, '%Y%m%d%H%M'), {ISO}) ELSE sending_date_time END, NULL "
+    "FROM ex_a WHERE present AND (e % 10 = 9 OR e % 13 = 0) AND ack_message_id IS NOT NULL"
+)
+ORACLE["upsert_bucketed_state"] = ORACLE["upsert_two_batches"].replace("e % 2", "e % 3")
 ORACLE["upsert_merged_state"] = ORACLE["upsert_two_batches"]
 ORACLE = {name: _json_as_text(sql) for name, sql in ORACLE.items()}

@@ -14,7 +14,7 @@ orders nothing by default, and ``file_time`` for files without offsets).
   Kafka connector on the classpath (not installed here).
 * ``parquet`` - files with at least ``value``; ``partition``/``offset`` if
   present, else arrival is derived from the file and row position.
-* ``text``    - one message per record, split at ``lineSep`` (default LF
+* ``text``    - one message per record, in the order of the file, split at ``lineSep`` (default LF
   only - Spark's own default also splits at CR - so CR-separated segments
   stay inside one message; for framed files use e.g. ``lineSep='\\x1c'``).
 * ``fixture`` - messages rendered from the driver's tables (tests, bench);
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
+from ..operators.messages import ARRIVAL_COLUMNS
 from ..plans.kinds import MessageKind, get_kind
 from . import fixtures
 
@@ -93,11 +94,11 @@ def _with_arrival(df: DataFrame, topic: str, fmt: str, streaming: bool) -> DataF
 
     Without an ``offset``, arrival order is (file modification time, file, position
     in file): ``file_time``, ``partition`` (the table's own, else a hash of the file
-    name) and ``offset``, the row's position in the file - exact for parquet
-    (``_metadata.row_index``) and for batch reads of text; a *streaming* text
-    source has no row position, so there ``offset`` is a hash of the message and
-    two messages for one key in the same file of one micro-batch have no
-    defined order (later files still win).
+    name) and ``offset``, the row's position in the file. Parquet knows it
+    (``_metadata.row_index``). Text does not: ``file_block`` says where the row's piece of
+    the file begins, and ``offset`` counts up within a piece (``with_position``).
+    Streams can't count, so a streaming text frame has no ``offset`` until
+    ``with_position`` gives each micro-batch one, as pipelines do.
     """
     cols = df.columns
     out = df
@@ -105,22 +106,26 @@ def _with_arrival(df: DataFrame, topic: str, fmt: str, streaming: bool) -> DataF
         out = out.withColumn("topic", F.lit(topic))
     if "offset" not in cols:
         meta = F.col("_metadata")
-        if fmt == "parquet":
-            position = meta["row_index"]
-        elif not streaming:
-            position = F.monotonically_increasing_id()
-        else:
-            position = F.xxhash64("value")
-        added = [meta["file_modification_time"].alias("file_time"), position.alias("offset")]
+        added = [meta["file_modification_time"].alias("file_time")]
+        added.append(meta["row_index"].alias("offset") if fmt == "parquet" else meta["file_block_start"].alias("file_block"))
         if "partition" not in cols:
             added.append(F.hash(meta["file_name"]).alias("partition"))
         out = out.drop("file_time").select("*", *added)
+        if not streaming:
+            out = with_position(out)
     elif "partition" not in cols:
         out = out.withColumn("partition", F.lit(0))
-    keep = [c for c in ("topic", "file_time", "partition", "offset", "timestamp", "value") if c in out.columns]
+    keep = [c for c in ("topic", *ARRIVAL_COLUMNS, "timestamp", "value") if c in out.columns]
     return out.select(*keep)
 
 
+def with_position(df: DataFrame) -> DataFrame:
+    """A batch, or micro-batch, of text messages with ``offset``: a task reads a piece
+    of a file in order, so its row numbers grow along the piece. Frames that have
+    an offset stay as they are."""
+    return df if "offset" in df.columns else df.withColumn("offset", F.monotonically_increasing_id())
+
+
 # The key each source table of the renderers is spread by.
 FIXTURE_KEYS = {"orders": "o_orderkey", "events": "event_id", "lineitem": "l_orderkey"}
 

@@ -78,3 +78,17 @@ def test_route_splits_a_mixed_table(spark):
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         parse_messages(raw_frame(spark, [S.ACK]), "ack", mode="LENIENT")
+
+
+def test_the_raised_text_says_where_the_message_stands(spark):
+    raw = raw_frame(spark, [S.ACK, S.ORDER]).selectExpr("'acks' AS topic", "*")
+    with pytest.raises(Exception, match=r"Message is not an ACK message \(topic acks, partition 0, offset 1\)"):
+        parse_messages(raw, "ack").collect()
+
+
+def test_permissive_keeps_the_bytes_of_malformed_messages_only(spark):
+    rows = parse_messages(raw_frame(spark, [S.ACK, b"\xff\xfe", S.ORDER]), "ack", mode="PERMISSIVE").orderBy("offset").collect()
+    assert [r._raw and bytes(r._raw) for r in rows] == [None, b"\xff\xfe", S.ORDER.encode()]
+    assert "_raw" not in parse_messages(raw_frame(spark, [S.ACK]), "ack").columns
+    text = raw_frame(spark, [S.ORDER]).selectExpr("partition", "offset", "cast(value as string) as value")
+    assert bytes(parse_messages(text, "ack", mode="PERMISSIVE").collect()[0]._raw) == S.ORDER.encode()

@@ -6,12 +6,16 @@ import pytest
 from conftest import raw_frame
 
 import samples as S
-from labrelay import json_values, parse_messages
+from labrelay import current_rows, json_values, parse_messages
+from labrelay.operators.errors import clean_rows
+from labrelay.operators.quarantine import quarantine_rows, quarantined_messages
+from labrelay.sinks.bucket_table import BucketTable
 from labrelay.sinks.json_sink import JsonFileSink
+from labrelay.sinks.quarantine_sink import QuarantineSink
 from labrelay.sinks.table_sink import SnapshotTable
 from labrelay.session import MADE_UP
-from labrelay.sources.messages import RAW_SCHEMA
-from labrelay.streaming.pipeline import PipelineSpec, start_pipeline
+from labrelay.sources.messages import RAW_SCHEMA, read_messages
+from labrelay.streaming.pipeline import PipelineSpec, run_id, start_pipeline
 
 ONCE = {"availableNow": True}
 
@@ -161,3 +165,81 @@ def test_text_file_stream(spark, scratch_dir):
     assert sorted(r.value for r in spark.read.text(f"{scratch_dir}/json").collect()) == sorted(
         [S.ACK_JSON, S.FULL_ACK_JSON])
     assert table.read(spark).count() == 2
+
+
+def ack_of(key, i):
+    return S.ACK.replace("ord-0001", key).replace("ack-0001", f"m{i}")
+
+
+@pytest.mark.parametrize("size", [1 << 27, 700])
+def test_streamed_text_keeps_the_order_of_its_file(spark, scratch_dir, size):
+    """Messages of one key in one file and micro-batch: the last wins, also where the
+    file is read in many pieces; a rerun agrees."""
+    import os
+
+    src = f"{scratch_dir}/in"
+    os.makedirs(src)
+    for name, first in (("a.txt", 0), ("b.txt", 100)):
+        with open(f"{src}/{name}", "w", newline="") as f:
+            f.writelines(ack_of(f"{name}{i % 7}", first + i) + "\n" for i in range(60))
+    want = {f"{name}{i % 7}": f"m{first + i}" for name, first in (("a.txt", 0), ("b.txt", 100)) for i in range(60)}
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        for run in range(2):
+            table = BucketTable(f"{scratch_dir}/table{run}", "ack", buckets=4)
+            run_once(spark, PipelineSpec("ack", source_fmt="text", source_path=src, table_sink=table), f"{scratch_dir}/ckpt{run}")
+            assert {r.ack_message_id: r.message_id for r in table.read(spark).collect()} == want
+        batch = current_rows(parse_messages(read_messages(spark, "ack", fmt="text", path=src), "ack"), "ack")
+        assert {r.ack_message_id: r.message_id for r in batch.collect()} == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_counts_come_with_the_sinks_jobs(spark, scratch_dir):
+    def jobs(on_batch, k):
+        src = f"{scratch_dir}/in{k}"
+        write_messages(spark, src, [S.ACK, S.FULL_ACK, S.ORDER, "  ", "", None, S.ACK_LINES[0], "hello"], 0)
+        spec = PipelineSpec("ack", source_fmt="parquet", source_path=src, source_options={"schema": RAW_SCHEMA}, mode="PERMISSIVE",
+                            json_sink=JsonFileSink(f"{scratch_dir}/json{k}"), table_sink=BucketTable(f"{scratch_dir}/table{k}", "ack"),
+                            error_sink=JsonFileSink(f"{scratch_dir}/errors{k}"), on_batch=on_batch)
+        tracker = spark.sparkContext.statusTracker()
+        q = run_once(spark, spec, f"{scratch_dir}/ckpt{k}")
+        return len(tracker.getJobIdsForGroup(str(q.runId)))
+
+    got = []
+    counted, plain = jobs(got.append, 0), jobs(None, 1)
+    assert counted == plain and len(got) == 1
+    run = got[0].pop("run")
+    assert len(run) == 32 and got[0] == {"batch_id": 0, "read": 8, "empty": 2, "blank": 1, "malformed": 2, "keyless": 1, "records": 2}
+
+
+def test_quarantined_messages_come_back(spark, scratch_dir):
+    from pyspark.sql import functions as F
+
+    src = f"{scratch_dir}/in"
+    bad = ack_of("late", 7).replace("|P|2.5", "|P|2.3").encode() + b"\xff"
+    write_messages(spark, src, [S.ACK, bad, "hello world"], 0)
+    quarantine, table = QuarantineSink(f"{scratch_dir}/quarantine"), BucketTable(f"{scratch_dir}/table", "ack")
+    spec = PipelineSpec("ack", source_fmt="parquet", source_path=src, source_options={"schema": RAW_SCHEMA}, mode="PERMISSIVE",
+                        table_sink=table, quarantine_sink=quarantine)
+    run_once(spark, spec, f"{scratch_dir}/ckpt")
+    rows = quarantine.read(spark)
+    assert {(r.kind, r.topic, r.offset, bytes(r.value)) for r in rows.collect()} == {
+        ("ack", "lab-orders-ack", 1, bad), ("ack", "lab-orders-ack", 2, b"hello world")}
+    repaired = quarantined_messages(rows, "ack", F.replace(F.decode("value", "ISO-8859-1"), F.lit("|2.3"), F.lit("|2.5")))
+    again = parse_messages(repaired, "ack", mode="PERMISSIVE")
+    table.upsert(clean_rows(again, "ack_message_id"), 0, "replay-1")
+    assert {r.ack_message_id: r.message_id for r in table.read(spark).collect()} == {"ord-0001": "ack-0001", "late": "m7"}
+    assert [bytes(r.value) for r in quarantine_rows(again, "ack").collect()] == [b"hello world"]
+
+
+def test_a_run_id_that_was_not_finished_is_made_again(spark, scratch_dir):
+    import os
+
+    os.makedirs(f"{scratch_dir}/ckpt")
+    open(f"{scratch_dir}/ckpt/labrelay-run-id", "w").close()
+    first = run_id(spark, f"{scratch_dir}/ckpt")
+    assert len(first) == 32 and run_id(spark, f"{scratch_dir}/ckpt") == first != run_id(spark, f"{scratch_dir}/other")

@@ -9,7 +9,7 @@ import samples as S
 from labrelay import current_rows, json_values, parse_messages, table_rows
 from labrelay.operators.messages import BROKER_TIME_ORDER
 from labrelay.operators.upsert import latest_per_key, merge_current
-from labrelay.sinks.table_sink import JdbcUpsertTable, SnapshotTable, complete_versions, upsert_sql
+from labrelay.sinks.table_sink import JdbcUpsertTable, SnapshotTable, batches_sql, complete_versions, mark_sql, upsert_sql
 
 
 def ack_rows(spark, messages, start=0):
@@ -92,49 +92,93 @@ def test_offset_decides_against_the_producers_clock(spark):
 
 
 class FakeJdbc(JdbcUpsertTable):
-    """Records staging and statements; the first ``failures`` of them fail."""
+    """Records staging, statements and transactions; the first ``failures`` calls fail. Its
+    batch table is a dict that keeps what is committed."""
 
-    def prepare(self, failures):
-        self.calls, self.failures = [], failures
+    def prepare(self, failures=0, fail_at=None):
+        self.calls, self.failures, self.fail_at, self.dropped = [], failures, fail_at, 0
+        self.marks = getattr(self, "marks", {})
+        self.open = {}
 
     def call(self, what):
         self.calls.append(what)
-        if self.failures:
-            self.failures -= 1
+        if self.failures or (self.fail_at and self.fail_at in what):
+            self.failures, self.fail_at = max(0, self.failures - 1), None
             raise ConnectionError(what)
 
-    def _stage(self, batch):
-        self.call(f"stage {self.staging} {batch.count()}")
+    def _stage(self, batch, staging):
+        self.call(f"stage {staging} {batch.count()}")
 
     def _connect(self, spark):
         self.calls.append("connect")
+        self.open = {}
         return self
 
-    def createStatement(self):
-        return self
+    def setAutoCommit(self, on):
+        self.calls.append(f"autocommit {on}")
+
+    def commit(self):
+        self.call("commit")
+        self.marks.update(self.open)
 
-    def executeUpdate(self, sql):
-        self.call(sql.split(" ")[0] + " " + sql.split(" ")[2])
+    def rollback(self):
+        self.calls.append("rollback")
+        self.open = {}
 
     def close(self):
         self.calls.append("close")
 
+    def _update(self, conn, sql, *values):
+        words = sql.split(" ")
+        self.call(" ".join(["CREATE", words[5]] if words[0] == "CREATE" else [words[0], words[2]]))
+        if values:
+            run, target, batch = values
+            if self.marks.get((run, target), -1) >= batch:
+                return 0
+            self.open[run, target] = batch
+        return 1
+
 
-def test_jdbc_retries_staging_and_statement_together(spark):
+def test_jdbc_batch_and_its_record_are_one_transaction(spark):
     recs = parse_messages(raw_frame(spark, [S.ACK]), "ack")
     sink = FakeJdbc("jdbc:none", "ack", delay_s=0)
-    assert sink.staging.startswith("crt.lab_orders_ack_staging_") and sink.staging != FakeJdbc("jdbc:none", "ack").staging
-    stage, insert = f"stage {sink.staging} 1", "INSERT crt.lab_orders_ack"
-    done = [stage, "connect", insert, "close", f"DROP {sink.staging}", "close", "close"]
-    sink.prepare(1)  # staging fails once
-    sink.upsert(recs, 0)
-    assert sink.calls == [stage, *done]
+    staging, target, batches = sink.staging("run-1"), "crt.lab_orders_ack", "crt.labrelay_batches"
+    assert staging == "crt.lab_orders_ack_staging_run1" == FakeJdbc("jdbc:none", "ack").staging("run-1")
+    stage, begin = f"stage {staging} 1", ["connect", f"CREATE {batches}", "autocommit False"]
+    mark, done = f"INSERT {batches}", ["commit", "autocommit True", f"DROP {staging}", "close"]
+    one = [stage, *begin, mark, f"INSERT {target}", *done]
+
+    sink.prepare(1)  # staging fails once: the whole try again
+    sink.upsert(recs, 0, "run-1")
+    assert sink.calls == [stage, *one]
+    for where in (f"INSERT {target}", "commit"):  # nothing stays of a try that fails before its commit
+        sink.prepare(fail_at=where)
+        sink.marks.clear()
+        sink.upsert(recs, 1, "run-1")
+        failed = one[:one.index(where) + 1] + ["rollback", "close"]
+        assert sink.calls == [*failed, *one] and sink.marks == {("run-1", target): 1}
+    for old in (0, 1):  # replays touch the target no more
+        sink.prepare()
+        sink.upsert(recs, old, "run-1")
+        assert sink.calls == [stage, *begin, mark, *done]
+    sink.prepare()
+    sink.upsert(recs, 0, "run-2")  # a run of its own
+    assert f"INSERT {target}" in sink.calls
+    sink.prepare(fail_at=f"DROP {staging}")  # the batch is in: no second try
+    sink.upsert(recs, 2, "run-1")
+    assert sink.calls == one
     sink.prepare(99)
     with pytest.raises(RuntimeError, match="after 5 attempts"):
-        sink.upsert(recs, 1)
+        sink.upsert(recs, 3, "run-1")
     assert sink.calls == [stage] * 5
 
 
+def test_batch_table_statements():
+    assert mark_sql("b") == ("INSERT INTO b (run_id, target, batch_id) VALUES (?, ?, ?) ON CONFLICT (run_id, target) DO UPDATE SET "
+                             "batch_id = EXCLUDED.batch_id WHERE b.batch_id < EXCLUDED.batch_id")
+    assert batches_sql("b").startswith("CREATE TABLE IF NOT EXISTS b (run_id")
+
+
 def test_current_rows_dedupes_before_json(spark):
     from labrelay.plans.batch import current_rows
 
