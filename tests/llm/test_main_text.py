@@ -95,3 +95,58 @@ def test_every_page_gives_a_row(spark):
     assert [(r.page_id, r.url, r.n_chars) for r in got] == [(1, "u", len(LONG)), (2, None, 0), (None, "u", 0), (1, "u", len(LONG)),
                                                             (3, "u", 499999)]
     assert extracted(pages.limit(0)).count() == 0
+
+
+A = f"<article><p>{LONG}</p>{{}}<p>End.</p></article>"
+
+
+@pytest.mark.parametrize("html,inner", [
+    # a form around the page is none; small ones are, and controls never are text
+    (f"<body><form id=aspnet><div><input name=q><button>Go</button><label>Find</label></div><div>{A}</div></form></body>", ""),
+    (f"<body><form><div id=content><p>{LONG}</p><p>End.</p></div><fieldset><legend>Search</legend>words</fieldset></form><div>x</div></body>", ""),
+    (f"<body><form><label>Find</label><input></form>{A}<form><p>Subscribe here.</p><button>OK</button></form></body>", ""),
+    (A.format("<form><p>Your mail.</p><input></form>"), ""),
+    (A.format("<div role=form><p>Your mail.</p></div>"), ""),
+    # foreign markup closes itself
+    (A.format("<p>a <svg/> b</p><svg viewBox=0><path d=1 /><title/></svg><math/><p>c</p>"), "a b\nc"),
+    (A.format("<p>a <svg><text>x</text><g/></svg> b</p>"), "a b"),
+    # controls, hidden elements and adverts within lines
+    (A.format("<button>Share</button><p>Z</p>"), "Z"), (A.format("<p>Hello <button>Go</button> there</p>"), "Hello there"),
+    (A.format("<p>a <button>Go<p>b</p>"), "a\nb"), (A.format("<textarea>x</textarea><p><select><option>1<option>2</select>b</p>"), "b"),
+    (A.format("<select><option>1<option>2<p>b</p>"), "b"),
+    (A.format("<p hidden>x</p><p style='color:red; DISPLAY : none'>x</p><div style=display:none><p>x</p></div><p role=alert>x</p><p>b</p>"), "b"),
+    (A.format("<p>a <span class=ad>Buy <span>now</span> this</span> b <i hidden>x</i></p>"), "a b"),
+    (A.format("<span class='ad-box'><p>Buy</p><p>this</p></span><p>b</p>"), "b"), (A.format("<p>a <span class=ad>Buy</p><p>b</p>"), "a\nb"),
+    (A.format("<ul><li hidden><p>x</p><li>b</ul>"), "b"), (A.format("<p>the <b class=search-term>word</b></p>"), "the word"),
+    (A.format("<h2 hidden>x</h2>b"), "b"), (f"<body style='visibility:hidden'>{A}</body>", ""),
+    # classes around and inside an article
+    (f"<div class=comment-policy>{A}</div>", ""), (f"<div class='page widget-area'>{A}</div>", ""), (f"<div id=related>{A}</div>", ""),
+    (f"<div class=related-posts><article><p>Teaser.</p></article></div>{A}", ""), (f"<section class=comments>{A}</section>{A}", ""),
+    *[(A.format(f"<section class={c}><p>Kept.</p></section>"), "Kept.") for c in ("related-work", "share-price", "social-history", "comment-policy", "noticed")],
+    *[(A.format(f"<section class='{c}'><p>Gone.</p></section>"), "") for c in ("related", "share-buttons", "user-comments", "x cookie-notice", "left-sidebar")],
+    (A.format("<section class=related-reading><a href=1>One more</a></section><p class=share-price>Up.</p><p class=ads>x</p>"), "Up."),
+])
+def test_markup_around_and_inside_the_text(html, inner):
+    import re
+
+    assert main_text(re.sub("{}", "", html)) == f"{LONG}\n{inner}\nEnd.".replace("\n\n", "\n")
+
+
+def test_named_articles_do_not_win_over_more_text():
+    assert main_text(f"<div id=content><p>{LONG * 3}</p><p>End.</p></div><div class=sidebar><article><p>{LONG}</p></article></div>") == f"{LONG * 3}\nEnd."
+
+
+def test_given_pages_equal_a_plain_restatement(spark, sf):
+    """The given pages mark their article and name what is none of it by tag or class."""
+    import html
+    import re
+
+    gone = re.compile(r"<!--.*?-->|<(script|style|nav|aside|footer|form|header)\b.*?</\1>|<div class=\"ad\">.*?</div>", re.S)
+    blocks = re.compile(r"</?(?:p|h[1-6]|div|li|ul|ol|table|tr|td|th|section|blockquote|pre|article)\b[^>]*>")
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("html").collect()
+    for (page,) in pages:
+        found = re.search(r"<article[^>]*>(.*?)</article>", gone.sub("", page or ""), re.S)
+        lines = blocks.sub("\n\0", found[1]).split("\0") if found else []
+        text = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br[^>]*>", " ", x))).split()) for x in lines]
+        assert main_text(page) == "\n".join(x for x in text if x)
+    assert len(pages) > 1000
