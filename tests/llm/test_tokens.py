@@ -100,3 +100,15 @@ def test_tasks_hand_their_counts_on(spark, pair, documents, monkeypatch):
     texts = ["one two three four five six seven eight nine ten " * 2, "one two", "", "three four"] * 4
     got = tokens.aligned(documents([(k, t, "s") for k, t in enumerate(texts)]), ["doc_id"]).orderBy("doc_id").collect()
     assert [tuple(r)[1:] for r in got] == brute(pair, texts)
+
+
+def test_merging_by_rank_gives_the_ids_of_the_general_encoder(pair):
+    assert pair.bytes
+    rng = random.Random(6)
+    points = [c for c in range(0x3100) if not 0xD800 <= c < 0xE000] + [rng.randrange(0xE000, 0x110000) for _ in range(3000)]
+    texts = [f" a{c}b {c}{c} 1{c}2 !{c}? {c} \n{c}'s <|endoftext|>" for c in map(chr, points)] + [" " * 5000, "a" * 5000, " x" + "\n" * 5000 + "'ll"]
+    assert pair.encode_a(texts) == [e.ids for e in pair.a.encode_batch(texts, add_special_tokens=False)]
+    spec = tokens.json.loads(pair.a.to_str())
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": None}, {"model": spec["model"] | {"dropout": 0.1}},
+                   {"model": spec["model"] | {"merges": spec["model"]["merges"][::-1]}}):
+        assert tokens.byte_encoder(spec | change) is None
