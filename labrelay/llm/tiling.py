@@ -25,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, fresh, map_arrow, powers, word_chunks
+from .common import BASE, fresh, map_arrow, powers, staged, word_chunks
 
 MIN_MATCH = 5
 THRESHOLD = 0.8
 #: Bytes of item text that a block of items may hold (sent to every executor).
 BLOCK_BYTES = 32 << 20
+#: Blocks that one task holds at a time, each with a worker and an index of its own.
+BLOCKS_AT_ONCE = 4
 
 
 def _windows(ids: np.ndarray, size: int) -> np.ndarray:
@@ -127,45 +129,28 @@ def greedy_tiles(item: np.ndarray, doc: np.ndarray, min_match: int = MIN_MATCH)
     return tiles
 
 
-class Items:
-    """A block of benchmark items: word numbers, seeds and where they occur."""
+class Seeds:
+    """The seeds of ``size`` words of some items (id, word numbers), by hash, and where they occur."""
 
-    def __init__(self, rows: list[tuple[int, bytes]], min_match: int = MIN_MATCH):
-        self.min_match = min_match
-        self.vocabulary: dict[bytes, int] = {}
-        number = self.vocabulary
-        self.items: list[tuple[int, np.ndarray]] = []
-        seeds, owner, start = [], [], []
-        for item_id, data in rows:
-            words = data.lower().split()
-            if len(words) < min_match:
-                continue
-            ids = np.array([number.setdefault(w, len(number) + 1) for w in words], np.uint64)
-            h = _windows(ids, min_match)
-            seeds.append(h)
-            owner.append(np.full(len(h), len(self.items)))
-            start.append(np.arange(len(h)))
-            self.items.append((item_id, ids))
-        self.seeds = np.concatenate(seeds) if seeds else np.zeros(0, np.uint64)
-        self.sizes = np.array([len(ids) for _, ids in self.items], np.int64)
+    def __init__(self, items: list[tuple[int | None, np.ndarray]], size: int):
+        self.items, self.size = items, size
+        hashes = [_windows(ids, size) for _, ids in items]
+        self.sizes = np.array([len(ids) for _, ids in items], np.int64)
+        self.seeds = np.concatenate(hashes)
         order = np.argsort(self.seeds, kind="stable")
         self.seeds = self.seeds[order]
-        self.owner = np.concatenate(owner)[order] if seeds else np.zeros(0, np.int64)
-        self.start = np.concatenate(start)[order] if seeds else np.zeros(0, np.int64)
+        self.owner = np.repeat(np.arange(len(items)), [len(h) for h in hashes])[order]
+        self.start = np.concatenate([np.arange(len(h)) for h in hashes])[order]
 
-    def found(self, data: bytes, threshold: float) -> Iterator[tuple[int, int, int, list[tuple[int, int, int]]]]:
-        """(item id, item words, words covered, tiles) of each item that contaminates a text."""
-        number = self.vocabulary.get
-        parts = [np.fromiter(map(number, words, repeat(0)), np.uint64, len(words)) for words in word_chunks(data.lower())]
-        ids = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-        n = len(ids)
-        if n < self.min_match or not len(self.seeds):
+    def found(self, ids: np.ndarray, threshold: float) -> Iterator[tuple[int | None, int, int, list[tuple[int, int, int]]]]:
+        """The same as ``Items.found``, of a document's word numbers."""
+        if len(ids) < self.size:
             return
         known = np.concatenate(([0], np.cumsum(ids != 0)))
-        at = np.flatnonzero(known[self.min_match:] - known[:-self.min_match] == self.min_match)
+        at = np.flatnonzero(known[self.size:] - known[:-self.size] == self.size)
         if not len(at):
             return
-        h = _windows(ids, self.min_match)[at]
+        h = _windows(ids, self.size)[at]
         left, right = np.searchsorted(self.seeds, h, "left"), np.searchsorted(self.seeds, h, "right")
         hit = right > left
         if not hit.any():
@@ -177,41 +162,65 @@ class Items:
         seeds = _spans(ranges[:, 0], ranges[:, 1])
         seeds = seeds[np.argsort(self.owner[seeds], kind="stable")]
         owners, first, count = np.unique(self.owner[seeds], return_index=True, return_counts=True)
-        enough = count * self.min_match >= threshold * self.sizes[owners]
+        enough = count * self.size >= threshold * self.sizes[owners]
         by_hash = np.argsort(h, kind="stable")
         ordered = h[by_hash]
         for k, begin, size in zip(owners[enough].tolist(), first[enough].tolist(), count[enough].tolist()):
             item_id, item = self.items[k]
             covered = np.zeros(len(item), bool)
             own = seeds[begin:begin + size]
-            covered[self.start[own][:, None] + np.arange(self.min_match)] = True
+            covered[self.start[own][:, None] + np.arange(self.size)] = True
             if covered.sum() < threshold * len(item):
                 continue
             # Only words below this item's seeds can be in a tile.
             mine = np.unique(self.seeds[own])
             mine = by_hash[_spans(np.searchsorted(ordered, mine, "left"), np.searchsorted(ordered, mine, "right"))]
-            keep = np.unique(at[mine][:, None] + np.arange(self.min_match))
+            keep = np.unique(at[mine][:, None] + np.arange(self.size))
             gaps = np.flatnonzero(np.diff(keep) > 1) + 1
             doc = np.insert(ids[keep], gaps, 0)
             where = np.insert(keep, gaps, -1)
-            tiles = [(i, int(where[j]), size) for i, j, size in greedy_tiles(item, doc, self.min_match)]
+            tiles = [(i, int(where[j]), size) for i, j, size in greedy_tiles(item, doc, self.size)]
             total = sum(size for _, _, size in tiles)
             if total >= threshold * len(item):
                 yield item_id, len(item), total, tiles
 
 
+class Items:
+    """A block of benchmark items: word numbers, and seeds of ``min_match`` words or, of
+    a shorter item, all its words."""
+
+    def __init__(self, rows: list[tuple[int | None, bytes]], min_match: int = MIN_MATCH):
+        self.vocabulary: dict[bytes, int] = {}
+        number = self.vocabulary
+        by_size: dict[int, list] = {}
+        for item_id, data in rows:
+            words = data.lower().split()
+            if words:
+                ids = np.array([number.setdefault(w, len(number) + 1) for w in words], np.uint64)
+                by_size.setdefault(min(min_match, len(words)), []).append((item_id, ids))
+        self.seeds = [Seeds(items, size) for size, items in sorted(by_size.items(), reverse=True)]
+
+    def found(self, data: bytes, threshold: float) -> Iterator[tuple[int | None, int, int, list[tuple[int, int, int]]]]:
+        """(item id, item words, words covered, tiles) of each item that contaminates a text."""
+        number = self.vocabulary.get
+        parts = [np.fromiter(map(number, words, repeat(0)), np.uint64, len(words)) for words in word_chunks(data.lower())]
+        ids = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        for seeds in self.seeds:
+            yield from seeds.found(ids, threshold)
+
+
 def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, id_col: str = "item_id",
-                text_col: str = "text") -> Iterator[list[tuple[int, bytes]]]:
+                text_col: str = "text") -> Iterator[list[tuple[int | None, bytes]]]:
     """The benchmark's items in blocks of at most about ``block_bytes``: items are
     dealt to blocks by a hash, and one block at a time is on the driver."""
     items = benchmark.select(F.col(id_col).cast("long").alias("id"),
                              F.col(text_col).cast("string").cast("binary").alias("text"))
-    items = items.where(F.col("id").isNotNull() & F.col("text").isNotNull())
+    items = items.where(F.col("text").isNotNull())
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-total // block_bytes)
     for k in range(n):
         part = items if n == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k)
-        yield sorted((r.id, bytes(r.text)) for r in part.collect())
+        yield sorted(((r.id, bytes(r.text)) for r in part.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, keep: list[str], min_match: int = MIN_MATCH,
@@ -220,9 +229,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keep: list[str], min_mat
     item's words: ``keep`` of the document, item_id long, item_words int,
     covered_words int, coverage double, tiles (item word, document word, words).
 
-    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. Items of fewer than
-    ``min_match`` words, null items and null ids take no part; null, empty and
-    shorter texts give no row; a document repeated in full gives its rows again.
+    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. An item of fewer than
+    ``min_match`` words must stand in the document as a whole, so one of a single word
+    is found wherever the word is; items without an id have a null item_id; null items and
+    items without a word take no part. Null and empty texts give no row; a document
+    repeated in full gives its rows again.
     """
     spark = docs.sparkSession
     text = fresh(keep, "document_text")
@@ -260,12 +271,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keep: list[str], min_mat
 def decontaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, threshold: float = THRESHOLD,
                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` (all columns) that no benchmark item contaminates, by the
-    rules of ``contaminated``: a filter in the scan, one pass for each block of items."""
+    rules of ``contaminated``: a filter in the scan, one pass for each block of items.
+    A task runs ``BLOCKS_AT_ONCE`` of them, one after the other; between so many the rows
+    that are left are written."""
     spark = docs.sparkSession
     text = fresh(docs.columns, "document_text")
-    out = docs
+    out, chained = docs, []
     for block in item_blocks(benchmark, block_bytes):
+        if len(chained) == BLOCKS_AT_ONCE:
+            out = staged(out, "decontaminated")
+            for old in chained:
+                old.destroy()
+            chained = []
         sent = spark.sparkContext.broadcast(block)
+        chained.append(sent)
 
         def run(batches, sent=sent):
             items = Items(sent.value, min_match)
