@@ -2,8 +2,8 @@
 
 Words are summed for each source, the mix is divided by weight (water filling:
 a source whose cap is reached hands its excess to the others), and each document
-is taken floor(rate) times plus once more if a hash of its id falls below the
-rate's fraction.
+is taken floor(rate) times plus once more if a hash of its id, source and text falls
+below the rate's fraction.
 """
 
 from __future__ import annotations
@@ -71,8 +71,8 @@ def with_copies(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
 
     copies = floor(rate) + (draw < fraction) with rate = target / source_size, so
     none exceeds ``max_rate``. Null texts have size 0, null sources are a source
-    of their own, rows with equal ids (null ids included) draw alike; a source
-    without words has rate 0. An empty table gives no rows.
+    of their own; rows with one id, or none, draw apart unless source and text are equal
+    too. A source without words has rate 0. An empty table gives no rows.
     """
     names = {c: fresh(docs.columns, c) for c in ("size", "source_size", "target", "copies")}
     size, key = names["size"], fresh(docs.columns, "mixed_source")
@@ -84,7 +84,7 @@ def with_copies(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
                              F.col("target").alias(names["target"]))
     joined = sized.join(F.broadcast(targets) if few else targets, F.col(source_col).eqNullSafe(F.col(key)))
     rate = F.coalesce(F.col(names["target"]) / F.nullif(F.col(names["source_size"]), F.lit(0)), F.lit(0.0))
-    extra = F.when(draw(F.col(id_col), seed=seed) < rate - F.floor(rate), 1).otherwise(0)
+    extra = F.when(draw(F.col(id_col), F.col(source_col), F.md5(F.col(text_col).cast("string").cast("binary")), seed=seed) < rate - F.floor(rate), 1).otherwise(0)
     return joined.withColumn(names["copies"], (F.floor(rate) + extra).cast("int")).drop(key)
 
 
@@ -105,7 +105,7 @@ def mixing_report(docs: DataFrame) -> DataFrame:
 #: DuckDB SQL for the rows of ``mixing_report``.
 MIXING_SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+  SELECT doc_id, source, md5(text) AS digest, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 weighted AS (
   SELECT *, source_size * 3 AS cap, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
@@ -123,10 +123,10 @@ targets AS (
       THEN least((l.rest * f.weight)::DOUBLE / l.open_weight::DOUBLE, f.cap::DOUBLE) ELSE f.cap::DOUBLE END AS target
   FROM filled f LEFT JOIN level l ON true),
 rated AS (
-  SELECT doc_id, size, source_size, target, coalesce(target / nullif(source_size, 0), 0.0) AS rate
+  SELECT doc_id, sized.source, digest, size, source_size, target, coalesce(target / nullif(source_size, 0), 0.0) AS rate
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
 SELECT doc_id, size, source_size, target, size * (floor(rate) + CASE
-    WHEN ('0x' || substr(md5(concat_ws('|', '11', doc_id::VARCHAR)), 1, 12))::BIGINT::DOUBLE / 281474976710656.0
+    WHEN ('0x' || substr(md5(concat_ws('|', '11', doc_id::VARCHAR, source, digest)), 1, 12))::BIGINT::DOUBLE / 281474976710656.0
       < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS taken
 FROM rated
 """

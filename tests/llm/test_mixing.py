@@ -67,3 +67,13 @@ def test_a_large_table_of_sources_is_joined_not_broadcast(spark, documents, monk
     want = sorted(map(repr, mixing.mixing_report(docs).collect()))
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
     assert sorted(map(repr, mixing.mixing_report(docs).collect())) == want
+
+
+def test_rows_without_ids_draw_apart(spark, documents):
+    rows = [(None if i % 2 else i, f"text number {i}", "ab"[i % 7 > 4]) for i in range(4000)]
+    taken, target = {}, {}
+    docs = documents(rows).selectExpr("doc_id", "text", "source")
+    for r in mixing.with_copies(docs).collect():
+        taken[r.source] = taken.get(r.source, 0) + r["size"] * r.copies
+        target[r.source] = r.target
+    assert all(abs(taken[s] - target[s]) < 0.06 * target[s] for s in target)
