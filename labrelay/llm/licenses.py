@@ -16,6 +16,7 @@ from collections import Counter
 from collections.abc import Iterator
 from math import ceil
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -157,6 +158,7 @@ class Licenses:
     def __init__(self, templates: dict[str, str] = TEMPLATES, coverage: float = COVERAGE):
         self.coverage = coverage
         self.templates = {name: WORD.findall(text.lower()) for name, text in templates.items()}
+        self.known = {w for words in self.templates.values() for w in words}
         everywhere = Counter(w for words in self.templates.values() for w in set(words))
         self.names = {name: {words.index(w) for w in NAMING & set(words)} for name, words in self.templates.items()}
         self.version: dict[str, tuple[str, range]] = {}
@@ -174,6 +176,26 @@ class Licenses:
             for i in rare[:need]:
                 self.watch.setdefault(words[i], []).append((name, i))
 
+        # What a match needs in its window: words (the version's aside) as often as the template has them, and all naming words.
+        self.words = {name: Counter(w for i, w in enumerate(words) if i not in self.version.get(name, ("", range(0)))[1])
+                      for name, words in self.templates.items()}
+        self.least = {name: ceil(coverage * len(words)) - len(self.version.get(name, ("", range(0)))[1]) for name, words in self.templates.items()}
+
+    def promising(self, name: str, lows: np.ndarray, highs: np.ndarray, places: dict[str, np.ndarray]) -> np.ndarray:
+        """Of windows of words those that hold enough of the template's words, in whatever
+        order, for a match; ``places`` has the positions of each word of the text."""
+        naming = {self.templates[name][i] for i in self.names[name]}
+        total, named = np.zeros(len(lows), np.int64), np.ones(len(lows), bool)
+        for w, most in self.words[name].items():
+            if w in places:
+                n = np.searchsorted(places[w], highs) - np.searchsorted(places[w], lows)
+                total += np.minimum(n, most)
+                if w in naming:
+                    named &= n > 0
+            elif w in naming:
+                return np.zeros(len(lows), bool)
+        return named & (total >= self.least[name])
+
     def version_at(self, name: str, text: str, spans: list[tuple[int, int]], at: dict[int, int]) -> tuple[str, int] | None:
         """The version that a text has in the place of the template's, as major.minor, and its
         end in characters; ``at`` has the text's word of each matched word of the template."""
@@ -194,18 +216,30 @@ class Licenses:
             return
         spans = [m.span() for m in WORD.finditer(text)]
         words = [text[a:b].lower() for a, b in spans]
-        hits: dict[str, list[int]] = {}
+        lists: dict[str, list[int]] = {}
         for at, w in enumerate(words):
+            if w in self.known:
+                lists.setdefault(w, []).append(at)
+        places = {w: np.array(at) for w, at in lists.items()}
+        hits: dict[str, list[np.ndarray]] = {}
+        for w, at in places.items():
             for name, i in self.watch.get(w, ()):
                 hits.setdefault(name, []).append(at - i)
         matches = []
-        for name, starts in hits.items():
+        for name, found in hits.items():
             template = self.templates[name]
             n = len(template)
             slack = n // 4 + 2
-            done = -1
-            for start in sorted(set(starts)):
-                low = max(0, start - slack, done + 1)
+            if not self.promising(name, np.zeros(1, np.int64), np.array([len(words)]), places)[0]:
+                continue
+            starts = np.unique(np.concatenate(found))
+            starts = starts[self.promising(name, np.maximum(0, starts - slack), starts + n + slack, places)]
+            done, refused = -1, None
+            for start in starts.tolist():
+                # The window around a start holds any notice that begins up to ``slack`` words beside it.
+                if refused is not None and start <= refused + slack // 2:
+                    continue
+                low, refused = max(0, start - slack, done + 1), start
                 window = words[low:start + n + slack]
                 pairs = patience(template, window)
                 own, numbers = self.version.get(name, ("", range(0)))
@@ -227,7 +261,7 @@ class Licenses:
                 if size < self.coverage * n or size < DENSITY * (last - first + 1) or inside != set(template) & VARIANTS:
                     continue
                 matches.append((size, -size / n, first, last, called))
-                done = last
+                done, refused = last, None
         taken: list[tuple[int, int]] = []
         out = []
         for size, cover, first, last, name in sorted(matches, key=lambda m: (-m[0], m[1], m[2], m[4])):
