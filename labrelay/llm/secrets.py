@@ -9,7 +9,7 @@ no shuffle and no join, however the findings are spread.
 
 Labelled findings are an argument (``before``, ``candidate``, ``after``,
 ``label``). No given table holds any, so the default is ``seed_findings``: a
-deterministic table of about 600 made from the templates below.
+deterministic table of about 900 made from the templates below.
 """
 
 from __future__ import annotations
@@ -27,7 +27,19 @@ from .common import fresh
 #: Names that announce a secret, as in ``password = "..."``.
 KEYWORD = r"(?i:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|credentials?|bearer)"
 ASSIGNED = KEYWORD + r"""["']?[ \t]{0,4}(?::|=|=>)[ \t]{0,4}["']?"""
-PRIVATE_KEY = r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*+-----END [A-Z ]*PRIVATE KEY-----"
+_KEY = r"[A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+_LINE, _LINE_ENDS = r"(?:\r?\n|\r|(?:\\r)?\\n)", r"""(?=[ \t]*+(?:[\r\n\\"']|\z))"""
+#: A private key of any format (PEM, encrypted or not, OpenSSH, PGP) up to its END line. One that was cut off
+#: goes as far as its lines do: headers, an empty line, then lines of nothing but base64, the first of them
+#: a long one; where lines were joined, as far as long words of base64.
+PRIVATE_KEY = (
+    rf"-----BEGIN {_KEY}(?:[^-]*+(?:-(?!----)[^-]*+){{0,200}}+-----END {_KEY}"
+    rf"|(?:[ \t]*+{_LINE}[A-Za-z][A-Za-z-]{{1,30}}: [^\r\n\\]*+){{0,20}}+(?:[ \t]*+{_LINE}(?=[ \t]*+{_LINE}))?+"
+    rf"[ \t]*+{_LINE}[ \t]*+[A-Za-z0-9+/=]{{16,}}+{_LINE_ENDS}(?:[ \t]*+{_LINE}[ \t]*+[A-Za-z0-9+/=]++{_LINE_ENDS}){{0,1000}}+"
+    r"|(?:[ \t]++[A-Za-z0-9+/]{24,}+={0,2}){1,1000}+(?:[ \t]++[A-Za-z0-9+/]++={1,2})?+)"
+)
+#: The name and password of an address, which stand before its host.
+URL_PASSWORD = r"""(?<=://)[^\s/:@"'<>]{1,64}+:[^\s/@"'<>]{3,64}+@"""
 _RUN, _RUN_NO_DIGIT = "[A-Za-z0-9+/_.@=:-]", "[A-Za-z+/_.@=:-]"
 #: No value assigned to a keyword begins here (the first letters of the keywords spare most tries).
 _NO_VALUE = "(?!(?=[a-cpstA-CPST])" + ASSIGNED + r"""[^\s"'<>]{6})"""
@@ -35,12 +47,12 @@ _NO_VALUE = "(?!(?=[a-cpstA-CPST])" + ASSIGNED + r"""[^\s"'<>]{6})"""
 #: only where a run begins, so that a run without digits is read once). A run ends
 #: before a value assigned in it, as in ``DB_PASSWORD=...``.
 CANDIDATE = (
-    PRIVATE_KEY + "|" + ASSIGNED + r"""[^\s"'<>]{6,}+"""
+    PRIVATE_KEY + "|" + URL_PASSWORD + "|" + ASSIGNED + r"""[^\s"'<>]{6,}+"""
     rf"|(?:(?<!{_RUN})|(?<=PRIVATE KEY-----))(?={_RUN_NO_DIGIT}*+[0-9])"
     rf"(?=(?:{_NO_VALUE}{_RUN_NO_DIGIT})*+[0-9])(?:{_NO_VALUE}{_RUN}){{12,}}+"
 )
 #: A text without a match of this holds no candidate.
-ANY = r"[0-9]|" + KEYWORD + "|PRIVATE KEY"
+ANY = r"[0-9]|" + KEYWORD + "|PRIVATE KEY|://"
 #: Words beside a finding that speak for or against a secret.
 FOR = r"(?i)(?:password|passwd|pwd|secret|token|api.?key|access.?key|auth|credential|bearer|private)\W*$"
 AGAINST = (r"(?i)(?:commit|sha1|sha256|md5|checksum|digest|revision|uuid|guid|build|version|isbn|issn|doi|card|phone|tel|fax|"
@@ -50,7 +62,11 @@ THRESHOLD = 0.5
 TREES, DEPTH = 25, 6
 REPLACEMENT = "[SECRET]"
 FEATURES = ("length", "lower_rate", "upper_rate", "digit_rate", "other_rate", "class_changes", "transition_score",
-            "dictionary", "path", "hexadecimal", "provider", "assigned", "word_for", "word_against", "private_key")
+            "dictionary", "path", "hexadecimal", "provider", "assigned", "word_for", "word_against", "private_key",
+            "placeholder", "url_password")
+#: Values that stand for one that is filled in elsewhere.
+PLACEHOLDER = (r"(?i)^[\"']?(?:\$[{(]?[a-z_]|\{\{|%[a-z_]+%|\[|(?:your|my|the)[_-]|example|x{4,}|[*.]{3,}|os\.|process\.|env[.\[(]|"
+               r"getenv|config[.\[(]|settings[.\[(]|(?:null|none|true|false|undefined)$)")
 #: Fixed prefixes of well-known credential formats.
 PROVIDER = (r"^(?:AKIA|ASIA|AGPA|AIDA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{30,}$|^github_pat_\w{20,}$|^glpat-[\w-]{20,}$|"
             r"^xox[abprs]-[A-Za-z0-9-]{10,}$|^[sr]k_(?:live|test)_[A-Za-z0-9]{16,}$|^AIza[\w-]{35}$|^SG\.[\w.-]{30,}$|"
@@ -114,6 +130,9 @@ def seed_findings(spark: SparkSession) -> DataFrame:
             (before, f"secret={quote}{c(word + '+/', 40, 'sec')}", behind),
             ("the password is ", c(word, 16, "near"), behind),
             (before, "-----BEGIN RSA PRIVATE KEY-----\n" + c(word + "+/", 128, "pem") + "\n-----END RSA PRIVATE KEY-----", behind),
+            (before, "-----BEGIN PGP PRIVATE KEY BLOCK-----\n\n" + c(word + "+/", 64, "pgp") + "\n=" + c(word, 4, "pgp2"), behind),
+            (before, f"postgres://{name}:{c(word, 8 + k % 9, 'url')}@{other}.example.com/{name}", behind),
+            (before + "https://", f"{name}:{c('abcdefghijklmnopqrstuvwxyz', 8 + k % 9, 'url2')}@", f"{other}.example.com"),
         ]
         no = [
             (before, f"{c(digits, 3, 'ip')}.{c(digits, 3, 'ip2')}.{c(digits, 3, 'ip3')}.{c(digits, 2, 'ip4')}", behind),
@@ -132,6 +151,11 @@ def seed_findings(spark: SparkSession) -> DataFrame:
             (before, f"password: {name}{other}", behind),
             (before, f"token = {quote}{other}", behind),
             (before, f"secret={quote}your_{name}_here", behind),
+            (before, f"token: ${{{name.upper()}_TOKEN}}", behind),
+            (before, f"password=${name.upper()}_{other.upper()}", behind),
+            (before, f"api_key = {quote}process.env.{name.upper()}", behind),
+            (before, f"secret={quote}{'x' * (8 + k)}", behind),
+            (before, f"https://{name}.example.com:80{k % 10}0/{other}/@{name}{k}", behind),
             (before, f"isbn-978-{c(digits, 10, 'isbn')}", behind),
         ]
         rows += [(*x, 1) for x in yes] + [(*x, 0) for x in no]
@@ -176,6 +200,8 @@ def _features(before: Column, candidate: Column, after: Column) -> Column:
                   | F.rlike(near, F.lit(FOR.replace(r"\W*$", r"(?: is| was)?\W*$")))).alias("word_for"),
         as_double(F.rlike(near, F.lit(AGAINST)) | F.rlike(F.left(after, F.lit(CONTEXT)), F.lit(r"^[/\\@]"))).alias("word_against"),
         as_double(F.rlike(candidate, F.lit("^-----BEGIN"))).alias("private_key"),
+        as_double(F.rlike(value, F.lit(PLACEHOLDER))).alias("placeholder"),
+        as_double(F.rlike(value, F.lit(r"(?:^|://)[^\s/:@]{1,64}:[^\s/@]{3,64}@"))).alias("url_password"),
     )
 
 

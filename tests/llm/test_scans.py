@@ -136,3 +136,119 @@ def test_license_rows(spark, documents):
     got = sorted((str(r.doc_id), r.license, r.start_char) for r in licenses.license_report(docs).collect())
     assert got == [("1", "MIT-notice", 0), ("1", "MIT-notice", 0), ("4", "MIT-notice", 200000), ("None", "CC-BY-4.0-notice", 0)]
     assert licenses.license_report(docs.limit(0)).count() == 0
+
+
+BODY = "\n".join(["MIIEowIBAAKCAQEA7f" + "Qx9+/Zk3" * 5] * 4 + ["q8Zk1LmN"])
+
+
+@pytest.mark.parametrize("key,rest", [
+    (f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,0A1B2C\n\n{BODY}\n-----END RSA PRIVATE KEY-----", " end"),
+    (f"-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: GnuPG v2 - x\n\n{BODY}\n=aB3d\n-----END PGP PRIVATE KEY BLOCK-----", "\nend"),
+    (f"-----BEGIN OPENSSH PRIVATE KEY-----\r\n{BODY}\r\n-----END OPENSSH PRIVATE KEY-----", "\r\nend of it"),
+    # cut off: its lines go, also short last ones, the text after it stays
+    (f"-----BEGIN PRIVATE KEY-----\n{BODY}", "\nThen the text goes on."), (f"-----BEGIN EC PRIVATE KEY-----\n{BODY}\nxyz1aB\nabc", ""),
+    (f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,0A1B2C\n\n{BODY}", "\n\nThen - the text"),
+    (f"-----BEGIN PGP PRIVATE KEY BLOCK-----\n\n{BODY}\n=aB3d", "\nand the rest"),
+    (f"-----BEGIN PRIVATE KEY-----\\n{BODY}".replace("\n", "\\n"), '", "next": 1'),
+    (f"-----BEGIN PRIVATE KEY----- {BODY}==".replace("\n", " "), " then words"),
+])
+def test_private_keys_are_found_whole(spark, documents, key, rest):
+    docs = documents([(1, f"before\n{key}{rest}", "s")])
+    assert [r.text for r in secrets.redacted(docs).collect()] == [f"before\n{secrets.REPLACEMENT}{rest}"]
+
+
+def test_placeholders_and_passwords_in_addresses(spark, documents):
+    docs = documents([(1, "token: ${SECRET_TOKEN} and password=$DB_PASSWORD or secret=process.env.SECRET", "s"),
+                      (2, "see postgres://admin:hunter2pass@db.example.com/shop now", "s"), (3, "at ftp://anna:geheimnis@files.example.org/", "s"),
+                      (4, "on https://www.example.com:8080/docs/@user1 and http://example.com/a:b", "s"), (5, "-----BEGIN PRIVATE KEY----- is a line", "s")])
+    text = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
+    assert text[1] == docs.first().text and "hunter2pass" not in text[2] and "geheimnis" not in text[3]
+    assert text[4].endswith("a:b") and secrets.REPLACEMENT not in text[4] and text[5] == "-----BEGIN PRIVATE KEY----- is a line"
+
+
+def python_features(before, candidate, after):
+    """The features of a candidate, restated without Spark."""
+    import re
+
+    import regex
+
+    value = regex.sub("^" + secrets.ASSIGNED, "", candidate)
+    n = max(1, len(value))
+    near, low = before[-secrets.CONTEXT:], value.lower()
+    pairs = [low[i:i + 2] for i in range(len(low) - 1)]
+    known = [r for r in re.findall("[a-z]{3,}", low) if r in secrets.DICTIONARY]
+    name = regex.match("^" + secrets.ASSIGNED, candidate)
+    has = lambda pattern, s: float(bool(regex.search(pattern.replace(r"\z", r"\Z"), s)))
+    word_for = has(secrets.FOR, near + (name[0] if name else "")) or has(secrets.FOR.replace(r"\W*$", r"(?: is| was)?\W*$"), near)
+    return {
+        "length": float(n), **{k: len(re.findall(p, value)) / n for k, p in (
+            ("lower_rate", "[a-z]"), ("upper_rate", "[A-Z]"), ("digit_rate", "[0-9]"), ("other_rate", "[^A-Za-z0-9]"),
+            ("class_changes", "(?<=[a-z])[^a-z]|(?<=[A-Z])[^A-Z]|(?<=[0-9])[^0-9]"))},
+        "transition_score": sum(p in secrets.PAIRS.split() for p in pairs) / max(1, len(pairs)),
+        "dictionary": sum(map(len, known)) / n,
+        "path": has(r"[/\\].*[/\\]|\.(?i:html?|php|png|jpe?g|gif|css|js|py|txt|pdf|com|org|net|io)\b|@", value) or has(r"[/\\@]$", near),
+        "hexadecimal": has("^[0-9a-f]+$", low), "provider": has(secrets.PROVIDER, value), "assigned": float(bool(name)),
+        "word_for": word_for, "word_against": has(secrets.AGAINST, near) or has(r"^[/\\@]", after[:secrets.CONTEXT]),
+        "private_key": float(candidate.startswith("-----BEGIN")), "placeholder": has(secrets.PLACEHOLDER, value),
+        "url_password": has(r"(?:^|://)[^\s/:@]{1,64}:[^\s/@]{3,64}@", value)}
+
+
+def test_scan_equals_features_and_forest_in_python(spark):
+    import re
+
+    import regex
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    forest = secrets.train_forest(secrets.seed_findings(spark))
+    code = compile(re.sub(r"x\.([a-z_]+)", r'x["\1"]', re.sub(r"(\d)D\b", r"\1", forest)).replace("IF(", "_if("), "forest", "eval")
+    pattern = regex.compile(secrets.CANDIDATE.replace(r"\z", r"\Z"))
+    want = {}
+    for r in docs.collect():
+        cut, matches = 0, [m for m in pattern.finditer(r.text or "") if m[0]]
+        for k, m in enumerate(matches):
+            end = matches[k + 1].start() if k + 1 < len(matches) else len(r.text)
+            x = python_features(r.text[cut:m.start()], m[0], r.text[m.end():end])
+            score = eval(code, {"x": x, "_if": lambda c, a, b: a if c else b})
+            value = regex.sub("^" + secrets.ASSIGNED, "", m[0])
+            want[r.doc_id, k] = (m.end() - len(value), value, round(score, 9))
+            cut = m.end()
+    got = {(r.doc_id, r.finding): (r.start, r.value, round(r.score, 9)) for r in secrets.scan(docs, ["doc_id"]).collect()}
+    assert got == want and len(got) > 50
+
+
+def test_license_windows_that_cannot_match_are_not_aligned():
+    import time
+
+    known = licenses.Licenses()
+    began = time.time()
+    assert list(known.found("released under the license of the software permission " * 20_000)) == []
+    assert time.time() - began < 5
+    notice = licenses.TEMPLATES["MIT"]
+    text = "released under the license " * 2000 + notice + " of the software permission" * 2000
+    assert [(m[0], m[2]) for m in known.found(text)] == [("MIT", text.index(notice))]
+
+
+def test_licenses_equal_alignment_of_every_window():
+    """Notices in noise, with words left out, put in and replaced, against every
+    template aligned at every word, by the longest common subsequence."""
+    rng = random.Random(8)
+    known = licenses.Licenses({k: v for k, v in licenses.TEMPLATES.items() if k in ("MIT-notice", "ISC", "CC0-1.0-sentence", "Apache-notice")})
+    for _ in range(40):
+        words = [rng.choice("alpha beta the license of mit use".split()) for _ in range(rng.randint(0, 30))]
+        name = rng.choice(list(known.templates))
+        body = list(known.templates[name])
+        for _ in range(rng.randint(0, max(1, len(body) // 12))):
+            at = rng.randrange(len(body))
+            if body[at] not in licenses.TELLING:
+                body[at:at + 1] = rng.choice([[], ["zzz"], [body[at], "zzz"]])
+        text = " ".join(words + body + words[::-1])
+        got = list(known.found(text))
+        all_words = text.split()
+        best = {}
+        for other, template in known.templates.items():
+            n, reach = len(template), 0
+            for low in range(len(all_words)):
+                reach = max(reach, len(licenses._common(template, all_words[low:low + n + n // 4 + 2])))
+            best[other] = reach >= known.coverage * n and all(template[i] in all_words for i in known.names[other])
+        assert {m[0] for m in got} <= {k for k, v in best.items() if v}
+        assert name in {m[0] for m in got} or not best[name], (name, text)
