@@ -102,33 +102,45 @@ def bounded_sample(rows: DataFrame, label: str, bounds: dict, seed: int = 7) ->
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int,
-                    max_rows: int, seed: int = 7, by_label: bool = False) -> tuple[DataFrame, str]:
-    """All columns of ``docs`` and the label, and the label's column name, of at most about ``max_rows`` labelled
-    documents outside the held-out fold, picked by a hash of the id.
+                    max_rows: int, seed: int = 7, by_label: bool = False) -> tuple[DataFrame, str, str]:
+    """All columns of ``docs`` and the label, the label's column name and that of the sample's order (see
+    ``bounded_sample``), of at most ``max_rows`` labelled documents outside the held-out fold.
 
     ``by_label`` gives each of the labels 0 and 1 half of ``max_rows``, and what the
     other leaves of its half, so that a rare label is not thinned out with the rest.
     Rows with a null id, label or text are left out; of several labels of one
-    document the largest counts. The picked ids (bounded by ``max_rows``) are
-    broadcast, so the documents are filtered while they are scanned.
+    document the largest counts, labels above 0 count as 1. Ids are thinned first, by a
+    hash, to about ``max_rows`` and broadcast, so the documents are filtered while they are
+    scanned; then rows are counted and thinned, as many may share an id.
     """
     y = fresh(docs.columns, "y")
     picked = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
         .where(crc_fold(F.col("doc_id"), folds) != held_out)
-        .groupBy("doc_id").agg(F.max(label).cast("int").alias(y))
+        .groupBy("doc_id").agg(F.when(F.max(label) > 0, 1).otherwise(0).alias(y))
     )
-    one = F.col(y) > 0
-    n, ones = picked.agg(F.count("*"), F.count(F.when(one, 1))).first()
-    if n > max_rows:
-        parts = 1_000_000
-        share = lambda rows, size: F.lit(int(parts * rows / max(1, size)))
-        limit = share(max_rows, n)
-        if by_label:
-            of_ones = min(ones, max(max_rows // 2, max_rows - (n - ones)))
-            limit = F.when(one, share(of_ones, ones)).otherwise(share(max_rows - of_ones, n - ones))
-        picked = picked.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(parts)) < limit)
-    return docs.where(F.col("text").isNotNull()).join(F.broadcast(picked), "doc_id"), y
+
+    def bounds(counts: dict[int, int]) -> dict[int, int]:
+        """How many of each label stay."""
+        n = sum(counts.values())
+        if n <= max_rows:
+            return counts
+        if not by_label:
+            return {v: max_rows * k // n for v, k in counts.items()}
+        ones, zeros = counts.get(1, 0), counts.get(0, 0)
+        most = min(ones, max(max_rows // 2, max_rows - zeros))
+        return {1: most, 0: min(zeros, max_rows - most)}
+
+    counted = lambda rows: {r[0]: r[1] for r in rows.groupBy(y).count().collect()}
+    ids = counted(picked)
+    parts, share = 1_000_000, F.lit(0)
+    for value, most in bounds(ids).items():
+        share = F.when(F.col(y) == value, F.lit(-(-parts * most // max(1, ids.get(value, 0))))).otherwise(share)
+    picked = F.broadcast(picked.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(parts)) < share))
+    counts = counted(docs.join(picked, "doc_id"))
+    rows = docs.where(F.col("text").isNotNull()).join(picked, "doc_id")
+    sample, order = bounded_sample(rows, y, {v: (counts[v], most) for v, most in bounds(counts).items()}, seed)
+    return sample, y, order
 
 
 _SPACE = re.compile(rb"[ \t-\r]")

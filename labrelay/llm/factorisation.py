@@ -147,19 +147,21 @@ def _inputs(docs: DataFrame) -> list:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = FOLDS, held_out: int = HELD_OUT,
           max_rows: int = MAX_TRAINING) -> Machine:
-    """Fits on about ``max_rows`` labelled documents outside the held-out fold: texts
-    become features on the executors, which the driver collects."""
-    rows, y = labelled_sample(docs.select("doc_id", "text", *(c for c in docs.columns if c == "n_chars")), labels,
-                              label, folds, held_out, max_rows)
+    """Fits on ``max_rows`` labelled documents at most outside the held-out fold: texts
+    become features on the executors, which the driver collects and sorts by the sample's
+    hash, so that no order of tasks shows in the scores."""
+    rows, y, order = labelled_sample(docs.select("doc_id", "text", *(c for c in docs.columns if c == "n_chars")), labels,
+                                     label, folds, held_out, max_rows)
 
     def run(batches):
         for batch in batches:
             found = [features(t.as_py(), c.as_py()) for t, c in zip(batch.column(0), batch.column(1))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(2), pa.array([f[0] for f in found], pa.list_(pa.int32())),
-                 pa.array([f[1] for f in found], pa.list_(pa.float32()))], names=["y", "f", "s"])
+                [batch.column(2), batch.column(3), pa.array([f[0] for f in found], pa.list_(pa.int32())),
+                 pa.array([f[1] for f in found], pa.list_(pa.float32()))], names=["y", "at", "f", "s"])
 
-    got = map_arrow(rows.select(*_inputs(rows), F.col(y).alias("y")), run, "y int, f array<int>, s array<float>").toArrow()
+    sample = rows.select(*_inputs(rows), F.col(y).alias("y"), F.col(order).alias("at"))
+    got = map_arrow(sample, run, "y int, at long, f array<int>, s array<float>").toArrow().sort_by([("at", "ascending"), ("y", "ascending")])
     found, stats = got.column("f").combine_chunks(), got.column("s").combine_chunks()
     return fit(found.flatten().to_numpy(), pc.list_value_length(found).to_numpy(),
                stats.flatten().to_numpy().reshape(-1, len(STATISTICS)), got.column("y").to_numpy())

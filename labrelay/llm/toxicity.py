@@ -141,28 +141,30 @@ def fit_linear(buckets: np.ndarray, lengths: np.ndarray, y: np.ndarray, rounds:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = FOLDS, held_out: int = HELD_OUT,
           max_rows: int = MAX_TRAINING) -> Model:
-    """Fits on about ``max_rows`` labelled documents outside the held-out fold: texts
-    become sparse features on the executors, which the driver collects."""
-    rows, y = labelled_sample(docs.select("doc_id", "text"), labels, label, folds, held_out, max_rows, by_label=True)
+    """Fits on ``max_rows`` labelled documents at most outside the held-out fold: texts
+    become sparse features on the executors, which the driver collects and sorts by the
+    sample's hash, so that no order of tasks shows in the scores."""
+    rows, y, order = labelled_sample(docs.select("doc_id", "text"), labels, label, folds, held_out, max_rows, by_label=True)
 
     def run(batches):
         grams = Grams()
         for batch in batches:
             found = [grams(t.as_py()).astype(np.int32) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["y", "f"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(found, pa.list_(pa.int32()))], names=["y", "at", "f"])
 
-    got = map_arrow(rows.select("text", F.col(y).alias("y")), run, "y int, f array<int>").toArrow()
+    sample = rows.select("text", F.col(y).alias("y"), F.col(order).alias("at"))
+    got = map_arrow(sample, run, "y int, at long, f array<int>").toArrow().sort_by([("at", "ascending"), ("y", "ascending")])
     found = got.column("f").combine_chunks()
     return fit(found.flatten().to_numpy(), pc.list_value_length(found).to_numpy(), got.column("y").to_numpy())
 
 
 def scored(docs: DataFrame, model: Model, keep: list[str], threshold: float = THRESHOLD) -> DataFrame:
     """``keep`` of every row, score double (0 to 1) and predicted int (1 from
-    ``threshold`` on). Null and empty texts get the score of a text without features."""
+    ``threshold`` on); a name that ``keep`` holds gets a ``_`` behind it. Null and empty texts get the score of a text without features."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    text = fresh(keep, "document_text")
+    text, score, predicted = (fresh(keep, c) for c in ("document_text", "score", "predicted"))
     rows = docs.select(*keep, F.col("text").cast("string").alias(text))
-    schema = rows.select(*keep, F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
+    schema = rows.select(*keep, F.lit(0.0).alias(score), F.lit(0).alias(predicted)).schema
 
     def run(batches):
         grams, fitted = Grams(), sent.value
@@ -170,7 +172,7 @@ def scored(docs: DataFrame, model: Model, keep: list[str], threshold: float = TH
             scores = np.array([fitted.score(grams(t.as_py())) for t in batch.column(batch.num_columns - 1)], np.float64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(batch.num_columns - 1)]
-                + [pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], names=[*keep, "score", "predicted"])
+                + [pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], names=[*keep, score, predicted])
 
     return map_arrow(rows, run, schema)
 

@@ -73,3 +73,60 @@ def test_a_rare_label_is_not_thinned_out(spark, documents, monkeypatch, rare):
     both = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
     toxicity.train(docs, both, max_rows=200)
     assert all(60 < (got[1] == y).sum() < 150 for y in (0, 1))
+
+
+@pytest.mark.parametrize("module,label,report", [(toxicity, "toxic", toxicity.toxicity_report), (factorisation, "quality", factorisation.quality_report)])
+def test_the_fit_is_bounded_by_rows_and_blind_to_their_order(spark, documents, monkeypatch, module, label, report):
+    """One id that 20,000 rows share, and two partitionings of the same rows."""
+    ids = [i for i in range(2, 900) if zlib.crc32(str(i).encode()) % module.FOLDS != module.HELD_OUT]
+    shared = ids[0]
+    words = "alpha beta gamma delta eps zeta eta theta".split()
+    rows = [(i, " ".join(words[(i * k + k) % 8] + str(i % 5) for k in range(12)), "s") for i in ids]
+    rows += [(shared, f"{words[k % 8]} {k}", "s") for k in range(20_000)] + [(ids[1], "the same text", "s")] * 5000
+    docs = documents(rows)
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], f"doc_id long, {label} int")
+    sizes, fit = [], module.fit
+    monkeypatch.setattr(module, "fit", lambda *a: sizes.append(len(a[-1])) or fit(*a))
+    scores = [sorted((str(r.doc_id), r.score) for r in report(d, labels, max_rows=400).collect())
+              for d in (docs.repartition(3), docs.repartition(7, "text").sortWithinPartitions("n_chars"))]
+    assert sizes[0] == sizes[1] <= 400 and sizes[0] > 200
+    assert scores[0] == scores[1]
+
+
+def test_toxicity_weights_and_scores_restated():
+    """Log-count ratios, a fit of a few rows by plain loops, and scores of present features."""
+    rng = np.random.default_rng(2)
+    rows = [np.unique(rng.integers(0, 40, 8)) for _ in range(60)]
+    y = np.array([int((r < 8).sum() >= 2) for r in rows])
+    buckets, lengths = np.concatenate(rows), np.array([len(r) for r in rows])
+    model = toxicity.fit_linear(buckets, lengths, y, rounds=12)
+    size = 1 << toxicity.HASH_BITS
+    one, zero = [0] * 40, [0] * 40
+    for r, label in zip(rows, y):
+        for f in r:
+            (one if label else zero)[f] += 1
+    ratio = [0.0] * 40
+    for f in range(40):
+        x = np.log((one[f] + 1) / (sum(one) + size)) - np.log((zero[f] + 1) / (sum(zero) + size))
+        ratio[f] = x if one[f] + zero[f] >= 2 and abs(x) >= toxicity.MIN_RATIO else 0.0
+    used = [f for f in range(40) if ratio[f]]
+    scale = 1 / np.sqrt(max(1.0, sum(f in used for r in rows for f in r) / len(rows)))
+    weight = [0.5 / y.sum() if label else 0.5 / (len(y) - y.sum()) for label in y]
+    w, m, v, bias, mb, vb = {f: 0.0 for f in used}, {f: 0.0 for f in used}, {f: 0.0 for f in used}, 0.0, 0.0, 0.0
+    for t in range(1, 13):
+        err = []
+        for r, label, share in zip(rows, y, weight):
+            z = bias + scale * sum(w[f] * ratio[f] for f in r if f in w)
+            err.append((1 / (1 + np.exp(-z)) - label) * share)
+        for f in used:
+            g = scale * ratio[f] * sum(e for e, r in zip(err, rows) if f in r) + 0.5 * w[f] / len(rows)
+            m[f], v[f] = 0.9 * m[f] + 0.1 * g, 0.999 * v[f] + 0.001 * g * g
+        gb = sum(err)
+        mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
+        for f in used:
+            w[f] -= 0.1 * (m[f] / (1 - 0.9 ** t)) / (np.sqrt(v[f] / (1 - 0.999 ** t)) + 1e-8)
+        bias -= 0.1 * (mb / (1 - 0.9 ** t)) / (np.sqrt(vb / (1 - 0.999 ** t)) + 1e-8)
+    assert used and model.bias == pytest.approx(bias)
+    for r in rows:
+        z = bias + sum(w[f] * ratio[f] * scale for f in r if f in w)
+        assert model.score(r) == pytest.approx(1 / (1 + np.exp(-z)), rel=1e-4)
