@@ -29,8 +29,10 @@ from .common import map_arrow, staged
 FIT_ROWS = 20_000
 CALIBRATION_QUERIES = 100
 MAX_LEAVES = 4096
-#: Rows a leaf should hold, children of a node, rows and queries of a block.
-LEAF_ROWS = 512
+#: A table of n rows gets about the root of n leaves, so that a query meets as many centroids
+#: as rows in a leaf; each has at least so many rows of the sample.
+LEAF_SAMPLE = 12
+#: Children of a node, rows and queries of a block.
 BRANCHING = 8
 BLOCK_ROWS = 4096
 BLOCK_QUERIES = 4096
@@ -162,15 +164,22 @@ def usable_vectors(df: DataFrame, id_col: str, vector_col: str) -> tuple[DataFra
 
 
 def _sampled(df: DataFrame, rows: int, n: int, seed: int) -> pa.Table:
-    """About ``rows`` of the ``n`` rows by a hash of the id, at most ``rows``, in order of that hash."""
-    h = F.xxhash64("id", F.lit(seed))
+    """About ``rows`` of the ``n`` rows by a hash of id and vector, at most ``rows``, in order
+    of that hash; rows that agree in both count once."""
+    df = df.withColumn("h", F.xxhash64("id", "v", F.lit(seed)))
     if n > rows:
-        df = df.where(F.pmod(h, F.lit(1 << 30)) < int((1 << 30) * (1.05 * rows + 20) / n))
-    return df.withColumn("h", h).toArrow().sort_by([("h", "ascending"), ("id", "ascending")]).slice(0, rows)
+        df = df.where(F.pmod("h", F.lit(1 << 30)) < int((1 << 30) * (1.05 * rows + 20) / n))
+    return df.dropDuplicates(["h"]).orderBy("h").limit(rows).toArrow().sort_by("h")
+
+
+def leaf_rows(n: int, sample: int) -> float:
+    """Rows of the sample that a leaf should hold, for about the root of ``n`` leaves."""
+    leaves = max(1.0, min(np.sqrt(n), MAX_LEAVES, sample / LEAF_SAMPLE))
+    return sample / leaves
 
 
 def nearest_neighbours(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding",
-                       k: int = 10, target_recall: float = 0.97) -> DataFrame:
+                       k: int = 10, target_recall: float = 0.97, figures: dict | None = None) -> DataFrame:
     """(query_id long, rank int from 1, vec_id long, score double) of the k nearest
     found for every query row, by Euclidean distance in double precision; ties
     go to the smaller id.
@@ -178,7 +187,9 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, id_col: str = "vec_
     ``is_query`` is a condition on ``id``. Candidates of a query are all rows with
     another id; a table with fewer gives them all. Rows repeated under one id are
     candidates each for themselves; as a query the id counts once, with its least
-    vector. ``usable_vectors`` says which rows take no part. An empty table, or
+    vector. ``figures``, if given, gets the number of rows, queries and leaves, the calibrated
+    visits and the share of all (query, row) pairs whose distance is taken, at the cost of a job.
+    ``usable_vectors`` says which rows take no part. An empty table, or
     one without queries, gives no rows.
     """
     spark = vectors.sparkSession
@@ -188,8 +199,8 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, id_col: str = "vec_
     if not n:
         return spark.createDataFrame([], schema)
 
-    tree = Tree(_matrix(_sampled(rows, FIT_ROWS, n, 1).column("v").combine_chunks()),
-                LEAF_ROWS * min(1.0, FIT_ROWS / n) if n <= LEAF_ROWS * MAX_LEAVES else FIT_ROWS / MAX_LEAVES)
+    sample = _matrix(_sampled(rows, FIT_ROWS, n, 1).column("v").combine_chunks())
+    tree = Tree(sample, leaf_rows(n, len(sample)))
 
     def index(batches):
         for batch in batches:
@@ -230,6 +241,9 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, id_col: str = "vec_
                      pa.array(leaves[s:s + 8192])], names=["id", "v", "leaf"])
 
     visited = staged(map_arrow(queries, visit, indexed.schema), "leaf_visits")
+    if figures is not None:
+        read = visited.groupBy("leaf").agg(F.count("*").alias("q")).join(counts, "leaf").agg(F.sum(F.col("q") * F.col("count"))).first()[0]
+        figures |= {"rows": n, "queries": n_queries, "leaves": tree.leaves, "visits": visits, "read": read / (n * n_queries)}
     # As few rows as leaves, so these counts may be broadcast.
     blocks = F.broadcast(
         counts

@@ -38,7 +38,6 @@ def test_best_bin_first_visits_every_leaf_once_and_the_own_leaf_early():
 
 def test_recall_and_scores_on_a_table(spark, sf, monkeypatch):
     table = spark.read.parquet(f"{sf}/embeddings.parquet")
-    monkeypatch.setattr(K, "LEAF_ROWS", 64)
     monkeypatch.setattr(K, "BLOCK_ROWS", 40)  # leaves fall into several blocks
     got = found(K.nearest_neighbours(table, F.col("id") % 20 == 0))
     rows = table.toArrow()
@@ -64,7 +63,7 @@ def test_rows_that_take_no_part_ties_and_small_tables(spark):
 
 
 def test_queries_in_tiny_leaves_find_k_rows(spark, monkeypatch):
-    monkeypatch.setattr(K, "LEAF_ROWS", 600)
+    monkeypatch.setattr(K, "leaf_rows", lambda n, sample: 600)
     rng = np.random.default_rng(3)
     x = rng.normal(size=(12, 8))[rng.integers(12, size=6000)] * 20 + rng.normal(size=(6000, 8)) * 0.05
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
@@ -74,3 +73,23 @@ def test_queries_in_tiny_leaves_find_k_rows(spark, monkeypatch):
     got = found(K.nearest_neighbours(df, F.col("id") % 10 == 0))
     assert len(got) == 600 + 5 + 1 and {len(n) for n in got.values()} == {10}
     assert all(i != q for q, near in got.items() for i, _ in near)
+
+
+def test_a_search_of_clustered_rows_reads_few_of_them(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(60, 16))[rng.integers(60, size=9000)] * 3 + rng.normal(size=(9000, 16)) * 0.4
+    ids = np.arange(9000)
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    figures = {}
+    got = found(K.nearest_neighbours(df, F.col("id") % 30 == 0, figures=figures))
+    want = brute(ids, x, range(0, 9000, 30))
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * 10 * len(want)
+    assert figures["leaves"] > 50 and figures["queries"] == 300 and figures["read"] < 0.2
+
+
+def test_samples_are_bounded_whatever_ids_repeat(spark):
+    df = spark.range(30_000).selectExpr("if(id % 3 = 0, id, 5L) as id", "array(double(id % 20000 div 2), 1D) as v")
+    got = K._sampled(df, 1000, 30_000, 1)
+    again = K._sampled(df.repartition(5), 1000, 30_000, 1)
+    assert 600 < got.num_rows <= 1000 and got.column("v").to_pylist() == again.column("v").to_pylist()
