@@ -268,7 +268,9 @@ def revisits(digests: DataFrame, min_bytes: int = REVISIT_BYTES) -> DataFrame:
 
 
 def convert(records: DataFrame, digests: DataFrame | None = None) -> DataFrame:
-    """A column ``value``: the WARC record of every ARC record (see ``warc_record``).
+    """``value``, the WARC record of every ARC record (see ``warc_record``), and ``archive`` int:
+    a task's records in turn fill archives of ``ARCHIVE_BYTES``, beyond which only the last
+    record of one goes.
 
     Every record is written once; equal payloads of ``REVISIT_BYTES`` and more
     are kept once, smaller ones always."""
@@ -281,22 +283,30 @@ def convert(records: DataFrame, digests: DataFrame | None = None) -> DataFrame:
                        (F.col("record_id") == F.col("r")) & (F.col("key_is_null") == F.col("k")) & (F.col("digest") == F.col("d")),
                        "left").select(*records.columns, "first", F.unhex("d").alias("first_digest"))
 
+    most = ARCHIVE_BYTES
+
     def run(batches):
+        archive, size = 0, 0
         for batch in batches:
-            out = []
+            out, archives = [], []
             for row in batch.to_pylist():
                 first = row["first"]
                 out.append(warc_record(row, None if first is None else record_uuid(first, False, row["first_digest"])))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+                if size >= most:
+                    archive, size = archive + 1, 0
+                archives.append(archive)
+                size += len(out[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(archives, pa.int32())], names=["value", "archive"])
 
-    return map_arrow(found, run, "value binary")
+    return map_arrow(found, run, "value binary, archive int")
 
 
-def write_warc(warc: DataFrame, path: str, records_per_file: int) -> None:
-    """Writes the records as ``.gz`` archives below ``path``. The bytes go through
-    Spark's text writer unchanged: a record's end is the writer's line end."""
-    (warc.select(F.col("value").cast("string")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip")
-     .option("maxRecordsPerFile", records_per_file).text(path))
+def write_warc(warc: DataFrame, path: str) -> None:
+    """Writes the records (value, archive) as ``.gz`` archives below ``path``, one for each
+    task and ``archive``. The bytes go through Spark's text writer unchanged: a
+    record's end is the writer's line end."""
+    (warc.select(F.col("value").cast("string"), "archive").write.partitionBy("archive").option("lineSep", "\r\n\r\n")
+     .option("compression", "gzip").text(path))
 
 
 def _unzipped(data: bytes) -> Iterator[bytes]:
@@ -403,8 +413,7 @@ def archive_pages(pages: DataFrame, path: str) -> None:
     """Writes a WARC record for every page below ``path``, by way of ARC records."""
     records = page_records(pages)
     digests = staged(payload_digests(records), "payload_digests")
-    n, size = digests.agg(F.count("*"), F.sum("bytes")).first()
-    write_warc(convert(records, digests), path, max(1, ARCHIVE_BYTES * (n or 1) // max(1, size or 0)) if n else 1)
+    write_warc(convert(records, digests), path)
 
 
 def warc_report(pages: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def test_foreign_archives_are_converted(spark, scratch_dir):
     open(f"{scratch_dir}/arc/a.arc", "wb").write(data[1])
     open(f"{scratch_dir}/arc/b.arc.gz", "wb").write(gzip.compress(data[2][:200]) + gzip.compress(data[2][200:]))
     records = warc.arc_records(spark, f"{scratch_dir}/arc")
-    warc.write_warc(warc.convert(records), f"{scratch_dir}/warc", 3)
+    warc.write_warc(warc.convert(records), f"{scratch_dir}/warc")
     rows = sorted(warc.read_warc(spark, f"{scratch_dir}/warc").collect(), key=lambda r: r.url)
     assert [(r.url, r.record_type) for r in rows if r.url.startswith("dns")] == [("dns:h1", "resource"), ("dns:h2", "resource")]
     pages = [r for r in rows if r.url.startswith("http")]
@@ -67,3 +67,19 @@ def test_pages_come_back(spark, monkeypatch):
         got = sorted((str(r[0]), r[1], r[2], r[3], str(r[4])) for r in warc.warc_report(pages).collect())
         assert got == expected
     assert warc.warc_report(pages.limit(0)).count() == 0
+
+
+def test_archives_are_cut_by_bytes_in_a_partition_of_large_pages(spark, scratch_dir, monkeypatch):
+    import glob
+    import random
+
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 20_000)
+    rng = random.Random(1)
+    rows = [(i, "u", "<p>" + "".join(chr(rng.randrange(33, 127)) for _ in range(50 if i < 300 else 7000))) for i in range(340)]  # sorted by size
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.archive_pages(pages, f"{scratch_dir}/warc")
+    files = glob.glob(f"{scratch_dir}/warc/**/*.gz", recursive=True)
+    sizes = [sum(len(block) for _, block in warc.parse_warc(iter([gzip.decompress(open(f, "rb").read())]))) for f in files]
+    assert len(files) > 10 and max(sizes) < 20_000 + 8_000
+    got = {r.record_id: (r.payload_bytes, bytes(r.payload)) for r in warc.read_warc(spark, f"{scratch_dir}/warc").collect()}
+    assert got == {i: (len(h), h.encode()) for i, _, h in rows}
