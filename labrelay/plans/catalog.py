@@ -14,9 +14,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from ..functions.jsonfmt import to_json_text
 from ..functions.segments import segments
+from ..functions.text import decode_utf8
 from ..operators.errors import ERROR
 from ..operators.messages import decode, drop_blank, drop_empty, prepare
 from ..operators.quarantine import quarantine_rows, quarantined_messages
@@ -29,6 +31,7 @@ from ..sinks.bucket_table import BucketTable
 from ..sources import fixtures
 from ..sources.messages import fixture_table, read_messages
 from .batch import current_rows, delimiters, extract_fields, json_values, parse_messages, shred, table_rows
+from .describe import described_kind
 from .kinds import ACK, ORDER, RESULT
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -308,9 +311,8 @@ def lenient_timestamps(spark, sf):
     return _results(spark, sf).select("offset", iso("sending_date_time").alias("sending_date_time"))
 
 
-@query("order_records")
-def order_records(spark, sf):
-    df = parse_messages(orders_raw(spark, sf), ORDER)
+def _order_records(spark, sf, kind) -> DataFrame:
+    df = parse_messages(orders_raw(spark, sf), kind)
     t = F.col("lab_tests_ordered")
     return df.select(
         "offset",
@@ -328,9 +330,13 @@ def order_records(spark, sf):
     )
 
 
-@query("ack_records")
-def ack_records(spark, sf):
-    df = parse_messages(acks_raw(spark, sf), ACK)
+@query("order_records")
+def order_records(spark, sf):
+    return _order_records(spark, sf, ORDER)
+
+
+def _ack_records(spark, sf, kind) -> DataFrame:
+    df = parse_messages(acks_raw(spark, sf), kind)
     return df.select(
         "offset",
         "sending_facility_id",
@@ -343,6 +349,11 @@ def ack_records(spark, sf):
     )
 
 
+@query("ack_records")
+def ack_records(spark, sf):
+    return _ack_records(spark, sf, ACK)
+
+
 @query("result_records")
 def result_records(spark, sf):
     df = parse_messages(results_raw(spark, sf), RESULT)
@@ -536,7 +547,7 @@ def quarantine_replay(spark, sf):
     """Malformed messages of the ack stream out with their bytes, repaired (version 2.5, the
     missing seconds added), and parsed again; those that are no acks stay out."""
     bad = quarantine_rows(parse_messages(_malformed_ack_stream(spark, sf), ACK, mode="PERMISSIVE"), ACK)
-    version = F.replace(F.decode("value", "UTF-8"), F.lit("|P|2.3"), F.lit("|P|2.5"))
+    version = F.replace(decode_utf8(F.col("value"), BinaryType()), F.lit("|P|2.3"), F.lit("|P|2.5"))
     repaired = F.regexp_replace(version, r"^(MSH(?:[|#][^|#]*){5}[|#])([0-9]{12})(?=[|#])", "$1$200")
     again = parse_messages(quarantined_messages(bad, ACK, repaired), ACK, mode="PERMISSIVE")
     sound = F.col(ERROR).isNull()
@@ -551,3 +562,44 @@ def upsert_bucketed_state(spark, sf):
     for batch in (0, 1, 2, 1):
         state.upsert(parse_messages(acks_raw(spark, sf), ACK, where=f"offset % 3 = {batch}"), batch)
     return _flat_table(state.read(spark))
+
+
+# ------------------------------------------------------- described kinds (2.9)
+
+DESCRIBED_ACK = described_kind(
+    "ack", "ACK", key="ack_message_id", table="lab_orders_ack",
+    columns={
+        "sending_facility_id": "MSH-4.1",
+        "targeted_disa_code": "MSH-5.1",
+        "sending_date_time": "MSH-7 as strict time",
+        "message_id": "MSH-10",
+        "ack_message_id": "MSA-2",
+        "acknowledgment_status": "MSA-1",
+        "acknowledgment_description": "MSA-3",
+    })
+
+DESCRIBED_ORDER = described_kind(
+    "order", "OML_O21", key="lab_order_id", table="lab_orders",
+    table_columns=ORDER.table_columns,
+    groups={"PID": "patient ahead of it", "ORC": "first order group", "OBR": "first order group"},
+    columns={
+        "lab_order_id": "ORC-2",
+        "sending_facility_id": "MSH-4.2 or MSH-4.1",
+        "receiving_lab_code": "MSH-6",
+        "sending_date_time": "MSH-7 as strict time",
+        "lab_tests_ordered": [{"code": "OBR-4.1", "name": "OBR-4.2", "type": "'Regular'"}],
+        "message_id": "MSH-10",
+        "patient": {"nupn": "PID-3.1", "sex": "PID-8"},
+    })
+
+
+@query("described_acks")
+def described_acks(spark, sf):
+    """``ack_records`` from a described kind."""
+    return _ack_records(spark, sf, DESCRIBED_ACK)
+
+
+@query("described_orders")
+def described_orders(spark, sf):
+    """``order_records`` from a described kind: group rules, a fallback, a struct and an array."""
+    return _order_records(spark, sf, DESCRIBED_ORDER)

@@ -425,5 +425,6 @@ ORACLE["quarantine_replay"] = (
     "FROM ex_a WHERE present AND (e % 10 = 9 OR e % 13 = 0) AND ack_message_id IS NOT NULL"
 )
 ORACLE["upsert_bucketed_state"] = ORACLE["upsert_two_batches"].replace("e % 2", "e % 3")
+ORACLE["described_acks"], ORACLE["described_orders"] = ORACLE["ack_records"], ORACLE["order_records"]
 ORACLE["upsert_merged_state"] = ORACLE["upsert_two_batches"]
 ORACLE = {name: _json_as_text(sql) for name, sql in ORACLE.items()}

@@ -41,3 +41,29 @@ def test_custom_kind_runs_through_the_same_plan(spark):
         '{"message_id":"res-0001","sending_application":"OtherApp"}',
     ]
     assert [r.sending_application for r in current_rows(recs, HEADERS).collect()] == ["OtherApp"]
+
+
+def test_described_kinds_equal_the_built_in_ones(spark):
+    from labrelay.plans.catalog import DESCRIBED_ACK, DESCRIBED_ORDER
+
+    bad = [S.RESULT, "hello", S.ACK.replace("20240305101600", "2024"), S.ACK.replace("|P|2.5", "|P|2.3"), None, " "]
+    esc = S.ACK.replace("Accepted", "a\\S\\b^c")
+    swapped = S.ORDER.replace("ORC|", "XXX|").replace("OBR|", "ORC|").replace("XXX|", "OBR|")
+    for described, name, messages in ((DESCRIBED_ACK, "ack", [S.ACK, S.FULL_ACK, esc, *bad]),
+                                      (DESCRIBED_ORDER, "order", [S.ORDER, S.FULL_ORDER, S.ORDER + "\r" + S.ORDER, swapped, *bad])):
+        raw = raw_frame(spark, messages)
+        rows = [parse_messages(raw, k, mode="PERMISSIVE") for k in (described, name)]
+        assert sorted(map(str, rows[0].drop("_raw").collect())) == sorted(map(str, rows[1].drop("_raw").collect()))
+        assert rows[0].schema.simpleString() == rows[1].schema.simpleString()
+        assert sorted(map(str, current_rows(rows[0], described).collect())) == sorted(map(str, current_rows(rows[1], name).collect()))
+
+
+def test_descriptions_that_cannot_be_read():
+    import pytest
+
+    from labrelay.plans.describe import described_kind
+
+    for columns, key, groups in (({"a": "PID3"}, "a", {}), ({"a": "PID-3 as time"}, "a", {}), ({"a": "PID-3"}, "b", {}),
+                                 ({"a": ["PID-3"]}, "a", {}), ({"a": "PID-3"}, "a", {"PID": "last"}), ({"a": "PID-3 or"}, "a", {})):
+        with pytest.raises(ValueError):
+            described_kind("k", "ACK", columns, key, "t", groups)
