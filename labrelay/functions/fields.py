@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .segments import ENV, ESCAPE_CODES, STANDARD_DELIMITERS, Env, quote_re
+from .segments import ENV, ESCAPE_CODES, STANDARD_DELIMITERS, Env, call, quote_re
 
 
 def field(seg: Column, n: int, env: Env = ENV, *, header: bool = False) -> Column:
@@ -60,12 +60,18 @@ def split_fields(seg: Column, env: Env = ENV) -> Column:
     return F.split(seg, env.fsre)
 
 
+def first_part(s: Column, delimiter: Column) -> Column:
+    """``s`` up to the first delimiter (all of it if there is none, or the header
+    declares none); unlike ``split_part`` it doesn't cut the rest."""
+    return F.when(delimiter == "", s).otherwise(call("substring_index", s, delimiter, F.lit(1)))
+
+
 def field_value(raw_field: Column, comp: int = 1, env: Env = ENV) -> Column:
     """Typed-getter value of an already extracted raw field: first repetition,
     component ``comp``, first subcomponent, unescaped; NULL if empty or absent."""
-    rep1 = F.split_part(raw_field, env.rs, F.lit(1))
-    sub1 = F.split_part(F.split_part(rep1, env.cs, F.lit(comp)), env.ss, F.lit(1))
-    return F.nullif(unescape(sub1, env), F.lit(""))
+    rep1 = first_part(raw_field, env.rs)
+    component = first_part(rep1, env.cs) if comp == 1 else F.split_part(rep1, env.cs, F.lit(comp))
+    return F.nullif(unescape(first_part(component, env.ss), env), F.lit(""))
 
 
 def value(seg: Column, n: int, comp: int = 1, env: Env = ENV, *, header: bool = False) -> Column:

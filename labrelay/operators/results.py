@@ -4,6 +4,10 @@ Only the first order/observation group is read: its ORC gives the order id,
 its OBR the test code and name, and every OBX of that group (and only of that
 group) gives one result, in message order. The group ends at the next
 segment that opens another group or a part the observations cannot follow.
+
+The observations of a message are read by one regular expression a field and cast
+in one step, without a lambda; only messages with an escape in those fields or a time
+that is not plain go through ``observation_values`` one observation at a time.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fields import encoded_value, field_value, split_fields, value
 from ..functions.header import first_error, hv, kind_error
-from ..functions.segments import all_segments, cut_at_boundary, slice_from
+from ..functions.segments import CR, ENV, ENV_COLS, all_segments, cut_at_boundary, quote_re, slice_from
 from ..functions.times import parsed_time, time_error, time_parts, time_value
 from .orders import facility_with_fallback
 from .shred import group_flags, passthrough, seg, with_positions, with_segments
@@ -32,6 +36,45 @@ def observation_group() -> Column:
     return F.when(start > 0, cut_at_boundary(slice_from(start), GROUP_END))
 
 
+def _all_of_field(group: Column, n: int, part: Column) -> Column:
+    """What the pattern ``part`` matches at the start of field ``n`` of every OBX whose OBX-5
+    is not empty, in order ('' if the field is absent): one regular expression, no lambda."""
+    fs, rest = quote_re(ENV.fs), F.concat(F.lit("[^"), quote_re(ENV.fs), F.lit(CR + "]*+"))
+    skipped = lambda k: F.concat(F.lit("(?:"), fs, rest, F.lit(f"){{{k}}}"))
+    start = F.concat(F.lit(CR + "OBX"), skipped(4), fs, F.lit("(?=[^"), fs, F.lit(CR + "])"))
+    if n == 5:
+        pattern = F.concat(start, F.lit("("), part, F.lit(")"))
+    else:
+        pattern = F.concat(start, rest, F.lit("(?:"), skipped(n - 6), fs, F.lit("("), part, F.lit("))?"))
+    return F.regexp_extract_all(F.concat(F.lit(CR), group), pattern, F.lit(1))
+
+
+def observation_arrays(group: Column) -> list[Column]:
+    """The texts of OBX-5 (first repetition, re-encoded as by ``encoded_value``) and of
+    OBX-6, 7 and 14 (first repetition, component and subcomponent, escapes kept, '' if empty
+    or absent) of the first observation group, as parallel arrays."""
+    until = lambda *seps: F.concat(F.lit("[^"), *(quote_re(s) for s in (ENV.fs, *seps)), F.lit(CR + "]"))
+    trailing = F.when(ENV.cs != "", F.concat(F.lit("[\\Q"), ENV.cs, ENV.ss, F.lit("\\E]*+"))).otherwise(F.lit(""))
+    ended = F.concat(F.lit("(?=["), quote_re(ENV.fs), quote_re(ENV.rs), F.lit(CR + "]|$)"))
+    encoded = F.concat(until(ENV.rs), F.lit("*?(?="), trailing, ended, F.lit(")"))
+    scalar = F.concat(until(ENV.rs, ENV.cs, ENV.ss), F.lit("*+"))
+    return [_all_of_field(group, 5, encoded), *(_all_of_field(group, n, scalar) for n in (6, 7, 14))]
+
+
+def plain_times(texts: Column) -> Column:
+    """Array of date-time texts -> array<timestamp_ntz> by one cast: padded to 14 digits and
+    written as ISO text first, all at once. NULL for what needs ``time_value``: malformed
+    times, days past a month's end, 24:00; and for ''."""
+    one = lambda digits: F.lit(rf"(?<![^\r]){digits}(?![^\r])")
+    joined = F.array_join(texts, CR)
+    for n in (8, 10, 12):
+        joined = F.regexp_replace(joined, one(rf"([0-9]{{{n}}})"), F.lit("$1" + "0" * (14 - n)))
+    iso = F.regexp_replace(joined, one("([0-9]{4})" + "([0-9]{2})" * 5), F.lit("$1-$2-$3 $4:$5:$6"))
+    # a text that was no such digits must not become a time by some other rule of the cast
+    only = F.regexp_replace(iso, F.lit(r"(?<![^\r])(?![0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(?![^\r]))[^\r]++"), F.lit("-"))
+    return F.split(only, CR).try_cast("array<timestamp_ntz>")
+
+
 def observation_values(obx: Column) -> Column:
     """OBX segments with a value -> array<struct(value, unit, referenceRange, time text)>.
 
@@ -79,6 +122,11 @@ def observations(vals: Column) -> Column:
     )
 
 
+#: The texts of ``observation_arrays`` by name, and the envelope's columns that they need.
+_ARRAYS = ("_v_value", "_v_unit", "_v_reference", "_v_at")
+_DELIMITERS = [c for c in ENV_COLS if c != "_body"]
+
+
 def with_observation_group(df: DataFrame) -> DataFrame:
     """Envelope'd messages + segment columns + ``_s_obx``: the OBX segments of group 1."""
     return with_segments(with_positions(df), {"_s_obx": all_segments(observation_group(), "OBX")})
@@ -101,29 +149,38 @@ def project_results(df: DataFrame) -> DataFrame:
         hv(msh, 10, 1).alias("message_id"),
         value(pid, 3, 1).alias("patient_nupn"),
         kind_error(msh, STRUCTURE).alias("_v_kind_err"),
-        observation_values(all_segments(observation_group(), "OBX")).alias("_v_obs"),
-    )
-    typed = vals.select(
-        "*",
-        observations(F.col("_v_obs")).alias("_s_obs"),
-        parsed_time(F.col("_v_sent"), lenient=True).alias("_v_time"),
+        *_DELIMITERS,
+        observation_group().alias("_v_group"),
     )
+    texts = vals.select("*", *(a.alias(n) for a, n in zip(observation_arrays(F.col("_v_group")), _ARRAYS)))
+    value_, unit, reference, time = (F.col(n) for n in _ARRAYS)
+    timed = texts.select("*", plain_times(time).alias("_v_times"), parsed_time(F.col("_v_sent"), lenient=True).alias("_v_time"))
+    # Escapes in these fields, and times that a cast doesn't give, need a look at each observation.
+    escaped = ENV.esc & F.contains(F.array_join(F.concat(unit, reference, time), CR), ENV.es)
+    odd = escaped | (F.size(F.array_compact("_v_times")) != F.size(F.array_remove(time, "")))
+    looked = timed.select(
+        "*", F.when(odd, observations(observation_values(all_segments(F.col("_v_group"), "OBX")))).alias("_s_obs"))
     obs = seg("obs")
     sent, sent_err = F.col("_v_time.value"), F.col("_v_time.error")
-    code, name = F.col("_v_code"), F.col("_v_name")
-    results = F.transform(
-        obs,
-        lambda o: F.struct(
-            code.alias("code"),
-            name.alias("name"),
-            o["value"].alias("value"),
-            o["unit"].alias("unit"),
-            o["referenceRange"].alias("referenceRange"),
-            o["observationDateTime"].alias("observationDateTime"),
-        ),
+
+    def result(value, unit, reference, at):
+        return F.struct(
+            F.col("_v_code").alias("code"),
+            F.col("_v_name").alias("name"),
+            value.alias("value"),
+            unit.alias("unit"),
+            reference.alias("referenceRange"),
+            at.alias("observationDateTime"),
+        )
+
+    plain = F.transform(
+        F.arrays_zip(*_ARRAYS[:3], "_v_times"),
+        lambda o: result(o[_ARRAYS[0]], F.nullif(o[_ARRAYS[1]], F.lit("")), F.nullif(o[_ARRAYS[2]], F.lit("")), o["_v_times"]),
     )
+    one_by_one = F.transform(obs, lambda o: result(o["value"], o["unit"], o["referenceRange"], o["observationDateTime"]))
+    results = F.when(obs.isNotNull(), one_by_one).when(F.col("_v_group").isNotNull(), F.slice(plain, F.lit(1), F.size(value_)))
     obs_err = F.get(F.filter(obs, lambda o: o["err"].isNotNull()), 0)["err"]
-    return typed.select(
+    return looked.select(
         *keep,
         "lab_order_id",
         "sending_facility_id",
