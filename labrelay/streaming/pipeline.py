@@ -136,6 +136,8 @@ def start_pipeline(
     kind = get_kind(spec.kind)
     if spec.mode.upper() == "PERMISSIVE" and spec.error_sink is None and spec.quarantine_sink is None:
         raise ValueError("a PERMISSIVE pipeline needs an error_sink or a quarantine_sink for its malformed messages")
+    if spec.on_batch and not any((spec.json_sink, spec.table_sink, spec.error_sink, spec.quarantine_sink)):
+        raise ValueError("a batch is counted while a sink writes it: on_batch needs a sink")
     name = query_name or f"lab-{kind.name}-pipeline"
     checkpoint = f"{checkpoint_root(spark, checkpoint_location)}/{name}"
     options = dict(spec.source_options or {})
