@@ -7,6 +7,7 @@ The same functions serve batch DataFrames and Structured Streaming.
 """
 
 from .plans.batch import current_rows, json_values, parse_messages, records, shred, table_rows
+from .plans.describe import described_kind
 from .plans.kinds import ACK, KINDS, ORDER, RESULT, MessageKind, get_kind
 
 __all__ = [
@@ -16,6 +17,7 @@ __all__ = [
     "RESULT",
     "MessageKind",
     "current_rows",
+    "described_kind",
     "get_kind",
     "json_values",
     "parse_messages",
