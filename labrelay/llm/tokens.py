@@ -93,8 +93,10 @@ class Pair:
         self.b_text = np.array([f"{i}{end}" for end in ",;" for i in range(len(self.b_bytes))], object)
 
     def encode_a(self, texts: list[str]) -> list[list[int]]:
+        """The ids of A. Texts beyond ``CHUNK`` take the general encoder: the other one's
+        pattern runs out of stack on some hundred thousand blanks in a row, and ends the worker."""
         if self.bytes:
-            return [self.bytes.encode_ordinary(t) for t in texts]
+            return [self.bytes.encode_ordinary(t) if len(t) <= CHUNK else self.a.encode(t, add_special_tokens=False).ids for t in texts]
         return [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:

@@ -112,3 +112,11 @@ def test_merging_by_rank_gives_the_ids_of_the_general_encoder(pair):
     for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": None}, {"model": spec["model"] | {"dropout": 0.1}},
                    {"model": spec["model"] | {"merges": spec["model"]["merges"][::-1]}}):
         assert tokens.byte_encoder(spec | change) is None
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", "　", "\n \t"])
+def test_blanks_in_a_row_beyond_what_the_fast_pattern_stands(pair, blank):
+    short, long = (blank * n for n in (tokens.CHUNK // len(blank) - 2, 1_200_000))
+    assert pair.encode_a([" " + short]) == [pair.a.encode(" " + short, add_special_tokens=False).ids]
+    (a, b), = pair.encode([long + "x"])
+    assert b"".join(pair.a_bytes[i] for i in a) == (" " + long + "x").encode() == b"".join(pair.b_bytes[i] for i in b)
