@@ -32,3 +32,12 @@ def fenced_select(df: DataFrame, *cols: str) -> DataFrame:
     outputs nobody reads.
     """
     return df.select(*(fence(F.col(c)).alias(c) for c in cols))
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` hash-spread by ``keys`` over ``spark.sql.shuffle.partitions``, or the cluster's
+    cores if those are more. The number is explicit, so adaptive execution doesn't merge
+    small partitions whose rows are costly to process."""
+    spark = df.sparkSession
+    setting, cores = str(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    return df.repartition(max(int(setting), cores) if setting.isdigit() else cores, *keys)

@@ -51,7 +51,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.plan import fence
+from ..functions.plan import fence, spread
 
 ORDER_TOPIC = "lab-orders"
 ACK_TOPIC = "lab-orders-ack"
@@ -97,7 +97,8 @@ def render_orders(orders: DataFrame, customer: DataFrame, version: Column | None
     """One order message per order (J1)."""
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
     c = customer.select(F.col("c_custkey"), F.col("c_nationkey"))
-    j = o.join(c, o.o_custkey == c.c_custkey)
+    # spread by the order behind the join: its tasks may be few, or uneven by customer
+    j = spread(o.join(c, o.o_custkey == c.c_custkey), "o_orderkey", "o_custkey")
     k, ck, n = F.col("o_orderkey"), F.col("c_custkey"), F.col("c_nationkey")
     ver = version if version is not None else F.lit("2.5")
     fac = (

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
+from ..functions.plan import spread
 from ..operators.messages import ARRIVAL_COLUMNS
 from ..plans.kinds import MessageKind, get_kind
 from . import fixtures
@@ -126,24 +127,18 @@ def with_position(df: DataFrame) -> DataFrame:
     return df if "offset" in df.columns else df.withColumn("offset", F.monotonically_increasing_id())
 
 
-# The key each source table of the renderers is spread by.
-FIXTURE_KEYS = {"orders": "o_orderkey", "events": "event_id", "lineitem": "l_orderkey"}
+# The columns a source table of the renderers is spread by. Orders are
+# spread behind their join (``fixtures.render_orders``).
+FIXTURE_KEYS = {"events": ("event_id", "user_id"), "lineitem": ("l_orderkey",)}
 
 
 def fixture_table(spark: SparkSession, table_dir: str, name: str) -> DataFrame:
-    """A source table of the renderers. A small test table is a single file split,
-    which would put all rendering and parsing into one task: it is hash-spread over
-    ``spark.sql.shuffle.partitions`` by its key (like the partitions of a topic).
-    A table whose scan already has as many splits as cores is not shuffled;
-    lineitem always is, since its key is also the renderer's group key."""
+    """A source table of the renderers, spread evenly (like the partitions of a topic)
+    before any message is rendered. The splits of a scan say nothing about its rows: a
+    file of one row group is read by one task however many splits it has. Lineitem is
+    spread by the renderer's group key."""
     df = spark.read.parquet(f"{table_dir}/{name}.parquet")
-    if name not in FIXTURE_KEYS:
-        return df
-    if name != "lineitem" and df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
-        return df
-    setting = str(spark.conf.get("spark.sql.shuffle.partitions"))  # effective value, default included
-    n = int(setting) if setting.isdigit() else spark.sparkContext.defaultParallelism
-    return df.repartition(n, FIXTURE_KEYS[name])
+    return spread(df, *FIXTURE_KEYS[name]) if name in FIXTURE_KEYS else df
 
 
 def fixture_messages(spark: SparkSession, table_dir: str, kind: str) -> DataFrame:
