@@ -23,6 +23,13 @@ def fence(col: Column) -> Column:
     return F.when(F.spark_partition_id() >= 0, col)
 
 
+def unfused(col: Column) -> Column:
+    """``col`` fenced, in a projection of its own small generated methods. A fused stage is
+    one method, and the JVM never compiles one above 8,000 bytes of bytecode: it would be
+    interpreted for every row. The lambda, over one number, is what Spark doesn't fuse."""
+    return F.when(F.exists(F.array(F.spark_partition_id()), lambda p: p >= 0), col)
+
+
 def fenced_select(df: DataFrame, *cols: str) -> DataFrame:
     """``df.select(cols)`` with every column fenced.
 

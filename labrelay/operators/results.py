@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fields import encoded_value, field_value, split_fields, value
 from ..functions.header import first_error, hv, kind_error
+from ..functions.plan import unfused
 from ..functions.segments import CR, ENV, ENV_COLS, all_segments, cut_at_boundary, quote_re, slice_from
 from ..functions.times import parsed_time, time_error, time_parts, time_value
 from .orders import facility_with_fallback
@@ -152,7 +153,7 @@ def project_results(df: DataFrame) -> DataFrame:
         *_DELIMITERS,
         observation_group().alias("_v_group"),
     )
-    texts = vals.select("*", *(a.alias(n) for a, n in zip(observation_arrays(F.col("_v_group")), _ARRAYS)))
+    texts = vals.select("*", *(unfused(a).alias(n) for a, n in zip(observation_arrays(F.col("_v_group")), _ARRAYS)))
     value_, unit, reference, time = (F.col(n) for n in _ARRAYS)
     timed = texts.select("*", plain_times(time).alias("_v_times"), parsed_time(F.col("_v_sent"), lenient=True).alias("_v_time"))
     # Escapes in these fields, and times that a cast doesn't give, need a look at each observation.

@@ -51,7 +51,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.plan import fence, spread
+from ..functions.plan import spread, unfused
 
 ORDER_TOPIC = "lab-orders"
 ACK_TOPIC = "lab-orders-ack"
@@ -84,12 +84,12 @@ def _join(sep: Column, segments: list[Column]) -> Column:
 
 def _raw(topic: str, offset: Column, value: Column) -> list[Column]:
     """Kafka-shaped columns; the value is fenced so that filters of the parser
-    read the rendered message instead of re-rendering it."""
+    read the rendered message instead of re-rendering it, and not fused with the parse."""
     return [
         F.lit(topic).alias("topic"),
         F.lit(0).alias("partition"),
         offset.cast("long").alias("offset"),
-        fence(value).alias("value"),
+        unfused(value).alias("value"),
     ]
 
 

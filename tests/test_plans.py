@@ -7,7 +7,8 @@ from conftest import raw_frame
 
 import samples as S
 from labrelay import json_values, parse_messages, shred
-from labrelay.plans.batch import current_rows
+from labrelay.plans.batch import current_rows, table_rows
+from labrelay.sources import fixtures
 from pyspark.sql import functions as F
 
 
@@ -72,3 +73,31 @@ def test_upsert_has_one_exchange_with_partial_aggregation(spark, scratch_dir):
     plan = executed(current_rows(parse_messages(spark.read.parquet(path), "order"), "order"))
     assert plan.count("Exchange") == 1
     assert "partial_max_by" in plan
+
+
+@pytest.fixture()
+def plain_plans(spark):
+    """Plans with generated code also behind exchanges."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_rendered_messages_are_not_fused_with_their_parse(spark, plain_plans):
+    """Rendering and parsing in one generated method: too large to be compiled."""
+    customer = spark.createDataFrame([(1, 2)], "c_custkey long, c_nationkey long")
+    orders = spark.createDataFrame([(7, 1)], "o_orderkey long, o_custkey long").selectExpr(
+        "*", "TIMESTAMP_NTZ'2024-03-05 10:15:30' AS o_orderdate", "'O' AS o_orderstatus", "'1-URGENT' AS o_orderpriority")
+    events = spark.createDataFrame([(2, 5, "click")], "event_id long, user_id long, event_type string").selectExpr(
+        "*", "TIMESTAMP_NTZ'2024-03-05 10:15:30' AS ts")
+    for kind, raw in (("order", fixtures.render_orders(orders, customer)), ("ack", fixtures.render_acks(events))):
+        parsed = json_values(parse_messages(raw, kind), kind)
+        assert parsed.count() == 1
+        assert 0 < largest_method(parsed) < 8000
+
+
+def test_result_arrays_are_read_by_methods_small_enough_to_be_compiled(spark, scratch_dir, plain_plans):
+    path = f"{scratch_dir}/m"
+    raw_frame(spark, [S.RESULT]).write.parquet(path)
+    parsed = parse_messages(spark.read.parquet(path), "result")
+    assert 0 < largest_method(table_rows(parsed, "result").select("offset", "lab_test_results")) < 8000
