@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.plan import fence
 from ..plans.kinds import MessageKind, get_kind
 from .errors import ERROR, RAW, malformed_rows
 from .messages import arrival_columns
@@ -30,7 +31,8 @@ def quarantine_rows(parsed: DataFrame, kind: str | MessageKind) -> DataFrame:
 
 def quarantined_messages(rows: DataFrame, kind: str | MessageKind, repair: Column | None = None) -> DataFrame:
     """Quarantined rows of ``kind`` as raw messages; ``repair`` replaces their value (binary
-    or string, over the columns of ``rows``)."""
-    value = F.col("value") if repair is None else repair
+    or string, over the columns of ``rows``). It is fenced: the parse's filters on the value
+    would otherwise repair each message again."""
+    value = F.col("value") if repair is None else fence(repair)
     mine = rows.where(F.col("kind") == get_kind(kind).name)
     return mine.select("topic", *arrival_columns(mine), value.alias("value"))

@@ -8,6 +8,7 @@ from conftest import raw_frame
 import samples as S
 from labrelay import json_values, parse_messages, shred
 from labrelay.plans.batch import current_rows, table_rows
+from labrelay.operators.quarantine import quarantine_rows, quarantined_messages
 from labrelay.sources import fixtures
 from pyspark.sql import functions as F
 
@@ -101,3 +102,11 @@ def test_result_arrays_are_read_by_methods_small_enough_to_be_compiled(spark, sc
     raw_frame(spark, [S.RESULT]).write.parquet(path)
     parsed = parse_messages(spark.read.parquet(path), "result")
     assert 0 < largest_method(table_rows(parsed, "result").select("offset", "lab_test_results")) < 8000
+
+
+def test_a_repair_runs_once_per_message(spark):
+    """The filter on empty values reads the repaired value instead of repairing once more."""
+    bad = quarantine_rows(parse_messages(raw_frame(spark, [S.ACK.replace("|2.5", "|2.3")]), "ack", mode="PERMISSIVE"), "ack")
+    repaired = F.regexp_replace(F.col("value").cast("string"), r"\|2\.3(?=[|\r])", "|2.5")
+    again = parse_messages(quarantined_messages(bad, "ack", repaired), "ack", mode="PERMISSIVE")
+    assert optimized(again).count("2\\.3(?=") == 1
