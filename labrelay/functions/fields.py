@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .segments import ENV, ESCAPE_CODES, STANDARD_DELIMITERS, Env, call, quote_re
+from .segments import ENV, ESCAPE_CODES, STANDARD_DELIMITERS, Env, first_part, quote_re
 
 
 def field(seg: Column, n: int, env: Env = ENV, *, header: bool = False) -> Column:
@@ -60,12 +60,6 @@ def split_fields(seg: Column, env: Env = ENV) -> Column:
     return F.split(seg, env.fsre)
 
 
-def first_part(s: Column, delimiter: Column) -> Column:
-    """``s`` up to the first delimiter (all of it if there is none, or the header
-    declares none); unlike ``split_part`` it doesn't cut the rest."""
-    return F.when(delimiter == "", s).otherwise(call("substring_index", s, delimiter, F.lit(1)))
-
-
 def field_value(raw_field: Column, comp: int = 1, env: Env = ENV) -> Column:
     """Typed-getter value of an already extracted raw field: first repetition,
     component ``comp``, first subcomponent, unescaped; NULL if empty or absent."""
@@ -82,7 +76,7 @@ def value(seg: Column, n: int, comp: int = 1, env: Env = ENV, *, header: bool =
 def encoded_value(raw_field: Column, env: Env = ENV) -> Column:
     """First repetition of a raw field re-encoded: components and escapes kept,
     trailing empty components/subcomponents dropped (``a^b^^`` -> ``a^b``)."""
-    rep1 = F.split_part(raw_field, env.rs, F.lit(1))
+    rep1 = first_part(raw_field, env.rs)
     trailing = F.concat(F.lit("[\\Q"), env.cs, env.ss, F.lit("\\E]+$"))
     ends_empty = (env.cs != "") & (rep1.endswith(env.cs) | ((env.ss != "") & rep1.endswith(env.ss)))
     trimmed = F.when(ends_empty, F.regexp_replace(rep1, trailing, F.lit(""))).otherwise(rep1)

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .fields import field_value, split_fields
-from .segments import CR, ENV, Env
+from .segments import CR, ENV, Env, first_part
 
 # Fixed value: only the typed classes of this version are accepted.
 ACCEPTED_VERSION = "2.5"
@@ -33,7 +33,7 @@ def message_structure(msh: Column, env: Env = ENV) -> Column:
     MSH-9.3 when present; a type of ``ACK`` alone is the ACK structure; else
     ``type_event`` (e.g. ``ORU^R01`` -> ``ORU_R01``); NULL when undeterminable.
     """
-    msh9 = F.split_part(F.coalesce(F.get(msh, 8), F.lit("")), env.rs, F.lit(1))
+    msh9 = first_part(F.coalesce(F.get(msh, 8), F.lit("")), env.rs)
 
     def comp(i: int) -> Column:
         return F.split_part(msh9, env.cs, F.lit(i))

@@ -46,6 +46,12 @@ def quote_re(ch: Column) -> Column:
     return F.concat(F.lit("\\Q"), ch, F.lit("\\E"))
 
 
+def first_part(s: Column, delimiter: Column) -> Column:
+    """``s`` up to the first delimiter (all of it if there is none, or the header
+    declares none); unlike ``split_part`` it doesn't cut the rest."""
+    return F.when(delimiter == "", s).otherwise(call("substring_index", s, delimiter, F.lit(1)))
+
+
 @dataclass(frozen=True)
 class Env:
     """Per-row delimiters and canonical text, by column name (resolved lazily)."""
@@ -95,7 +101,7 @@ def delimiter_columns(text: Column) -> list[Column]:
     sequences can only occur from there on).
     """
     fs = F.substr(text, F.lit(4), F.lit(1))
-    enc = F.split_part(F.substr(text, F.lit(5)), fs, F.lit(1))
+    enc = first_part(F.substr(text, F.lit(5)), fs)
     return [
         fs.alias("_fs"),
         F.substr(enc, F.lit(1), F.lit(1)).alias("_cs"),
@@ -204,5 +210,6 @@ def well_formed(text: Column, env: Env = ENV) -> Column:
     return (
         text.startswith("MSH")
         & (F.length(text) >= 4)
-        & ~F.coalesce(F.regexp_like(env.c, bad_segment), F.lit(False))
+        # regexp_like would compile the pattern, which differs by row, for every row
+        & ~F.coalesce(F.regexp_instr(env.c, bad_segment) > 0, F.lit(False))
     )

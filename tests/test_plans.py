@@ -8,6 +8,7 @@ from conftest import raw_frame
 import samples as S
 from labrelay import json_values, parse_messages, shred
 from labrelay.plans.batch import current_rows, table_rows
+from labrelay.functions.segments import delimiter_columns
 from labrelay.operators.quarantine import quarantine_rows, quarantined_messages
 from labrelay.sources import fixtures
 from pyspark.sql import functions as F
@@ -110,3 +111,18 @@ def test_a_repair_runs_once_per_message(spark):
     repaired = F.regexp_replace(F.col("value").cast("string"), r"\|2\.3(?=[|\r])", "|2.5")
     again = parse_messages(quarantined_messages(bad, "ack", repaired), "ack", mode="PERMISSIVE")
     assert optimized(again).count("2\\.3(?=") == 1
+
+
+@pytest.mark.parametrize("kind,message", [("order", S.ORDER), ("ack", S.ACK), ("result", S.RESULT)])
+def test_patterns_made_of_a_messages_delimiters_are_kept_between_rows(spark, kind, message):
+    """``regexp_like`` compiles a pattern that is no literal anew for every row, ``regexp_instr`` keeps the last."""
+    plan = optimized(parse_messages(raw_frame(spark, [message]), kind))
+    assert not re.search(r"RLIKE\([^,()]*, concat\(", plan, re.I)
+
+
+def test_pieces_of_a_text_short_of_its_header_are_as_before(spark):
+    rows = ["", "M", "MSH", "MSH|", "MSH|^", "MSH||A", "MSH|^~\\&|A|B\rPIDX1", "MSH|^~\\&|A\rPID|1", "MSH#$%!@#A#B"]
+    got = spark.createDataFrame([(r,) for r in rows], "text string").select(
+        *delimiter_columns(F.col("text")), F.split_part(F.substr("text", F.lit(5)), F.substr("text", F.lit(4), F.lit(1)), F.lit(1)).alias("enc"))
+    for r in got.collect():
+        assert [r["_cs"], r["_rs"], r["_es"], r["_ss"], r["_body"]] == [*(r["enc"][i:i + 1] for i in range(4)), len(r["enc"]) + 5]
